@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-GROUPS = ["medallion"]
+GROUPS = ["medallion", "risk"]
 
 
 def _load():
