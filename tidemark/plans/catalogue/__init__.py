@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-GROUPS = ["medallion", "risk"]
+GROUPS = ["medallion", "risk", "governance"]
 
 
 def _load():
