@@ -10,36 +10,43 @@ from tidemark import refdata
 LEVELS = ["NONE", "LOW", "MEDIUM", "HIGH"]
 
 
-def match_counts(text: Column, case_sensitive_names: bool = False) -> dict[str, Column]:
-    """Number of matches of each pattern in the whole text, ignoring case.
+def _texts(values) -> Column:
+    return F.array(*[F.lit(v) for v in values])
+
+
+def match_counts(text: Column, case_sensitive_names: bool = False) -> Column:
+    """Array with the number of matches of each pattern in the whole text, ignoring case.
 
     ``case_sensitive_names`` restricts person names to capitalised words; ignoring case they match
     nearly any two words.
     """
     def flags(kind):
         return "" if kind == "person_name" and case_sensitive_names else "(?i)"
-    return {kind: F.coalesce(F.regexp_count(text, F.lit(flags(kind) + pattern)), F.lit(0))
-            for kind, pattern, _, _ in refdata.PII_PATTERNS}
+    return F.array(*[F.coalesce(F.regexp_count(text, F.lit(flags(kind) + pattern)), F.lit(0))
+                     for kind, pattern, _, _ in refdata.PII_PATTERNS])
+
+
+def highest_level(counts: Column) -> Column:
+    """Ordinal of the highest sensitivity among the patterns that matched."""
+    ranks = F.array(*[F.lit(LEVELS.index(s)) for _, _, s, _ in refdata.PII_PATTERNS])
+    return F.array_max(F.zip_with(counts, ranks, lambda n, rank: F.when(n > 0, rank).otherwise(0)))
 
 
-def finding_struct(counts: dict[str, Column], keep: int = 10) -> Column:
+def finding_struct(counts: Column, keep: int = 10) -> Column:
     """Struct of findings (the first ``keep`` in pattern order), sensitivity, categories and pii_count.
 
     Sensitivity and categories are taken over all matches, ``pii_count`` after the cut. Only counts
     are needed: a finding carries its type, not its text, so no match is ever materialised.
     """
-    findings, level, categories = [], F.lit(0), []
-    for kind, _, sensitivity, category in refdata.PII_PATTERNS:
-        n = counts[kind]
-        one = F.struct(F.lit(kind).alias("type"), F.lit(category).alias("category"), F.lit(sensitivity).alias("sensitivity"))
-        findings.append(F.array_repeat(one, F.least(n, F.lit(keep))))
-        level = F.greatest(level, F.when(n > 0, LEVELS.index(sensitivity)).otherwise(0))
-        categories.append(F.when(n > 0, F.lit(category)))
-    kept = F.slice(F.concat(*findings), 1, keep)
+    kinds = F.array(*[F.struct(F.lit(kind).alias("type"), F.lit(category).alias("category"), F.lit(sensitivity).alias("sensitivity"))
+                      for kind, _, sensitivity, category in refdata.PII_PATTERNS])
+    repeated = F.zip_with(counts, kinds, lambda n, kind: F.array_repeat(kind, F.least(n, F.lit(keep))))
+    kept = F.slice(F.flatten(repeated), 1, keep)
+    categories = F.zip_with(counts, _texts(c for _, _, _, c in refdata.PII_PATTERNS), lambda n, c: F.when(n > 0, c))
     return F.struct(
         kept.alias("findings"),
-        F.get(F.array(*[F.lit(name) for name in LEVELS]), level).alias("sensitivity"),
-        F.array_sort(F.array_distinct(F.array_compact(F.array(*categories)))).alias("categories"),
+        name_of(highest_level(counts)).alias("sensitivity"),
+        F.array_sort(F.array_distinct(F.array_compact(categories))).alias("categories"),
         F.size(kept).alias("pii_count"))
 
 
@@ -49,18 +56,13 @@ def detect_pii(text: Column, case_sensitive_names: bool = False) -> Column:
 
 def level_of(sensitivity: Column) -> Column:
     """Ordinal of a sensitivity name (0 for NONE and unknown ones)."""
-    chain = F
-    for rank, name in enumerate(LEVELS):
-        chain = chain.when(sensitivity == name, rank)
-    return chain.otherwise(0)
+    return F.greatest(F.coalesce(F.array_position(_texts(LEVELS), sensitivity), F.lit(0)) - 1, F.lit(0)).cast("int")
 
 
 def name_of(level: Column) -> Column:
-    return F.get(F.array(*[F.lit(name) for name in LEVELS]), level)
+    return F.get(_texts(LEVELS), level)
 
 
 def risk_of(sensitivity: Column) -> Column:
-    chain = F
-    for name, risk in refdata.SENSITIVITY_RISK.items():
-        chain = chain.when(sensitivity == name, risk)
-    return chain.otherwise(0.0)
+    table = F.create_map(*[F.lit(part) for pair in refdata.SENSITIVITY_RISK.items() for part in pair])
+    return F.coalesce(F.try_element_at(table, sensitivity), F.lit(0.0))

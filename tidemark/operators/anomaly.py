@@ -30,13 +30,15 @@ def _clocked(df: DataFrame) -> DataFrame:
     return df.withColumn(_AT, F.unix_timestamp("claim_date"))
 
 
-def _facts(df: DataFrame, facts: DataFrame | None, *columns: str) -> DataFrame:
+def _facts(df: DataFrame, facts: DataFrame | None, only: DataFrame | None, keys: list[str], *columns: str) -> DataFrame:
     """The columns a look-back needs. ``facts`` are the plain claims (``df`` itself by default).
 
     Chained detectors pass the same plain claims to each, so that every look-back is one pruned scan
-    instead of a repetition of the detectors before it.
+    instead of a repetition of the detectors before it. With ``only`` the keys that occur in those
+    rows are kept; it pays when they are a small part of the claims.
     """
-    return _clocked(df if facts is None else facts).select(_AT, *columns)
+    source = _clocked(df if facts is None else facts).select(_AT, *keys, *columns)
+    return source if only is None else null_safe_join(source, only.select(*keys).distinct(), keys, "left_semi")
 
 
 def statistical_baselines(history: DataFrame, as_of: Column | None = None, cfg: AnomalyConfig = AnomalyConfig()) -> DataFrame:
@@ -85,10 +87,11 @@ def statistical_anomaly(df: DataFrame, baselines: DataFrame, cfg: AnomalyConfig
     })
 
 
-def time_series_anomaly(df: DataFrame, cfg: AnomalyConfig = AnomalyConfig(), facts: DataFrame | None = None) -> DataFrame:
+def time_series_anomaly(df: DataFrame, cfg: AnomalyConfig = AnomalyConfig(), facts: DataFrame | None = None,
+                        only: DataFrame | None = None) -> DataFrame:
     """Bursts and jumps per claim type over the last hour and day. Needs ``daily_avg_count``."""
     clocked = _clocked(df)
-    source = _facts(df, facts, "claim_type", "claim_amount_gbp")
+    source = _facts(df, facts, only, ["claim_type"], "claim_amount_gbp")
     windows = None
     for label, seconds in (("hourly", cfg.hour), ("daily", cfg.day)):
         stats = sliding_stats(source, ["claim_type"], _AT, seconds, count=f"{label}_count",
@@ -108,10 +111,11 @@ def time_series_anomaly(df: DataFrame, cfg: AnomalyConfig = AnomalyConfig(), fac
                   F.greatest("velocity_anomaly", "volume_spike", "amount_spike_anomaly"))
 
 
-def geographic_anomaly(df: DataFrame, cfg: AnomalyConfig = AnomalyConfig(), facts: DataFrame | None = None) -> DataFrame:
+def geographic_anomaly(df: DataFrame, cfg: AnomalyConfig = AnomalyConfig(), facts: DataFrame | None = None,
+                       only: DataFrame | None = None) -> DataFrame:
     """Concentration per district and type over the last week. Needs ``mean_amount``."""
     clocked, keys = _clocked(df), ["postcode_district", "claim_type"]
-    stats = sliding_stats(_facts(df, facts, *keys, "claim_amount_gbp", "customer_id"), keys, _AT,
+    stats = sliding_stats(_facts(df, facts, only, keys, "claim_amount_gbp", "customer_id"), keys, _AT,
                           cfg.geo_days * cfg.day, count="geo_claim_count", sums={"_sum": "claim_amount_gbp"},
                           distinct=("geo_unique_customers", "customer_id"))
     joined = null_safe_join(clocked, stats, [*keys, _AT]).drop(_AT)
@@ -125,11 +129,12 @@ def geographic_anomaly(df: DataFrame, cfg: AnomalyConfig = AnomalyConfig(), fact
     }).withColumn("geographic_anomaly_score", F.greatest("geo_anomaly", "geo_amount_anomaly"))
 
 
-def customer_behavior_anomaly(df: DataFrame, cfg: AnomalyConfig = AnomalyConfig(), facts: DataFrame | None = None) -> DataFrame:
+def customer_behavior_anomaly(df: DataFrame, cfg: AnomalyConfig = AnomalyConfig(), facts: DataFrame | None = None,
+                              only: DataFrame | None = None) -> DataFrame:
     """Each claim against the same customer's previous 90 days (the current second excluded)."""
     clocked = _clocked(df)
     stats = sliding_extremes(
-        _facts(df, facts, "customer_id", "claim_amount_gbp", "days_to_claim"), ["customer_id"], _AT,
+        _facts(df, facts, only, ["customer_id"], "claim_amount_gbp", "days_to_claim"), ["customer_id"], _AT,
         cfg.customer_days * cfg.day, -1, {
             "customer_claim_count": ("count", None),
             "_sum": ("sum", "claim_amount_gbp"), "_n": ("count", "claim_amount_gbp"),
@@ -153,11 +158,12 @@ def customer_behavior_anomaly(df: DataFrame, cfg: AnomalyConfig = AnomalyConfig(
         "customer_amount_anomaly", "customer_frequency_anomaly", "first_time_high_value"))
 
 
-def network_anomaly(df: DataFrame, cfg: AnomalyConfig = AnomalyConfig(), facts: DataFrame | None = None) -> DataFrame:
+def network_anomaly(df: DataFrame, cfg: AnomalyConfig = AnomalyConfig(), facts: DataFrame | None = None,
+                    only: DataFrame | None = None) -> DataFrame:
     """Claims around the same postcode within three days. Needs ``hourly_avg_amount``."""
     clocked = _clocked(df)
     reach = cfg.network_days * cfg.day
-    stats = sliding_stats(_facts(df, facts, "incident_postcode", "customer_id"), ["incident_postcode"], _AT,
+    stats = sliding_stats(_facts(df, facts, only, ["incident_postcode"], "customer_id"), ["incident_postcode"], _AT,
                           reach, reach, count="same_location_claims",
                           distinct=("unique_customers_location", "customer_id"))
     joined = null_safe_join(clocked, stats, ["incident_postcode", _AT]).drop(_AT)
@@ -207,14 +213,19 @@ INPUT_COLUMNS = [
 ]
 
 
-def score_claims(df: DataFrame, baselines: DataFrame, cfg: AnomalyConfig = AnomalyConfig()) -> DataFrame:
-    """All detectors and the composite score over the columns they need."""
+def score_claims(df: DataFrame, baselines: DataFrame, cfg: AnomalyConfig = AnomalyConfig(),
+                 facts: DataFrame | None = None, restrict: bool = False) -> DataFrame:
+    """All detectors and the composite score over the columns they need.
+
+    ``facts`` are the claims the look-backs read when only some rows are scored; ``restrict`` limits
+    them to the keys of those rows.
+    """
     narrow = df.select(*INPUT_COLUMNS)
-    return (
-        narrow.transform(statistical_anomaly, baselines, cfg).transform(time_series_anomaly, cfg, narrow)
-        .transform(geographic_anomaly, cfg, narrow).transform(customer_behavior_anomaly, cfg, narrow)
-        .transform(network_anomaly, cfg, narrow).transform(composite_anomaly, cfg)
-    )
+    source = narrow if facts is None else facts
+    scored = statistical_anomaly(narrow, baselines, cfg)
+    for detector in (time_series_anomaly, geographic_anomaly, customer_behavior_anomaly, network_anomaly):
+        scored = detector(scored, cfg, source, narrow if restrict else None)
+    return composite_anomaly(scored, cfg)
 
 
 def anomaly_output(df: DataFrame, as_of: Column | None = None, detected_at: Column | None = None,

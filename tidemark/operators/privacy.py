@@ -25,8 +25,10 @@ def sample_scan(df: DataFrame, fraction: float = 0.1, seed: int = 42, key: str |
 def pii_scan_columns(df: DataFrame, columns: dict[str, str] | None = None, case_sensitive_names: bool = False) -> DataFrame:
     """Add ``<column>_pii`` (findings) and ``<label>_sensitivity`` for each text column."""
     columns = columns or SCANNED
-    found = df.withColumns({f"{c}_pii": pii.detect_pii(F.col(c), case_sensitive_names) for c in columns.values()})
-    return found.withColumns({f"{label}_sensitivity": F.col(f"{c}_pii.sensitivity") for label, c in columns.items()})
+    counted = df.withColumns({f"_n_{label}": pii.match_counts(F.col(c), case_sensitive_names) for label, c in columns.items()})
+    found = counted.withColumns({f"{c}_pii": pii.finding_struct(F.col(f"_n_{label}")) for label, c in columns.items()})
+    levels = {f"{label}_sensitivity": pii.name_of(pii.highest_level(F.col(f"_n_{label}"))) for label in columns}
+    return found.withColumns(levels).drop(*[f"_n_{label}" for label in columns])
 
 
 def overall_sensitivity(scanned: DataFrame, labels: list[str] | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-GROUPS = ["medallion", "risk", "governance"]
+GROUPS = ["medallion", "risk", "governance", "ingest"]
 
 
 def _load():

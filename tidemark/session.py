@@ -77,3 +77,13 @@ def bounded_lookup(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """
     table = cut(df)
     return F.broadcast(table) if table.limit(max_rows + 1).count() <= max_rows else table
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Spread a plain table scan over all cores if it comes in fewer pieces than there are cores.
+
+    For row-wise work that costs far more than moving the row (regular expressions over long texts).
+    A table of many files or row groups is left alone, so nothing is shuffled at scale.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
