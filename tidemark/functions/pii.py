@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark import refdata
 
 LEVELS = ["NONE", "LOW", "MEDIUM", "HIGH"]
+KEPT_FINDINGS = 10
 
 
 def _texts(values) -> Column:
@@ -32,16 +33,16 @@ def highest_level(counts: Column) -> Column:
     return F.array_max(F.zip_with(counts, ranks, lambda n, rank: F.when(n > 0, rank).otherwise(0)))
 
 
-def finding_struct(counts: Column, keep: int = 10) -> Column:
-    """Struct of findings (the first ``keep`` in pattern order), sensitivity, categories and pii_count.
+def finding_struct(counts: Column) -> Column:
+    """Struct of findings (the first ten in pattern order), sensitivity, categories and pii_count.
 
-    Sensitivity and categories are taken over all matches, ``pii_count`` after the cut. Only counts
-    are needed: a finding carries its type, not its text, so no match is ever materialised.
+    Sensitivity and categories are taken over all matches, ``pii_count`` after the cut. A finding
+    carries its type, not its text, so the counts are all that is needed.
     """
     kinds = F.array(*[F.struct(F.lit(kind).alias("type"), F.lit(category).alias("category"), F.lit(sensitivity).alias("sensitivity"))
                       for kind, _, sensitivity, category in refdata.PII_PATTERNS])
-    repeated = F.zip_with(counts, kinds, lambda n, kind: F.array_repeat(kind, F.least(n, F.lit(keep))))
-    kept = F.slice(F.flatten(repeated), 1, keep)
+    repeated = F.zip_with(counts, kinds, lambda n, kind: F.array_repeat(kind, F.least(n, F.lit(KEPT_FINDINGS))))
+    kept = F.slice(F.flatten(repeated), 1, KEPT_FINDINGS)
     categories = F.zip_with(counts, _texts(c for _, _, _, c in refdata.PII_PATTERNS), lambda n, c: F.when(n > 0, c))
     return F.struct(
         kept.alias("findings"),
@@ -51,7 +52,9 @@ def finding_struct(counts: Column, keep: int = 10) -> Column:
 
 
 def detect_pii(text: Column, case_sensitive_names: bool = False) -> Column:
-    return finding_struct(match_counts(text, case_sensitive_names))
+    """Findings of a text. The counts are bound to a lambda variable, so each pattern runs once."""
+    counts = match_counts(text, case_sensitive_names)
+    return F.get(F.transform(F.array(counts), finding_struct), F.lit(0))
 
 
 def level_of(sensitivity: Column) -> Column:

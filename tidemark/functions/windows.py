@@ -21,7 +21,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-_EXACT = "decimal(24,6)"
+# Money adds up as whole ten-thousandths: leaving a window then undoes entering it exactly. The sums
+# are checked for overflow (9e14 pounds per key and window).
+_UNITS = 10_000
 
 
 def block_start(at: Column, length: int) -> Column:
@@ -42,8 +44,8 @@ def sliding_stats(df: DataFrame, keys: list[str], at: str, before: int, after: i
     """Statistics of the rows of the same key with ``at`` in [at - before, at + after].
 
     Gives one row per existing (keys, at). ``count`` names the row count, ``sums`` maps output names
-    to columns (summed exactly as decimals, nulls ignored, given as double; ``<name>_n`` counts the
-    non-null ones), ``distinct`` is (output name, column).
+    to columns (summed exactly in units of a ten-thousandth, nulls ignored, given as double;
+    ``<name>_n`` counts the non-null ones), ``distinct`` is (output name, column).
 
     Each second contributes to the outputs between ``at - after`` and ``at + before``. Entering and
     leaving that interval are a plus and a minus entry; the running total at a second is the
@@ -54,22 +56,28 @@ def sliding_stats(df: DataFrame, keys: list[str], at: str, before: int, after: i
     sums = sums or {}
     length = before + after + 1
     rows = df.where(F.col(at).isNotNull())
-    exact = {name: F.col(column).cast(_EXACT) for name, column in sums.items()}
+    exact = {name: F.round(F.col(column) * _UNITS).cast("long") for name, column in sums.items()}
     parts = []
     for name, value in exact.items():
         parts += [F.sum(value).alias(name), F.count(value).alias(f"{name}_n")]
     totals = ["_rows", *[c for name in sums for c in (name, f"{name}_n")]]
 
-    def entries(frame, start, end, values):
-        """Plus and minus entries of one contribution per row, per block."""
+    def blank(columns):
+        return [F.lit(0).cast(kinds[c]).alias(c) for c in columns]
+
+    def entries(frame, start, end, values, probing):
+        """Entries of one contribution per row: plus at its start, minus at its end, and what a block
+        has running when it begins, combined per block."""
+        rest = [c for c in kinds if c not in values]
         first, last = block_start(start, length), block_start(end, length)
-        plus = [F.col(v).alias(v) for v in values]
-        minus = [(-F.col(v)).alias(v) for v in values]
-        entry = lambda block, point, cols: F.struct(block.alias("_block"), point.alias("_point"), *cols)
-        spilled = F.array(entry(first, start, plus), entry(last, last, plus), entry(last, end, minus))
-        contained = F.array(entry(first, start, plus), entry(first, end, minus))
-        return (frame.select(*keys, F.explode(F.when(first == last, contained).otherwise(spilled)).alias("e"))
-                .select(*keys, "e.*"))
+        enter = frame.select(*keys, first.alias("_block"), start.alias("_point"), *values, *blank(rest),
+                             F.lit(probing).alias("_probe"))
+        leave = frame.select(*keys, last.alias("_block"), end.alias("_point"),
+                             *[(-F.col(v)).alias(v) for v in values], *blank(rest), F.lit(False).alias("_probe"))
+        carried = (frame.where(first < last).groupBy(*keys, last.alias("_block"))
+                   .agg(*[F.sum(v).cast(kinds[v]).alias(v) for v in values])
+                   .select(*keys, "_block", F.col("_block").alias("_point"), *values, *blank(rest), F.lit(False).alias("_probe")))
+        return [enter, leave, carried]
 
     start = F.col(at) - after
     end = F.col(at) + before + 1
@@ -81,25 +89,28 @@ def sliding_stats(df: DataFrame, keys: list[str], at: str, before: int, after: i
         per_second = per_item.groupBy(*keys, at).agg(*recount)
     else:
         per_second = rows.groupBy(*keys, at).agg(F.count("*").alias("_rows"), *parts)
-
-    probes = per_second.select(
-        *keys, block_start(F.col(at), length).alias("_block"), F.col(at).alias("_point"),
-        *[F.lit(0).cast(per_second.schema[c].dataType).alias(c) for c in totals],
-        F.lit(0).cast("long").alias("_items"), F.lit(True).alias("_probe"))
-    moves = entries(per_second.na.fill(0, totals), start, end, totals).select(
-        *keys, "_block", "_point", *totals, F.lit(0).cast("long").alias("_items"), F.lit(False).alias("_probe"))
-    sheet = probes.unionByName(moves)
+    per_second = per_second.na.fill(0, totals)
+    kinds = {**{c: per_second.schema[c].dataType for c in totals}, "_items": "long"}
+
+    # Where a second's own entry starts at the second itself, it also reads the total there.
+    sheets = entries(per_second, start, end, totals, probing=after == 0)
+    if after != 0:
+        sheets.append(per_second.select(*keys, block_start(F.col(at), length).alias("_block"), F.col(at).alias("_point"),
+                                        *blank(kinds), F.lit(True).alias("_probe")))
     if distinct:
         seen = Window.partitionBy(*keys, item).orderBy(at)
         gone = F.lag(at).over(seen) + before + 1
         visible = (per_item.where(F.col(item).isNotNull())
-                   .select(*keys, at, F.greatest(F.col(at) - after, gone).alias("_from"))
-                   .withColumn("_items", F.lit(1).cast("long")))
-        turns = entries(visible, F.col("_from"), end, ["_items"]).select(
-            *keys, "_block", "_point",
-            *[F.lit(0).cast(per_second.schema[c].dataType).alias(c) for c in totals],
-            "_items", F.lit(False).alias("_probe"))
-        sheet = sheet.unionByName(turns)
+                   .select(*keys, at, F.greatest(start, gone).alias("_from")).withColumn("_items", F.lit(1).cast("long")))
+        # One pass over the window above instead of one per kind of entry.
+        first, last = block_start(F.col("_from"), length), block_start(end, length)
+        turn = lambda block, point, n: F.struct(block.alias("_block"), point.alias("_point"), F.lit(n).cast("long").alias("_items"))
+        turns = F.concat(
+            F.array(turn(first, F.col("_from"), 1), turn(last, end, -1)),
+            F.when(first < last, F.array(turn(last, last, 1))).otherwise(F.array().cast("array<struct<_block:bigint,_point:bigint,_items:bigint>>")))
+        sheets.append(visible.select(*keys, F.inline(turns)).select(
+            *keys, "_block", "_point", "_items", *blank(totals), F.lit(False).alias("_probe")))
+    sheet = reduce(DataFrame.unionByName, sheets)
 
     running = (Window.partitionBy(*keys, "_block").orderBy("_point")
                .rangeBetween(Window.unboundedPreceding, Window.currentRow))
@@ -109,7 +120,7 @@ def sliding_stats(df: DataFrame, keys: list[str], at: str, before: int, after: i
     if count:
         columns.append(F.col("_rows").alias(count))
     for name in sums:
-        columns += [F.col(name).cast("double").alias(name), F.col(f"{name}_n")]
+        columns += [(F.col(name) / F.lit(float(_UNITS))).alias(name), F.col(f"{name}_n")]
     if distinct:
         columns.append(F.col("_items").alias(distinct[0]))
     return out.select(*keys, at, *columns)

@@ -139,8 +139,18 @@ def detect_opportunistic(cases: DataFrame, factor: float = 2.0) -> DataFrame:
                           "excess_amount": F.col("claim_amount") - F.col("approved_amount")}))
 
 
+_SCENARIO_COLUMNS = [
+    "claim_id", "policyholder_id", "policy_type", "claim_type", "claim_amount", "approved_amount", "sum_insured",
+    "fraud_score", "start_date", "incident_date", "reported_date", "incident_postcode", "description",
+]
+
+
 def scenario_summary(cases: DataFrame, detected_above: float = 0.7, ring_amounts: tuple = (8000, 12000)) -> DataFrame:
-    """All detections together: claims, amount, scores and detection rate per scenario."""
+    """All detections together: claims, amount, scores and detection rate per scenario.
+
+    The cases are read by every detection, so the columns they need are stored once.
+    """
+    cases = cut(cases.select(*_SCENARIO_COLUMNS))
     found = {
         "early_claim_fraud": detect_early_claims(cases),
         "inflated_claim_fraud": detect_inflated_claims(cases),

@@ -8,7 +8,7 @@ from tidemark import refdata
 from tidemark.operators import anomaly, bronze, gold, silver
 from tidemark.operators import customers as x
 from tidemark.plans.catalogue.common import register, src, ts, values_sql
-from tidemark.plans.claims import anomaly_frame, as_of, scored_bronze, silver_frame
+from tidemark.plans.claims import anomaly_frame, as_of, scored_bronze, silver_frame, stored_silver
 from tidemark.plans import inputs
 
 AS_OF = f"TIMESTAMP '{inputs.CLAIMS_AS_OF}'"
@@ -542,7 +542,7 @@ register("statistical_baselines",
 
 
 def on_scores(key, shape, steps, cte, name):
-    register(key, shape, lambda s, d: _upto(silver_frame(s, d), *steps), register_sql(cte, name))
+    register(key, shape, lambda s, d: _upto(stored_silver(s, d), *steps), register_sql(cte, name))
 
 
 on_scores("statistical_anomaly",

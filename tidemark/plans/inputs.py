@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import spread
+
 CLAIMS_AS_OF = "2025-04-08 00:00:00"
 AUDIT_AS_OF = "2024-01-31 00:00:00"
 RETENTION_AS_OF = "2004-01-01"
@@ -256,7 +258,7 @@ def source_sql(name: str) -> str:
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
 
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

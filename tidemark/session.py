@@ -10,6 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# The JVM never compiles methods of more than 8000 bytes; wide claim expressions fused into one
+# generated method would run interpreted, so such stages are generated in smaller methods instead.
+_HUGE_METHODS = ("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
 def build_session(app: str = "tidemark", master: str | None = None, partitions: int | None = None,
                   **conf: str) -> SparkSession:
     """A session with the settings the library expects. On a cluster pass no master/partitions."""
@@ -20,6 +25,7 @@ def build_session(app: str = "tidemark", master: str | None = None, partitions:
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config(*_HUGE_METHODS)
     )
     if master:
         builder = builder.master(master)
@@ -31,9 +37,10 @@ def build_session(app: str = "tidemark", master: str | None = None, partitions:
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the run-time settings that change results; safe to call on any session."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Pin the run-time settings the operators rely on; safe to call on any session."""
+    for key, value in (("spark.sql.session.timeZone", "UTC"), _HUGE_METHODS):
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     return spark
 
 
@@ -79,11 +86,14 @@ def bounded_lookup(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     return F.broadcast(table) if table.limit(max_rows + 1).count() <= max_rows else table
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Spread a plain table scan over all cores if it comes in fewer pieces than there are cores.
+def spread(scan: DataFrame, piece: int = 256 * 1024, most: int = 64) -> DataFrame:
+    """Spread a plain table scan over the cores if it comes in fewer pieces than that.
 
-    For row-wise work that costs far more than moving the row (regular expressions over long texts).
-    A table of many files or row groups is left alone, so nothing is shuffled at scale.
+    Parquet splits at row groups, so a small table written as one is a single task however many cores
+    wait. The pieces follow the table's size on disk and end at ``most``: a table of many files or row
+    groups is left alone, and nothing is shuffled at scale.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    size = int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    pieces = min(cores, most, size // piece)
+    return scan.repartition(pieces) if pieces > 1 and scan.rdd.getNumPartitions() < pieces else scan
