@@ -50,12 +50,12 @@ for _key, _column in [("detect_pii", "incident_description"), ("detect_pii_notes
              f"{_FOUND} FROM (SELECT claim_id, {_counts(_column)} FROM ({src('personal')}))")
 # Word boundaries differ between the two engines on accented letters, so both read them as '_'.
 _ASCII = "regexp_replace(text, '[^\\x00-\\x7F]', '_', 'g')"
-_PLAIN = F.regexp_replace("text", r"[^\x00-\x7F]", "_")
+_plain = lambda: F.regexp_replace("text", r"[^\x00-\x7F]", "_")
 for _table, _id in [("documents", "doc_id"), ("conversations", "conv_id")]:
     _ids = [_id] if _table == "documents" else ["conv_id", "turn"]
     register(f"detect_pii_{_table}", " ".join(f"{i}:i" for i in _ids) + " sensitivity:s categories:a pii_count:i kinds:a",
              lambda s, d, t=_table, ids=tuple(_ids): inputs.read(s, d, t).select(
-                 *ids, privacy.pii.detect_pii(_PLAIN).alias("p")).select(
+                 *ids, privacy.pii.detect_pii(_plain()).alias("p")).select(
                  *ids, "p.sensitivity", "p.categories", "p.pii_count", F.transform("p.findings", lambda f: f["type"]).alias("kinds")),
              f"{_FOUND} FROM (SELECT *, {_counts('plain')} FROM (SELECT *, {_ASCII} AS plain FROM {_table}))")
 
