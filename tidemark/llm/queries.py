@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import line_dedup
+from tidemark.llm import bpe, line_dedup, mixing, quality, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,11 +15,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing_report(table(spark, sf_dir, "documents"))
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest_report(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.file_report(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(table(spark, sf_dir, "documents"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_report(table(spark, sf_dir, "pages"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_mixing": op1_mixing,
+    "op2_bpe": op2_bpe,
+    "op5_token_files": op5_token_files,
+    "op6_quality": op6_quality,
+    "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
 }
 
