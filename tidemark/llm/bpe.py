@@ -1,8 +1,8 @@
 """Word-end BPE: encoding and decoding with the vocabulary file of a public tokenizer.
 
 The merges of a word are found with a segment tree over the ranks of its adjacent pairs: the root names the leftmost
-pair of lowest rank, a merge changes at most three leaves, and it ends when no pair has a rank. Words are memorised
-per worker, so the tree is built once for each distinct word.
+pair of lowest rank, a merge changes at most three leaves, and it ends when no pair has a rank. The trees of many short
+words are rows of one table and take their steps together; a long word has a tree of its own. Workers remember words.
 
 * A null text is an empty one; empty texts have no ids. Order, repeated rows and further columns do not matter.
 * Texts of any length are encoded whole; a word of n characters costs n log n.
@@ -17,13 +17,20 @@ import re
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-#: Distinct words a worker remembers before it starts anew.
+#: Distinct words a worker remembers; beyond that, only those of the latest texts stay.
 REMEMBERED = 400_000
+#: Characters of texts whose words are looked up together.
+TEXT_CHARS = 4 << 20
+#: Words of up to so many bytes share a table of trees, of so many rows.
+LONGEST_ROW = 33
+ROWS = 4096
 NONE = 1 << 60
+NO_RANK = 1 << 30
 
 # The white space of the vocabulary's pattern language, and its letters and numbers below U+0100.
 SPACES = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -90,6 +97,14 @@ class WordBpe:
         self.pattern = regex.compile(splits[0])
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
         self.known: dict[str, list[int]] = {}
+        self.numbers = {i: str(i) for i in self.tokens}
+        pairs = sorted(((a << 32) | b, rank, new) for (a, b), (rank, new) in self.merges.items())
+        self.pair_keys = np.array([p[0] for p in pairs], np.int64)
+        self.pair_ranks = np.array([p[1] for p in pairs], np.int64)
+        self.merged = np.zeros(len(model["merges"]), np.int64)
+        self.merged[self.pair_ranks] = [p[2] for p in pairs]
+        self.byte_ids = np.array([self.ids.get(c, -1) for c in self.bytes], np.int64)
+        self.end_ids = np.array([self.ids.get(c + self.end, -1) for c in self.bytes], np.int64)
 
     def words(self, text: str) -> list[str]:
         """Normalised pieces that are merged on their own."""
@@ -127,63 +142,143 @@ class WordBpe:
                 ranks.put(before[at], merges.get((symbols[before[at]], symbols[at]), none)[0])
         return [s for s in symbols if s >= 0]
 
-    def ids_of(self, word: str) -> list[int]:
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            found = self.known[word] = self.merge(word)
-        return found
-
-    def encode(self, text: str | None) -> list[int]:
-        out: list[int] = []
-        for part in self.special.split(text or ""):
-            if part in self.added:
-                out.append(self.added[part])
-            else:
-                for word in self.words(part):
-                    out.extend(self.ids_of(word))
+    def merge_all(self, words: list[str]) -> list[list[int]]:
+        """The ids of many words: short ones share the steps of one table of trees, long ones have a tree each."""
+        out: list[list[int]] = [[]] * len(words)
+        sizes = np.array([len(w.encode()) for w in words], np.int64)
+        for low, high in ((1, 2), (3, 5), (6, 9), (10, 17), (18, LONGEST_ROW)):
+            own = np.flatnonzero((sizes >= low) & (sizes <= high))
+            for at in range(0, len(own), ROWS):
+                chosen = own[at:at + ROWS]
+                for i, ids in zip(chosen.tolist(), self._merge_rows([words[i] for i in chosen], sizes[chosen], high), strict=True):
+                    out[i] = ids
+        for i in np.flatnonzero(sizes > LONGEST_ROW).tolist():
+            out[i] = self.merge(words[i])
         return out
 
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs; NO_RANK where they do not merge."""
+        key = (left.astype(np.int64) << 32) | right
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], NO_RANK)
+
+    def _merge_rows(self, words: list[str], sizes: np.ndarray, longest: int) -> list[list[int]]:
+        """One tree per row: the same leftmost lowest merge and point updates as `merge`, a step of all rows at a time."""
+        rows, leaves = np.arange(len(words)), 1 << (longest - 2).bit_length()
+        symbols = np.full((len(words), longest + 1), -1, np.int64)
+        inside = np.arange(longest + 1) < sizes[:, None]
+        symbols[inside] = self.byte_ids[np.frombuffer("".join(words).encode(), np.uint8)]
+        symbols[rows, sizes - 1] = self.end_ids[np.frombuffer(b"".join(w.encode()[-1:] for w in words), np.uint8)]
+        after = np.tile(np.arange(1, longest + 2), (len(words), 1))
+        before = np.tile(np.arange(-1, longest), (len(words), 1))
+        tree = np.full((len(words), 2 * leaves), NO_RANK, np.int64)
+        pairs = self._rank(symbols[:, :-1], symbols[:, 1:])
+        tree[:, leaves:leaves + longest - 1] = np.where(inside[:, 1:], pairs, NO_RANK)[:, :longest - 1]
+        level = leaves // 2
+        while level:
+            tree[:, level:2 * level] = np.minimum(tree[:, 2 * level:4 * level:2], tree[:, 2 * level + 1:4 * level:2])
+            level //= 2
+
+        def put(own: np.ndarray, at: np.ndarray, rank: np.ndarray | int) -> None:
+            node = at + leaves
+            tree[own, node] = rank
+            while node.size and node[0] > 1:
+                node = node >> 1
+                tree[own, node] = np.minimum(tree[own, 2 * node], tree[own, 2 * node + 1])
+
+        while len(rows := rows[tree[rows, 1] < NO_RANK]):
+            low, node = tree[rows, 1], np.ones(len(rows), np.int64)
+            while node[0] < leaves:
+                node = 2 * node + (tree[rows, 2 * node] != low)
+            at = node - leaves
+            right = after[rows, at]
+            following, earlier = after[rows, right], before[rows, at]
+            new = self.merged[low]
+            symbols[rows, at], symbols[rows, right] = new, -1
+            after[rows, at] = following
+            goes_on = following < sizes[rows]
+            before[rows[goes_on], following[goes_on]] = at[goes_on]
+            has_pair = right < sizes[rows] - 1
+            put(rows[has_pair], right[has_pair], NO_RANK)
+            put(rows, at, np.where(goes_on, self._rank(new, symbols[rows, np.minimum(following, longest)]), NO_RANK))
+            has_earlier = earlier >= 0
+            put(rows[has_earlier], earlier[has_earlier], self._rank(symbols[rows[has_earlier], earlier[has_earlier]], new[has_earlier]))
+        left = symbols >= 0
+        flat, ends = symbols[left].tolist(), np.cumsum(left.sum(axis=1)).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+    def learn(self, words: set[str]) -> None:
+        """Remember the ids of `words`; when too many are known, only these stay."""
+        if len(self.known) + len(words) > REMEMBERED:
+            self.known = {w: self.known[w] for w in words if w in self.known}
+        new = [w for w in words if w not in self.known]
+        self.known.update(zip(new, self.merge_all(new), strict=True))
+
+    def parts(self, text: str | None) -> list[str | list[str]]:
+        """Added tokens as they are, and the words of the text between them."""
+        return [part if part in self.added else self.words(part) for part in self.special.split(text or "")]
+
+    def encode_all(self, texts: list[str | None]) -> Iterator[list[int]]:
+        split = [self.parts(text) for text in texts]
+        self.learn({w for parts in split for part in parts if isinstance(part, list) for w in part})
+        for parts in split:
+            yield [i for part in parts for i in ([self.added[part]] if isinstance(part, str) else [i for w in part for i in self.known[w]])]
+
     def decode(self, ids: list[int]) -> str:
         """The tokens joined by one space; the file names no other decoder."""
         return " ".join(map(self.tokens.__getitem__, ids))
 
 
-class _Texts(dict):
-    """Word -> its ids as decimal text, or its decoded text, made when first asked for."""
-
-    def __init__(self, make):
-        super().__init__()
-        self.make = make
-
-    def __missing__(self, word: str) -> str:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = made = self.make(word)
-        return made
-
-
 class Digests:
-    """Ids and decoded text of a document as they are hashed, word by word."""
+    """Ids and decoded text of documents as they are hashed, put together word by word."""
 
     def __init__(self, bpe: WordBpe):
         self.bpe = bpe
-        self.decimal = _Texts(lambda word: " ".join(map(str, bpe.ids_of(word))))
-        self.decoded = _Texts(lambda word: bpe.decode(bpe.ids_of(word)))
-
-    def of(self, text: str) -> tuple[int, str, str]:
-        decimal, decoded = [], []
-        for part in self.bpe.special.split(text):
-            if part in self.bpe.added:
-                decimal.append(str(self.bpe.added[part]))
-                decoded.append(part)
-            elif words := self.bpe.words(part):
-                decimal.append(" ".join(map(self.decimal.__getitem__, words)))
-                decoded.append(" ".join(map(self.decoded.__getitem__, words)))
-        ids = " ".join(decimal)
-        return (ids.count(" ") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(),
-                hashlib.sha256(" ".join(decoded).encode()).hexdigest())
+        self.decimal: dict[str, str] = {}
+        self.decoded: dict[str, str] = {}
+
+    def learn(self, words: set[str]) -> None:
+        self.bpe.learn(words)
+        known = self.bpe.known
+        if len(self.decimal) > len(known):  # some were forgotten
+            self.decimal, self.decoded = {}, {}
+        numbers, tokens = self.bpe.numbers.__getitem__, self.bpe.tokens.__getitem__
+        for word in words:
+            if word not in self.decimal:
+                ids = known[word]
+                self.decimal[word] = " ".join(map(numbers, ids))
+                self.decoded[word] = " ".join(map(tokens, ids))
+
+    def of(self, texts: list[str | None]) -> Iterator[tuple[int, str, str]]:
+        """(number of ids, SHA-256 of the ids, SHA-256 of the decoded text) of each text."""
+        split = [self.bpe.parts(text) for text in texts]
+        self.learn(set().union(*(part for parts in split for part in parts if isinstance(part, list))))
+        for parts in split:
+            decimal, decoded = [], []
+            for part in parts:
+                if isinstance(part, str):
+                    decimal.append(str(self.bpe.added[part]))
+                    decoded.append(part)
+                elif part:
+                    decimal.append(" ".join(map(self.decimal.__getitem__, part)))
+                    decoded.append(" ".join(map(self.decoded.__getitem__, part)))
+            ids = " ".join(decimal)
+            yield (ids.count(" ") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(),
+                   hashlib.sha256(" ".join(decoded).encode()).hexdigest())
+
+
+def _by_size(texts: pa.Array) -> Iterator[list[str | None]]:
+    """The texts in lists of bounded size (or of one long text)."""
+    held: list[str | None] = []
+    size = 0
+    for text in texts:
+        held.append(text.as_py())
+        size += len(held[-1] or "")
+        if size >= TEXT_CHARS:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 _LOADED: dict[str, Digests] = {}
@@ -212,7 +307,7 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _digests(content.value).bpe
         for batch in batches:
-            ids = pa.array((bpe.encode(t.as_py()) for t in batch.column("text")), pa.list_(pa.int32()))
+            ids = pa.array((ids for texts in _by_size(batch.column("text")) for ids in bpe.encode_all(texts)), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), ids], names=[*kept, "ids"])
 
     return docs.select(*kept, "text").mapInArrow(run, schema)
@@ -240,7 +335,7 @@ def digest_report(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digests = _digests(content.value)
         for batch in batches:
-            found = [digests.of(t.as_py() or "") for t in batch.column("text")]
+            found = [d for texts in _by_size(batch.column("text")) for d in digests.of(texts)]
             n, ids, text = zip(*found, strict=True) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(text, pa.string())],

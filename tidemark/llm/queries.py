@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, line_dedup, mixing, quality, token_files, warc
+from tidemark.llm import bpe, line_dedup, maxent_lm, mixing, neighbours, ngram_join, quality, token_files, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,14 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_report(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.url_verdicts(table(spark, sf_dir, "pages"))
+
+
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.file_report(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
@@ -37,6 +45,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op7_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent_lm.score_report(table(spark, sf_dir, "documents"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_report(table(spark, sf_dir, "pages"))
 
@@ -45,13 +57,21 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.component_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_bpe": op2_bpe,
+    "op3_url_filter": op3_url_filter,
+    "op4_neighbours": op4_neighbours,
     "op5_token_files": op5_token_files,
     "op6_quality": op6_quality,
+    "op7_maxent_lm": op7_maxent_lm,
     "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
+    "op10_ngram_join": op10_ngram_join,
 }
 
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"

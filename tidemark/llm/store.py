@@ -36,10 +36,13 @@ def remove(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(context._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
-def stored(df: DataFrame, name: str, *partition: str) -> DataFrame:
+def written(df: DataFrame, name: str) -> str:
+    """Write a frame as Parquet to a fresh path and return the path."""
+    path = new_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a frame once as Parquet and read it back: lineage is cut, later reads are pruned."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(*partition) if partition else writer).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(written(df, name))
