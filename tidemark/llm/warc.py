@@ -4,8 +4,8 @@ Each page is one record. Of pages with equal payloads of at least `min_bytes`, t
 `response`; the others are `revisit` records that name it and carry no payload. A response holds an HTTP message with
 chunked transfer framing. One longer than `segment_bytes` is cut into segments: the first record has segment number 1,
 the others are `continuation` records that name the first one as their origin, and the last one states the total length.
-Segments are dealt to the archives on their own, so reading has to bring them together: records are grouped by origin,
-ordered by segment number, their total length is verified, and the chunked framing is decoded.
+Segments may lie in any archives, so reading brings them together: records are grouped by origin, ordered by segment
+number, their total length is verified, and the chunked framing is decoded.
 
 * A null html is an empty payload; it is a payload like others. Further columns are ignored.
 * Rows with a null page_id are left out: a record needs a name. Repeated page ids with equal payloads are one record;
@@ -25,7 +25,6 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tidemark.llm.store import new_path, stored
 
@@ -144,10 +143,14 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES, segm
     last = ids.groupBy("sha").agg(F.max("page_id").alias("last"))
     shared = ids.join(last, "sha").where((F.col("bytes") >= min_bytes) & (F.col("page_id") != F.col("last")))
     revisits = stored(shared.select("page_id", "url", "sha", "bytes", F.col("last").alias("refers_to")), "revisits")
-    # Payloads meet the ids they are needed for by page id; those of revisits stay behind.
+    # Payloads meet the ids they are needed for by page id; those of revisits stay behind. Their one shuffle also
+    # deals the records to archives, so the join is never turned into a broadcast, whatever the size.
     wanted = ids.join(revisits.select("page_id"), "page_id", "left_anti").select("page_id", F.col("sha").alias("own"))
-    full = (named.withColumn("sha", F.sha1("html")).join(wanted, "page_id").where("sha = own")
-            .dropDuplicates(["page_id"]) if _repeats(named, ids) else named.join(wanted, "page_id")).select("page_id", "url", "html")
+    archives = max(1, -(-total // ARCHIVE_BYTES))
+    joined = named.repartition(archives, "page_id").hint("merge").join(wanted, "page_id")
+    if _repeats(named, ids):
+        joined = joined.where(F.sha1("html") == F.col("own")).dropDuplicates(["page_id"])
+    full = joined.select("page_id", "url", "html")
 
     def responses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -162,9 +165,8 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES, segm
                           for r in batch.to_pylist()])
 
     records = full.mapInArrow(responses, _RECORD).unionByName(revisits.mapInArrow(visits, _RECORD))
-    archives = max(1, -(-total // ARCHIVE_BYTES))
-    dealt = records.repartition(archives, "page_id", "number")
-    dealt.select(F.col("record").cast("string").alias("value")).write.option("lineSep", END).option("compression", "gzip").text(path)
+    lines = records.select(F.col("record").cast("string").alias("value"))
+    lines.write.option("lineSep", END).option("compression", "gzip").text(path)
 
 
 def _repeats(named: DataFrame, ids: DataFrame) -> bool:
