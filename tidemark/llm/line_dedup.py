@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.store import stored
+from tidemark.llm.store import boxed, stored, unboxed
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -110,9 +110,10 @@ def with_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
 
 def drop_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """The rows with repeated lines cut from `text`; a row without dropped lines keeps its text, null included."""
-    marked = with_bitmaps(docs, min_chars, min_docs)
+    used = ("doc_id", "text")
+    marked = with_bitmaps(boxed(docs, *used), min_chars, min_docs)
     text = F.when(F.col("_words").isNull(), F.col("text")).otherwise(kept_text(F.col("text"), F.col("_words")))
-    return marked.withColumn("text", text).select(*docs.columns)
+    return unboxed(marked.withColumn("text", text), docs.columns, *used)
 
 
 def line_report(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:

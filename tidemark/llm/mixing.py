@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.store import stored
+from tidemark.llm.store import boxed, stored, unboxed
 
 BLOCK_SIZE = 1 << 16
 RESOLUTION = 1000
@@ -137,11 +137,12 @@ def mixing_report(docs: DataFrame) -> DataFrame:
 
 def mixed(docs: DataFrame, weights: DataFrame | None = None, block_size: int = BLOCK_SIZE, file_size: int = FILE_SIZE) -> DataFrame:
     """The rows of `docs` in the order of the schedule: partition by partition, so file by file, and inside each."""
-    found = scheduled(docs, weights, block_size)
+    used = ("doc_id", "source", "text")
+    found = scheduled(boxed(docs, *used), weights, block_size)
     n, chars = docs.agg(F.count("*"), F.sum(F.length("text"))).first()
     last = found.agg(F.max("_slot")).first()[0] if n else None
     files = max(1, -(-(chars or 0) // file_size))
     place = F.least(F.lit(files - 1), F.expr(f"_slot * {files} div {(last or 0) + 1}").cast("int"))
     ordered = found.withColumn("_file", F.coalesce(place, F.lit(files - 1)))
-    return ordered.repartitionById(files, F.col("_file")).sortWithinPartitions(
-        F.col("_slot").asc_nulls_last(), "_start", "doc_id").select(*docs.columns)
+    dealt = ordered.repartitionById(files, F.col("_file")).sortWithinPartitions(F.col("_slot").asc_nulls_last(), "_start", "doc_id")
+    return unboxed(dealt, docs.columns, *used)

@@ -33,6 +33,7 @@ DIMENSIONS = 8
 #: 0.98 quantile of chi-square with 8 degrees of freedom: the chance that the test stops before a true neighbour is 2 %.
 STOP = 18.168
 SEED = 5
+ROUNDING = 1e-9
 SAMPLE_ROWS = 20_000
 MAX_CELLS = 256
 BLOCK_ROWS = 8192
@@ -101,12 +102,12 @@ class Block:
         order = np.argsort(distance, kind="stable")
         ids, scores = np.zeros(0, np.int64), np.zeros(0)
         limit, at, step = bound, 0, 2
-        while at < len(order) and distance[order[at]] <= STOP * limit * limit:
+        while at < len(order) and distance[order[at]] <= reach(limit, point):
             leaves = order[at:at + step]
-            own = np.concatenate([self.leaves[i] for i in leaves[distance[leaves] <= STOP * limit * limit]])
+            own = np.concatenate([self.leaves[i] for i in leaves[distance[leaves] <= reach(limit, point)]])
             at, step = at + step, min(64, step * 2)
             apart = self.points[own] - point
-            own = own[((apart * apart).sum(axis=1) <= STOP * limit * limit) & (self.ids[own] != query_id)]
+            own = own[((apart * apart).sum(axis=1) <= reach(limit, point)) & (self.ids[own] != query_id)]
             if not len(own):
                 continue
             apart = self.vectors[own] - vector
@@ -119,6 +120,11 @@ class Block:
         return ids, scores
 
 
+def reach(limit: float, point: np.ndarray) -> float:
+    """Squared projected distance up to which a neighbour within `limit` is looked for, and a little for rounding."""
+    return STOP * limit * limit + ROUNDING * (1.0 + float(point @ point))
+
+
 def usable(embeddings: DataFrame) -> DataFrame:
     """(vec_id, vector) of the rows that take part."""
     vector = F.col("embedding").cast("array<double>")
@@ -179,8 +185,8 @@ def nearest(embeddings: DataFrame, every: int = QUERY_EVERY) -> DataFrame:
     groups = max(1, -(-queries.count() // QUERY_ROWS))
 
     boxes = _boxes(data, length)
-    reach = queries.mapInPandas(_reach(boxes, blocks, matrix), "query_id bigint, vector array<double>, bound double, cell bigint, part int")
-    reach = reach.withColumn("q", F.pmod(F.xxhash64("query_id"), F.lit(groups)))
+    asked = queries.mapInPandas(_reach(boxes, blocks, matrix), "query_id bigint, vector array<double>, bound double, cell bigint, part int")
+    asked = asked.withColumn("q", F.pmod(F.xxhash64("query_id"), F.lit(groups)))
     spread = data.withColumn("q", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(groups - 1).cast("bigint"))))
 
     def other_block(frame: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
@@ -191,7 +197,7 @@ def nearest(embeddings: DataFrame, every: int = QUERY_EVERY) -> DataFrame:
                       for i, v, b in zip(asked["query_id"], asked["vector"], asked["bound"], strict=True))
 
     keys = ["cell", "part", "q"]
-    further = spread.groupBy(*keys).cogroup(reach.groupBy(*keys)).applyInPandas(other_block, _FOUND)
+    further = spread.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(other_block, _FOUND)
     ranked = first.unionByName(further).withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id")))
     return ranked.where(F.col("rank") <= K).select("query_id", "rank", "vec_id", "score")
 
@@ -230,7 +236,7 @@ def _reach(boxes: pd.DataFrame, blocks: dict[int, int], matrix: np.ndarray):
             for query, vector, cell, part, bound in zip(frame["query_id"], frame["vector"], frame["cell"], frame["part"], frame["bound"], strict=True):
                 point = np.asarray(vector, np.float64) @ matrix
                 outside = np.maximum(np.maximum(low - point, point - high), 0.0)
-                near = (outside * outside).sum(axis=1) <= (np.inf if np.isnan(bound) else STOP * bound * bound)
+                near = (outside * outside).sum(axis=1) <= reach(np.inf if np.isnan(bound) else bound, point)
                 rows += [(query, vector, bound, c, p) for c in cells[near] for p in range(blocks[c]) if (c, p) != (cell, part)]
             yield pd.DataFrame(rows, columns=["query_id", "vector", "bound", "cell", "part"])
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import textbytes
-from tidemark.llm.store import stored
+from tidemark.llm.store import boxed, stored, unboxed
 
 MIN_WORDS = 50
 MAX_REPEATED = 50
@@ -230,4 +230,6 @@ def kept_documents(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that pass, with their own columns."""
     rows = stored(with_statistics(docs.select("lang", "source", "text"), keep_text=False), "quality-statistics")
     found = estimates(passing(rows))
-    return verdicts(with_statistics(docs, keep_text=True), found).where("_kept").select(*docs.columns)
+    used = ("lang", "source", "text")
+    rows = with_statistics(boxed(docs, *used), keep_text=True)
+    return unboxed(verdicts(rows, found).where("_kept"), docs.columns, *used)

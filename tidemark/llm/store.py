@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -46,3 +47,14 @@ def written(df: DataFrame, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a frame once as Parquet and read it back: lineage is cut, later reads are pruned."""
     return df.sparkSession.read.schema(df.schema).parquet(written(df, name))
+
+
+def boxed(df: DataFrame, *used: str) -> DataFrame:
+    """The columns an operator uses, and all others inside the struct `_rest`, where their names cannot clash."""
+    others = [c for c in df.columns if c not in used]
+    return df.select(*used, (F.struct(*(F.col(f"`{c}`") for c in others)) if others else F.lit(0)).alias("_rest"))
+
+
+def unboxed(df: DataFrame, columns: list[str], *used: str) -> DataFrame:
+    """The columns of `boxed` in their first order."""
+    return df.select(*(F.col(c) if c in used else F.col("_rest").getField(c).alias(c) for c in columns))
