@@ -1,20 +1,52 @@
-"""The text pipeline: each stage takes (spark, docs, sf_dir) and its result is written and read again."""
+"""The text pipeline: each stage takes (spark, docs, sf_dir), and its result is written and read again by the next.
+
+quality     documents that fail the quality rules go
+line_dedup  repeated lines go, but for the last document that holds them
+near_copies one document of each group of near copies stays (five-word shingles, similarity of 0.8 or more)
+mixing      the documents in the order of the source schedule, file by file; none is dropped or repeated
+bpe         the token ids of each document's whole text
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup
+from tidemark.llm import bpe, line_dedup, mixing, ngram_join, quality
+from tidemark.llm.queries import tokenizer
 from tidemark.llm.store import stored
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.kept_documents(docs)
+
+
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_dedup.drop_lines(docs)
 
 
-STAGES = [("line_dedup", line_dedup_stage)]
+def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return ngram_join.one_of_each(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mixed(docs)
+
+
+def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    encoded = bpe.encoded(docs.select("doc_id", "source", "text"), tokenizer("word_bpe_49k.json"))
+    return encoded.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
+STAGES = [
+    ("quality", quality_stage),
+    ("line_dedup", line_dedup_stage),
+    ("near_copies", near_copies_stage),
+    ("mixing", mixing_stage),
+    ("bpe", bpe_stage),
+]
 
-#: BPE ids and their digests cannot be expressed in SQL; the stages are tested against plain Python versions.
+#: SQL expresses neither robust covariances nor BPE; the stages are tested against plain Python versions.
 ORACLE_SQL = None
 
 
