@@ -35,10 +35,14 @@ def test_each_pattern_is_found(spark, text, kind, level):
     assert pii.LEVELS.index(found["sensitivity"]) >= pii.LEVELS.index(level)
 
 
-def test_findings_are_cut_but_sensitivity_is_not(spark):
+def test_all_findings_count(spark):
     text = " ".join(f"a{i}@b.com" for i in range(12)) + " 12-34-56-12345678"
     found = _one(spark, text, pii.detect_pii)
-    assert found["pii_count"] == 10 and found["sensitivity"] == "HIGH" and "Financial" in found["categories"]
+    counts = {f["type"]: f["n"] for f in found["findings"]}
+    assert counts["email"] == 12 and counts["bank_account"] == 1 and found["pii_count"] == sum(counts.values())
+    assert found["sensitivity"] == "HIGH" and "Financial" in found["categories"]
+    accented = _one(spark, "é07123456789é", pii.detect_pii)
+    assert {f["type"] for f in accented["findings"]} >= {"uk_phone"}
     for empty in (None, ""):
         found = _one(spark, empty, pii.detect_pii)
         assert (found["sensitivity"], found["pii_count"], found["categories"]) == ("NONE", 0, [])

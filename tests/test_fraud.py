@@ -23,7 +23,7 @@ def test_sequential_scores_do_not_depend_on_chunks(spark):
             expected[f"{key}{i:04d}"] = (seen, score)
     df = spark.createDataFrame(rows, "k string, id string, n long, base double, risk double").repartition(4)
     for chunk in (2, 5, 50, 1000):
-        got = sequential_scores(df, "k", "id", "n", "base", "risk", 0.15, "seen", "score", chunk=chunk).collect()
+        got = sequential_scores(df, "k", "n", "base", "risk", 0.15, "seen", "score", chunk=chunk).collect()
         assert len(got) == len(rows)
         for r in got:
             assert (r["seen"], r["score"]) == pytest.approx(expected[r["id"]], abs=1e-9)

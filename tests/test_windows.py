@@ -67,3 +67,12 @@ def test_running_stats_and_neighbours_do_not_depend_on_buckets(spark):
                 assert back[row[4]]["prev"] == (group[i - 1][4] if i else None)
                 assert ahead[row[4]]["next"] == (group[i + 1][4] if i + 1 < len(group) else None)
                 assert recent[row[4]] == [x[4] for x in group[max(0, i - 2):i + 1]]
+
+
+def test_a_busy_key_enters_the_window_once_per_second(spark):
+    """200,000 holders on one key in 600 seconds: a few rows per second, however many entries leave and enter."""
+    df = spark.range(200_000).selectExpr("'hot' AS k", "1000000 + id % 600 AS at", "id AS person")
+    entered = []
+    out = sliding_stats(df, ["k"], "at", 3600, 3600, count="n", distinct=("people", "person"), entered=entered)
+    assert entered[0].count() <= 7 * 600
+    assert {(r.n, r.people) for r in out.collect()} == {(200_000, 200_000)}

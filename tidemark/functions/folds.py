@@ -14,17 +14,20 @@ lower envelope of a few lines, which makes long keys divisible:
 3. per key, the few summaries are applied one after another to give every chunk its starting sum;
 4. all chunks are evaluated from their starting sums (in parallel).
 
-Keys shorter than a chunk only take step 4. The Python part keeps one number per row in flight.
+Keys shorter than a chunk only take step 4, which goes row number by row number over all keys of an Arrow batch at once
+and hands the other columns on as they are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 
 def _lower_envelope(lines: list[tuple[float, float]], top: float) -> list[tuple[float, float]]:
@@ -87,45 +90,79 @@ def _starts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["_key", "_chunk", "_start"])
 
 
-def _scores(weight: float):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, total = None, 0.0
-        for pdf in batches:
-            risks, scores = [], []
-            for key, chunk, n, base, risk, start in zip(pdf["_key"], pdf["_chunk"], pdf["_n"], pdf["_base"],
-                                                        pdf["_risk"], pdf["_start"]):
-                if (key, chunk) != current:
-                    current, total = (key, chunk), start
-                seen = risk if n == 1 else (risk + total / (n - 1)) / 2
-                seen = min(seen, 1.0)
-                score = min(base + weight * seen, 1.0)
-                total += score
-                risks.append(seen)
-                scores.append(score)
-            yield pd.DataFrame({"_id": pdf["_id"], "_n": pdf["_n"], "_seen": risks, "_score": scores})
+# Below so many keys a step of all of them costs more than going through their rows one by one.
+_FEW = 12
+
+
+def _evaluate(firsts: np.ndarray, lengths: np.ndarray, n: np.ndarray, base: np.ndarray, risk: np.ndarray, totals: np.ndarray,
+              weight: float) -> tuple[np.ndarray, np.ndarray]:
+    """(risk, score) of every row; runs of rows start at ``firsts`` and ``totals`` are their sums so far, updated in place.
+
+    One step takes the next row of every run that has one, longest runs first.
+    """
+    risks, scores = np.empty(len(n)), np.empty(len(n))
+    order = np.argsort(-lengths, kind="stable")
+    first, length, total = firsts[order], lengths[order], totals[order]
+    step, active = 0, len(order)
+    while active >= _FEW:
+        rows = first[:active] + step
+        seen = np.where(n[rows] == 1, risk[rows], (risk[rows] + total[:active] / np.maximum(n[rows] - 1, 1)) / 2)
+        risks[rows] = np.minimum(seen, 1.0)
+        scores[rows] = np.minimum(base[rows] + weight * risks[rows], 1.0)
+        total[:active] += scores[rows]
+        step += 1
+        active = int(np.searchsorted(-length, -step, "left"))
+    for run in range(active):
+        so_far = float(total[run])
+        for row in range(first[run] + step, first[run] + length[run]):
+            seen = risk[row] if n[row] == 1 else (risk[row] + so_far / (n[row] - 1)) / 2
+            risks[row] = min(seen, 1.0)
+            scores[row] = min(base[row] + weight * risks[row], 1.0)
+            so_far += scores[row]
+        total[run] = so_far
+    totals[order] = total
+    return risks, scores
+
+
+def _scores(weight: float, kept: list[str], names: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, carried = None, 0.0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = batch.column("_key").to_numpy(zero_copy_only=False)
+            chunks, n, base, risk, start = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_chunk", "_n", "_base", "_risk", "_start"))
+            new = np.ones(len(keys), bool)
+            new[1:] = (keys[1:] != keys[:-1]) | (chunks[1:] != chunks[:-1])
+            firsts = np.flatnonzero(new)
+            lengths = np.diff(np.append(firsts, len(keys)))
+            totals = start[firsts].copy()
+            if current == (keys[0], chunks[0]):
+                totals[0] = carried
+            risks, scores = _evaluate(firsts, lengths, n, base, risk, totals, weight)
+            current, carried = (keys[-1], chunks[-1]), totals[-1]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(risks), pa.array(scores)], names=[*kept, *names])
     return run
 
 
-def sequential_scores(df: DataFrame, key: str, row_id: str, number: str, base: str, risk: str, weight: float,
+def sequential_scores(df: DataFrame, key: str, number: str, base: str, risk: str, weight: float,
                       risk_name: str, score_name: str, chunk: int = 50_000) -> DataFrame:
-    """(row id, number, risk, score) of the recurrence above.
+    """The rows of ``df`` with the risk and score of the recurrence above.
 
     ``number`` is the row number per key (see ``numbered_rows``), ``base`` and ``risk`` are
-    non-negative and ``row_id`` is text. The frame is read three times, so it should be a stored one.
+    non-negative. The frame is read three times, so it should be a stored one.
     """
-    rows = df.select(
-        F.col(key).alias("_key"), F.col(row_id).alias("_id"), F.col(number).cast("long").alias("_n"),
-        F.col(base).cast("double").alias("_base"), F.col(risk).cast("double").alias("_risk"),
-        ((F.col(number) - 1) / F.lit(chunk)).cast("long").alias("_chunk"))
+    rows = df.withColumns({
+        "_key": F.col(key), "_n": F.col(number).cast("long"), "_base": F.col(base).cast("double"),
+        "_risk": F.col(risk).cast("double"), "_chunk": ((F.col(number) - 1) / F.lit(chunk)).cast("long")})
     ordered = lambda frame, *by: (frame.repartition(*[F.col(c) for c in by[:-1]])
                                   .sortWithinPartitions(*by))
     followed = rows.where((F.col("_chunk") > 0) & (F.pmod(F.col("_n") - 1, F.lit(chunk)) == 0)).select(
         "_key", (F.col("_chunk") - 1).alias("_chunk"))
-    envelopes = ordered(rows.join(followed, ["_key", "_chunk"], "left_semi"), "_key", "_chunk", "_n").mapInPandas(
+    facts = rows.select("_key", "_chunk", "_n", "_base", "_risk")
+    envelopes = ordered(facts.join(followed, ["_key", "_chunk"], "left_semi"), "_key", "_chunk", "_n").mapInPandas(
         _summaries(weight), "_key string, _chunk long, _slopes array<double>, _offsets array<double>")
     starts = ordered(envelopes, "_key", "_chunk").mapInPandas(_starts, "_key string, _chunk long, _start double")
     begun = rows.join(starts, ["_key", "_chunk"], "left").withColumn("_start", F.coalesce("_start", F.lit(0.0)))
-    scored = ordered(begun, "_key", "_chunk", "_n").mapInPandas(
-        _scores(weight), "_id string, _n long, _seen double, _score double")
-    return scored.select(F.col("_id").alias(row_id), F.col("_n").alias(number),
-                         F.col("_seen").alias(risk_name), F.col("_score").alias(score_name))
+    schema = StructType([*df.schema.fields, StructField(risk_name, DoubleType()), StructField(score_name, DoubleType())])
+    return ordered(begun, "_key", "_chunk", "_n").mapInArrow(_scores(weight, df.columns, [risk_name, score_name]), schema)

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tidemark import refdata
 
 LEVELS = ["NONE", "LOW", "MEDIUM", "HIGH"]
-KEPT_FINDINGS = 10
+# A word boundary for ASCII word characters, whatever letters stand around it.
+_BOUNDARY = "(?:(?<![A-Za-z0-9_])(?=[A-Za-z0-9_])|(?<=[A-Za-z0-9_])(?![A-Za-z0-9_]))"
 
 
 def _texts(values) -> Column:
@@ -23,7 +24,7 @@ def match_counts(text: Column, case_sensitive_names: bool = False) -> Column:
     """
     def flags(kind):
         return "" if kind == "person_name" and case_sensitive_names else "(?i)"
-    return F.array(*[F.coalesce(F.regexp_count(text, F.lit(flags(kind) + pattern)), F.lit(0))
+    return F.array(*[F.coalesce(F.regexp_count(text, F.lit(flags(kind) + pattern.replace(r"\b", _BOUNDARY))), F.lit(0))
                      for kind, pattern, _, _ in refdata.PII_PATTERNS])
 
 
@@ -34,21 +35,20 @@ def highest_level(counts: Column) -> Column:
 
 
 def finding_struct(counts: Column) -> Column:
-    """Struct of findings (the first ten in pattern order), sensitivity, categories and pii_count.
+    """Struct of findings, sensitivity, categories and pii_count, all over every match.
 
-    Sensitivity and categories are taken over all matches, ``pii_count`` after the cut. A finding
-    carries its type, not its text, so the counts are all that is needed.
+    ``findings`` has one entry for each pattern that matched, with the number of its matches.
     """
     kinds = F.array(*[F.struct(F.lit(kind).alias("type"), F.lit(category).alias("category"), F.lit(sensitivity).alias("sensitivity"))
                       for kind, _, sensitivity, category in refdata.PII_PATTERNS])
-    repeated = F.zip_with(counts, kinds, lambda n, kind: F.array_repeat(kind, F.least(n, F.lit(KEPT_FINDINGS))))
-    kept = F.slice(F.flatten(repeated), 1, KEPT_FINDINGS)
+    named = F.zip_with(counts, kinds, lambda n, kind: F.when(n > 0, F.struct(
+        kind["type"].alias("type"), kind["category"].alias("category"), kind["sensitivity"].alias("sensitivity"), n.alias("n"))))
     categories = F.zip_with(counts, _texts(c for _, _, _, c in refdata.PII_PATTERNS), lambda n, c: F.when(n > 0, c))
     return F.struct(
-        kept.alias("findings"),
+        F.array_compact(named).alias("findings"),
         name_of(highest_level(counts)).alias("sensitivity"),
         F.array_sort(F.array_distinct(F.array_compact(categories))).alias("categories"),
-        F.size(kept).alias("pii_count"))
+        F.aggregate(counts, F.lit(0), lambda total, n: total + n).alias("pii_count"))
 
 
 def detect_pii(text: Column, case_sensitive_names: bool = False) -> Column:

@@ -40,7 +40,7 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
 
 def sliding_stats(df: DataFrame, keys: list[str], at: str, before: int, after: int = 0, *,
                   count: str | None = None, sums: dict[str, str] | None = None,
-                  distinct: tuple[str, str] | None = None) -> DataFrame:
+                  distinct: tuple[str, str] | None = None, entered: list | None = None) -> DataFrame:
     """Statistics of the rows of the same key with ``at`` in [at - before, at + after].
 
     Gives one row per existing (keys, at). ``count`` names the row count, ``sums`` maps output names
@@ -52,6 +52,7 @@ def sliding_stats(df: DataFrame, keys: list[str], at: str, before: int, after: i
     window's value. A distinct item contributes from its own entry, or from where its previous
     occurrence has left, so overlapping occurrences count once. An interval is never longer than a
     block, so it reaches into one following block at most and each block is totalled on its own.
+    ``entered``, if given, receives the frame that enters the running window.
     """
     sums = sums or {}
     length = before + after + 1
@@ -108,9 +109,12 @@ def sliding_stats(df: DataFrame, keys: list[str], at: str, before: int, after: i
         turns = F.concat(
             F.array(turn(first, F.col("_from"), 1), turn(last, end, -1)),
             F.when(first < last, F.array(turn(last, last, 1))).otherwise(F.array().cast("array<struct<_block:bigint,_point:bigint,_items:bigint>>")))
-        sheets.append(visible.select(*keys, F.inline(turns)).select(
-            *keys, "_block", "_point", "_items", *blank(totals), F.lit(False).alias("_probe")))
+        # Combined per point before the window: many items that change at one second are one row there.
+        combined = visible.select(*keys, F.inline(turns)).groupBy(*keys, "_block", "_point").agg(F.sum("_items").alias("_items"))
+        sheets.append(combined.select(*keys, "_block", "_point", "_items", *blank(totals), F.lit(False).alias("_probe")))
     sheet = reduce(DataFrame.unionByName, sheets)
+    if entered is not None:
+        entered.append(sheet)
 
     running = (Window.partitionBy(*keys, "_block").orderBy("_point")
                .rangeBetween(Window.unboundedPreceding, Window.currentRow))

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from tidemark.config import AnomalyConfig
 from tidemark.functions.windows import null_safe_join, sliding_extremes, sliding_stats
 from tidemark.operators.silver import labels_of
-from tidemark.session import bounded_lookup
 
 _AT = "_claim_s"
 
@@ -231,7 +230,7 @@ def score_claims(df: DataFrame, baselines: DataFrame, cfg: AnomalyConfig = Anoma
 def anomaly_output(df: DataFrame, as_of: Column | None = None, detected_at: Column | None = None,
                    cfg: AnomalyConfig = AnomalyConfig()) -> DataFrame:
     """Scores of all claims against the baselines of the last 90 days."""
-    baselines = bounded_lookup(statistical_baselines(df, as_of, cfg))
+    baselines = statistical_baselines(df, as_of, cfg)
     stamp = detected_at if detected_at is not None else F.current_timestamp()
     return score_claims(df, baselines, cfg).select(*OUTPUT_COLUMNS, stamp.alias("anomaly_detection_timestamp"))
 

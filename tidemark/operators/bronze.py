@@ -258,9 +258,3 @@ def audit_projection(policies: DataFrame, claims: DataFrame, cfg: QualityConfig
                      "claim", "claim_id", "FLAG",
                      {"fraud_score": text("fraud_score"), "claim_amount": text("claim_amount"), **optional})
     return created.unionByName(flagged)
-
-
-def earliest(df: DataFrame, key: str, *order: str) -> DataFrame:
-    """Batch de-duplication by rank, for tables whose keys repeat only a few times."""
-    w = Window.partitionBy(key).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")

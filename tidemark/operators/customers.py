@@ -93,9 +93,12 @@ def claim_to_premium_ratio(claims: DataFrame, policies: DataFrame, holders: Data
     """Claim amount over premium and the customer's age on the claim date."""
     premium = policies.select("policy_number", "premium_amount")
     born = holders.select(F.col("policyholder_id").alias("customer_id"), "date_of_birth")
+    rows = claims.select("claim_id", "policy_number", "customer_id", "claim_date", "claim_amount_gbp")
+    # Claims without a policy number have nothing to join; in the join they would meet in one task.
+    without = rows.where("policy_number IS NULL").withColumn("premium_amount", F.lit(None).cast(premium.schema["premium_amount"].dataType))
+    rated = rows.where("policy_number IS NOT NULL").join(premium, "policy_number", "left").unionByName(without)
     return (
-        claims.select("claim_id", "policy_number", "customer_id", "claim_date", "claim_amount_gbp")
-        .join(premium, "policy_number", "left").join(born, "customer_id", "left")
+        rated.join(born, "customer_id", "left")
         .select("claim_id", F.try_divide("claim_amount_gbp", "premium_amount").alias("claim_to_premium_ratio"),
                 age_on(F.col("date_of_birth"), F.col("claim_date")).alias("customer_age_at_claim"))
     )

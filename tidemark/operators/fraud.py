@@ -98,6 +98,9 @@ def signal_text(df: DataFrame, column: str = "description") -> DataFrame:
     return df.withColumn("text_analysis", F.least(hits * F.lit(0.2), F.lit(1.0)))
 
 
+HOLDER_RISK_COLUMNS = ["holder_age", "holder_risk_score"]
+
+
 def holder_base_risk() -> Column:
     """The policyholder's own risk with the age adjustment."""
     age = F.col("holder_age")
@@ -148,15 +151,15 @@ def signal_policyholder_risk(cases: DataFrame, score_base: str = "score_base", w
                              chunk: int = 50_000) -> DataFrame:
     """The holder's risk averaged with the mean of the holder's earlier scores, claim by claim.
 
-    ``score_base`` is everything else that enters the score; gives claim_id, claim_number,
-    policyholder_risk and the score that follows. Cases without ``claim_number`` are numbered and
-    stored first.
+    ``score_base`` is everything else that enters the score. Numbered cases get policyholder_risk and
+    running_score, the score that follows; cases without ``claim_number`` are numbered and stored
+    first, with the columns needed only.
     """
     prepared = cases.withColumn("_hr", holder_base_risk())
     if "claim_number" not in cases.columns:
         prepared = cut(number_claims(prepared.select("policyholder_id", "claim_id", "incident_date", score_base, "_hr")))
-    return sequential_scores(prepared, "policyholder_id", "claim_id", "claim_number", score_base, "_hr", weight,
-                             "policyholder_risk", "running_score", chunk)
+    return sequential_scores(prepared, "policyholder_id", "claim_number", score_base, "_hr", weight,
+                             "policyholder_risk", "running_score", chunk).drop("_hr")
 
 
 def risk_level(score: Column, cfg: FraudConfig = FraudConfig()) -> Column:
@@ -208,16 +211,16 @@ def fraud_score(claims: DataFrame, policies: DataFrame, holders: DataFrame, edge
            + F.when(F.col("blacklisted"), cfg.blacklist_bonus).otherwise(0.0))
     kept = [c for c in signals.columns if c not in _CASE_ONLY]
     based = cut(number_claims(signals.withColumn("score_base", own).select(*kept, "score_base")))
-    first = signal_policyholder_risk(based, weight=cfg.weight_holder)
-    means = mean_scores(first.join(based.select("claim_id", "policyholder_id"), "claim_id"), "running_score")
-    network = cut(signal_network(edges, means, cfg).select("policyholder_id", "network"))
+    facts = ["policyholder_id", "claim_number", "score_base", *HOLDER_RISK_COLUMNS]
+    means = mean_scores(signal_policyholder_risk(based.select(*facts), weight=cfg.weight_holder), "running_score")
+    network = signal_network(edges, means, cfg).select("policyholder_id", "network")
     linked = based.join(network, "policyholder_id", "left")
     linked = linked.withColumn("network", F.coalesce("network", F.lit(0.0))).withColumn(
         "score_base", F.col("score_base") + F.col("network") * cfg.weight_network)
     second = signal_policyholder_risk(linked, weight=cfg.weight_holder)
     score, level = F.col("analysis_score"), F.col("risk_level")
     return (
-        linked.join(second.drop("claim_number"), "claim_id").withColumn("analysis_score", F.col("running_score"))
+        second.withColumn("analysis_score", F.col("running_score"))
         .withColumn("risk_level", risk_level(score, cfg))
         .withColumns({
             "is_flagged": score > cfg.medium,

@@ -133,7 +133,7 @@ def usage_daily_series(usage: DataFrame, as_of: Column, days: int = 7) -> DataFr
     calendar = usage.sparkSession.range(days).select(F.date_sub(day, F.col("id").cast("int")).alias("usage_date"))
     spent = (usage.where((F.col("usage_date") > F.date_sub(day, days)) & (F.col("usage_date") <= day))
              .groupBy("usage_date").agg(F.sum("cost").alias("cost")))
-    return F.broadcast(calendar).join(spent, "usage_date", "left").withColumn("cost", F.coalesce("cost", F.lit(0.0)))
+    return calendar.join(spent, "usage_date", "left").withColumn("cost", F.coalesce("cost", F.lit(0.0)))
 
 
 def usage_month_summary(usage: DataFrame, as_of: Column, budget: float) -> DataFrame:

@@ -72,13 +72,23 @@ def pii_summary(classified: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------------------- masking
 
-def dynamic_masking(claims: DataFrame, classified: DataFrame, masked_at: Column | None = None) -> DataFrame:
-    """Claims with their sensitivity and the columns masked accordingly."""
-    levels = classified.select("claim_id", F.col("overall_sensitivity").alias("_s"), F.col("contains_pii").alias("_p"),
-                               F.col("gdpr_risk_score").alias("_r"))
-    joined = claims.join(levels, "claim_id", "left").withColumns({
-        "sensitivity": F.coalesce("_s", F.lit("NONE")), "has_pii": F.coalesce("_p", F.lit(False)),
-        "risk_score": F.coalesce("_r", F.lit(0.0))}).drop("_s", "_p", "_r")
+LEVEL_COLUMNS = ["overall_sensitivity", "contains_pii", "gdpr_risk_score"]
+
+
+def with_stored_levels(claims: DataFrame, classified: DataFrame) -> DataFrame:
+    """Claims with the level columns of a classification stored earlier."""
+    return claims.join(classified.select("claim_id", *LEVEL_COLUMNS), "claim_id", "left")
+
+
+def dynamic_masking(claims: DataFrame, classified: DataFrame | None = None, masked_at: Column | None = None) -> DataFrame:
+    """Claims with their sensitivity and the columns masked accordingly.
+
+    Claims classified in place carry their levels; only a stored classification is joined.
+    """
+    levelled = claims if classified is None else with_stored_levels(claims, classified)
+    joined = levelled.withColumns({
+        "sensitivity": F.coalesce("overall_sensitivity", F.lit("NONE")), "has_pii": F.coalesce("contains_pii", F.lit(False)),
+        "risk_score": F.coalesce("gdpr_risk_score", F.lit(0.0))}).drop(*LEVEL_COLUMNS)
     level = F.col("sensitivity")
     high, some = level == "HIGH", level.isin("HIGH", "MEDIUM")
 
@@ -86,7 +96,7 @@ def dynamic_masking(claims: DataFrame, classified: DataFrame, masked_at: Column
         return F.when(condition, mask(F.col(column))).otherwise(F.col(column))
 
     def redacted(column, pattern, replacement):
-        return (F.when(high, "[REDACTED - Contains sensitive PII]")
+        return (F.when(high, refdata.REDACTED_TEXT)
                 .when(level == "MEDIUM", F.regexp_replace(column, pattern, replacement)).otherwise(F.col(column)))
 
     reason = F
@@ -103,7 +113,7 @@ def dynamic_masking(claims: DataFrame, classified: DataFrame, masked_at: Column
         "claim_notes_masked": redacted("claim_notes", refdata.MASK_EMAIL, "[EMAIL]"),
         "masking_applied": level != "NONE",
         "masking_level": level,
-        "masking_reason": reason.otherwise("No masking required"),
+        "masking_reason": reason.otherwise(refdata.NO_MASKING),
     })
 
 
@@ -129,7 +139,7 @@ def partner_view(masked: DataFrame) -> DataFrame:
 def audit_view(masked: DataFrame) -> DataFrame:
     """Auditors: everything, stamped with who looked and when."""
     return masked.select("*", F.current_user().alias("accessed_by"), F.current_timestamp().alias("accessed_at"),
-                         F.lit("AUDIT_ACCESS").alias("access_reason"))
+                         F.lit(refdata.AUDIT_ACCESS).alias("access_reason"))
 
 
 def masking_stats(masked: DataFrame) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import refdata
+from tidemark.sources.sinks import export_files, read_export
 
 _DAYS = {kind: days for category, kind, days, _ in refdata.RETENTION_POLICIES if category == "claims"}
 
@@ -15,17 +16,18 @@ def retention_policies(spark) -> DataFrame:
                                 refdata.RETENTION_POLICIES).withColumn("active", F.lit(True))
 
 
-def claims_retention(claims: DataFrame, classified: DataFrame, as_of: Column) -> DataFrame:
-    """Claims with their retention category, period, end date and days left."""
-    levels = classified.select("claim_id", "overall_sensitivity")
+def claims_retention(claims: DataFrame, as_of: Column) -> DataFrame:
+    """Claims with their retention category, period, end date and days left.
+
+    Only ``deletion_schedule`` reads the sensitivity; the claims bring it along if they are classified.
+    """
     category = (F.when(F.col("fraud_score") > 0.8, "fraud").when(F.col("claim_status") == "REJECTED", "declined")
                 .otherwise("standard"))
     period = F
     for kind, days in _DAYS.items():
         period = period.when(F.col("retention_category") == kind, days)
     return (
-        claims.join(levels, "claim_id", "left")
-        .withColumns({"days_since_claim": F.datediff(F.to_date(as_of), F.to_date("claim_date")), "retention_category": category})
+        claims.withColumns({"days_since_claim": F.datediff(F.to_date(as_of), F.to_date("claim_date")), "retention_category": category})
         .withColumn("retention_days", period)
         .withColumns({
             "retention_end_date": F.date_add(F.to_date("claim_date"), F.col("retention_days")),
@@ -100,11 +102,9 @@ def erasure(claims: DataFrame, requests: DataFrame, erased_at: Column | None = N
     holds = legal_holds(claims, requests)
     granted = asked.join(holds, "customer_id", "left_anti")
     affected = claims.join(granted, "customer_id", "left_semi")
-    fixed = {"customer_name": "ANONYMIZED", "customer_email": "deleted@anonymous.com", "customer_phone": "0000000000",
-             "customer_address": "DELETED", "incident_description": "[REDACTED]", "claim_notes": "[REDACTED]"}
     anonymised = affected.select(
         "claim_id", F.concat(F.lit("DELETED_"), "claim_id").alias("customer_id"),
-        "claim_amount", "claim_date", "claim_type", "claim_status", *[F.lit(v).alias(c) for c, v in fixed.items()])
+        "claim_amount", "claim_date", "claim_type", "claim_status", *[F.lit(v).alias(c) for c, v in refdata.ERASED_VALUES.items()])
     counts = affected.groupBy("customer_id").agg(F.count("*").alias("records_affected"))
     refused = F.col("hold_count") > 0
     log = (asked.join(holds, "customer_id", "left").join(counts, "customer_id", "left").select(
@@ -120,18 +120,27 @@ EXPORTED = ["claim_id", "policy_number", "customer_id", "customer_name", "custom
             "claim_amount", "claim_date", "claim_type", "claim_status", "incident_location", "incident_description"]
 
 
-def export_customer_data(claims: DataFrame, classified: DataFrame, requests: DataFrame) -> DataFrame:
-    """All claims of the requesting customers with their classification."""
+def export_customer_data(claims: DataFrame, requests: DataFrame) -> DataFrame:
+    """All classified claims of the requesting customers."""
     asked = requests.select("customer_id").distinct()
-    levels = classified.select("claim_id", "overall_sensitivity", "gdpr_risk_score")
-    return claims.select(*EXPORTED).join(asked, "customer_id", "left_semi").join(levels, "claim_id", "left")
+    return claims.select(*EXPORTED, "overall_sensitivity", "gdpr_risk_score").join(asked, "customer_id", "left_semi")
+
+
+EXPORT_PART = "export_part"
+
+
+def write_export(exported: DataFrame, path: str, file_format: str = "json") -> str:
+    """Write the exported claims in folders by a prefix of the customer id's hash; a customer lies in one of them."""
+    parted = exported.withColumn(EXPORT_PART, F.left(F.sha2("customer_id", 256), F.lit(2)))
+    return export_files(parted.hint("rebalance", F.col(EXPORT_PART)), path, file_format, partition_by=[EXPORT_PART])
 
 
-def export_log(exported: DataFrame, file_format: str, path: str, exported_at: Column | None = None) -> DataFrame:
-    """One row per exported customer."""
-    return exported.groupBy("customer_id").agg(F.count("*").alias("records_exported")).withColumns({
+def export_log(spark: SparkSession, path: str, file_format: str = "json", exported_at: Column | None = None) -> DataFrame:
+    """One row per customer found in the written files, with the folder that holds the data."""
+    written = read_export(spark, path, file_format, f"customer_id string, {EXPORT_PART} string")
+    return written.groupBy("customer_id", EXPORT_PART).agg(F.count("*").alias("records_exported")).withColumns({
         "export_timestamp": exported_at if exported_at is not None else F.current_timestamp(),
         "format": F.lit(file_format),
-        "export_path": F.concat(F.lit(f"{path}/customer_id="), "customer_id"),
+        "export_path": F.concat(F.lit(f"{path}/{EXPORT_PART}="), EXPORT_PART),
         "gdpr_article": F.lit("Article 20 - Data Portability"),
     })

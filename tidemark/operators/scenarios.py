@@ -29,9 +29,9 @@ def detect_inflated_claims(cases: DataFrame, share: float = 0.8) -> DataFrame:
 def ring_members(claims: DataFrame, gap_hours: int = 48, amounts: tuple = (8000, 12000), size: int = 3) -> DataFrame:
     """Claims of alike amount, type and area that follow each other closely, by at least ``size`` holders.
 
-    A ring continues as long as the next claim comes within the gap. The previous claim is found and
-    the ring's start carried forward within (area, type, time bucket), and ring totals are combined
-    map-side, so even a ring that spans a whole area is never gathered in one place.
+    A ring continues as long as the next claim comes within the gap. Rings are chained over the distinct
+    seconds of an (area, type), in buckets as long as the gap, so that no group holds more rows than a gap
+    has seconds; the claims look their second's ring up, and ring totals are combined map-side.
     """
     at, keys = "_incident_s", ["postcode_area", "claim_type"]
     alike = (
@@ -40,10 +40,11 @@ def ring_members(claims: DataFrame, gap_hours: int = 48, amounts: tuple = (8000,
         .where(F.col("postcode_area") != "")
         .select(*keys, "claim_id", "policyholder_id", "claim_amount", "fraud_score",
                 F.unix_timestamp("incident_date").alias(at)))
-    linked = neighbour(alike, keys, at, ["claim_id"], 30 * DAY, {"_before": at})
-    opens = F.col("_before").isNull() | (F.col(at) - F.col("_before") > gap_hours * HOUR)
-    ringed = running_stats(linked, keys, at, ["claim_id"], 30 * DAY,
-                           {"ring_start_s": ("max", F.when(opens, F.col(at)))}).drop("_before")
+    gap = gap_hours * HOUR
+    linked = neighbour(alike.select(*keys, at).distinct(), keys, at, [], gap, {"_before": at})
+    opens = F.col("_before").isNull() | (F.col(at) - F.col("_before") > gap)
+    chained = running_stats(linked, keys, at, [], gap, {"ring_start_s": ("max", F.when(opens, F.col(at)))}).drop("_before")
+    ringed = null_safe_join(alike, chained, [*keys, at], "inner")
     ring = [*keys, "ring_start_s"]
     big = (ringed.groupBy(*ring).agg(F.count_distinct("policyholder_id").alias("ring_holders"))
            .where(F.col("ring_holders") >= size))
@@ -68,14 +69,14 @@ def ring_edges(members: DataFrame) -> DataFrame:
             .where("src <> dst").select("src", "dst").distinct())
 
 
-def ring_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+def ring_components(edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """Connected components of an undirected edge table: (node, component = its smallest node).
 
     Alternates two rewirings until nothing changes: every node sends its larger neighbours to its
     smallest one, then its smaller neighbours likewise. Both keep components intact, shorten paths
     geometrically and only ever take a minimum per node, so a hub with many links is combined
     map-side. Each round is written to the checkpoint folder, which bounds the plan and survives the
-    loss of executors; the driver only sees two totals per round.
+    loss of executors; the driver only sees two totals per round. ``max_rounds`` makes it an error to need more.
     """
     links = edges.select(F.col("src").alias("u"), F.col("dst").alias("v")).where("u <> v")
     nodes = links.select(F.col("u").alias("node")).union(links.select("v")).distinct()
@@ -97,7 +98,11 @@ def ring_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
 
     current = cut(links.distinct())
     seen = signature(current)
-    for _ in range(max_rounds):
+    rounds = 0
+    while True:
+        if rounds == max_rounds:
+            raise RuntimeError(f"components did not settle within {max_rounds} rounds")
+        rounds += 1
         spread = rewire(both_ways(current), larger=True)
         # Small step: each node with its smaller neighbours only.
         down = spread.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
@@ -106,8 +111,6 @@ def ring_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         if now == seen:
             break
         seen = now
-    else:
-        raise RuntimeError(f"components did not settle within {max_rounds} rounds")
     return nodes.join(current.select(F.col("u").alias("node"), F.col("v").alias("component")), "node", "left").select(
         "node", F.coalesce("component", "node").alias("component"))
 

@@ -20,6 +20,7 @@ _OFF_EDGE = 1.37e-8
 
 QUERIES: dict = {}
 ORACLES: dict = {}
+_CHECKS: dict = {}
 
 
 def _pairs(shape: str):
@@ -67,10 +68,17 @@ def register(key: str, shape: str | None, run, sql: str | None = None) -> None:
     if key in QUERIES:
         raise ValueError(f"{key} is registered twice")
     QUERIES[key] = query
+    _CHECKS[key] = (shape, sql)
     if sql is not None:
         ORACLES[key] = shaped_sql(sql, shape)
 
 
+def register_twin(key: str, of: str, run) -> None:
+    """Add another way to the rows of a registered query, checked on the same columns by the same SQL."""
+    shape, sql = _CHECKS[of]
+    register(key, shape, run, sql)
+
+
 def values_sql(rows) -> str:
     """Rows of a reference table as a DuckDB VALUES list."""
     def text(v):

@@ -11,6 +11,7 @@ from tidemark.plans import inputs
 from tidemark.plans.catalogue.common import register, src, values_sql
 from tidemark.plans.catalogue.medallion import PERSONAL_CTE, personal_derived
 from tidemark.plans.claims import as_of
+from tidemark.session import work_path
 
 # ---------------------------------------------------------------------------------- detection
 _LEVEL = {"NONE": 0, "LOW": 1, "MEDIUM": 2, "HIGH": 3}
@@ -33,31 +34,25 @@ def _sensitivity(prefix=""):
 _TOTAL = "(" + " + ".join(f"n_{k}" for k, _, _, _ in refdata.PII_PATTERNS) + ")"
 _CATEGORIES = ("list_sort(list_distinct(list_filter([" + ", ".join(
     f"CASE WHEN n_{k} > 0 THEN '{c}' END" for k, _, _, c in refdata.PII_PATTERNS) + "], lambda v: v IS NOT NULL)))")
-_FINDINGS = "array_slice(flatten([" + ", ".join(
-    f"list_transform(range(least(n_{k}, 10)), lambda i: '{k}')" for k, _, _, _ in refdata.PII_PATTERNS) + "]), 1, 10)"
-_FOUND = f"SELECT *, {_sensitivity()} AS sensitivity, {_CATEGORIES} AS categories, {_FINDINGS} AS kinds, least({_TOTAL}, 10) AS pii_count"
+_FINDINGS = "list_filter([" + ", ".join(
+    f"CASE WHEN n_{k} > 0 THEN '{k}:' || n_{k} END" for k, _, _, _ in refdata.PII_PATTERNS) + "], lambda v: v IS NOT NULL)"
+_FOUND = f"SELECT *, {_sensitivity()} AS sensitivity, {_CATEGORIES} AS categories, {_FINDINGS} AS kinds, {_TOTAL} AS pii_count"
 
 
-def _findings(df, key, column):
-    found = privacy.pii.detect_pii(F.col(column))
-    return df.select(key, found.alias("p")).select(
-        key, "p.sensitivity", "p.categories", "p.pii_count", F.transform("p.findings", lambda f: f["type"]).alias("kinds"))
+def _findings(df, ids, column):
+    return df.select(*ids, privacy.pii.detect_pii(F.col(column)).alias("p")).select(
+        *ids, "p.sensitivity", "p.categories", "p.pii_count",
+        F.transform("p.findings", lambda f: F.concat_ws(":", f["type"], f["n"])).alias("kinds"))
 
 
 for _key, _column in [("detect_pii", "incident_description"), ("detect_pii_notes", "claim_notes")]:
     register(_key, "claim_id:s sensitivity:s categories:a pii_count:i kinds:a",
-             lambda s, d, c=_column: _findings(inputs.personal_claims(s, d), "claim_id", c),
+             lambda s, d, c=_column: _findings(inputs.personal_claims(s, d), ["claim_id"], c),
              f"{_FOUND} FROM (SELECT claim_id, {_counts(_column)} FROM ({src('personal')}))")
-# Word boundaries differ between the two engines on accented letters, so both read them as '_'.
-_ASCII = "regexp_replace(text, '[^\\x00-\\x7F]', '_', 'g')"
-_plain = lambda: F.regexp_replace("text", r"[^\x00-\x7F]", "_")
-for _table, _id in [("documents", "doc_id"), ("conversations", "conv_id")]:
-    _ids = [_id] if _table == "documents" else ["conv_id", "turn"]
+for _table, _ids in [("documents", ("doc_id",)), ("conversations", ("conv_id", "turn"))]:
     register(f"detect_pii_{_table}", " ".join(f"{i}:i" for i in _ids) + " sensitivity:s categories:a pii_count:i kinds:a",
-             lambda s, d, t=_table, ids=tuple(_ids): inputs.read(s, d, t).select(
-                 *ids, privacy.pii.detect_pii(_plain()).alias("p")).select(
-                 *ids, "p.sensitivity", "p.categories", "p.pii_count", F.transform("p.findings", lambda f: f["type"]).alias("kinds")),
-             f"{_FOUND} FROM (SELECT *, {_counts('plain')} FROM (SELECT *, {_ASCII} AS plain FROM {_table}))")
+             lambda s, d, t=_table, ids=_ids: _findings(inputs.read(s, d, t), ids, "text"),
+             f"{_FOUND} FROM (SELECT *, {_counts('text')} FROM {_table})")
 
 _SCAN = {label: f"t_{label}" for label in privacy.SCANNED}
 _SCAN_CTES = ", ".join(
@@ -87,8 +82,6 @@ register("sample_scan", "claim_id:s overall_sensitivity:s",
          lambda s, d: privacy.classify_claims(privacy.sample_scan(personal_derived(s, d), 0.1, key="claim_id")),
          f"""WITH {CLASSIFIED_CTE} SELECT * FROM classified
          WHERE CAST('0x' || left(md5(claim_id), 8) AS BIGINT) % 10000 < 1000""")
-register("sample_scan_seeded", None, lambda s, d: privacy.classify_claims(
-    privacy.sample_scan(personal_derived(s, d), 0.1, 42), as_of()).select("claim_id", "overall_sensitivity"))
 on_classified("pii_totals",
               "total_records:i records_with_pii:i high_sensitivity:i medium_sensitivity:i low_sensitivity:i avg_risk_score:d",
               privacy.pii_totals,
@@ -142,8 +135,13 @@ masked AS (SELECT *, overall_sensitivity AS sensitivity, gdpr_risk_score AS risk
   FROM classified)"""
 
 
+def with_levels(s, d):
+    """The claims classified in place: nothing has to be joined back."""
+    return privacy.overall_sensitivity(privacy.pii_scan_columns(personal_derived(s, d)))
+
+
 def masked(s, d):
-    return privacy.dynamic_masking(personal_derived(s, d), classified(s, d), as_of())
+    return privacy.dynamic_masking(with_levels(s, d), masked_at=as_of())
 
 
 def on_masked(key, shape, make, body):
@@ -167,8 +165,9 @@ on_masked("partner_view",
           privacy.partner_view,
           f"""SELECT left(sha256(claim_id || '{refdata.ID_SALT}'), 16) AS claim_ref, claim_amount, date_trunc('month', claim_date) AS claim_month,
           claim_type, claim_status, uk_region, risk_level, round(fraud_score, 1) AS fraud_indicator FROM masked""")
-register("audit_view", None, lambda s, d: privacy.audit_view(masked(s, d)).select(
-    "claim_id", "sensitivity", "customer_name", "access_reason", "accessed_by"))
+on_masked("audit_view", "claim_id:s sensitivity:s customer_name:s access_reason:s named:b",
+          lambda df: privacy.audit_view(df).withColumn("named", F.length("accessed_by") > 0),
+          "SELECT *, 'AUDIT_ACCESS' AS access_reason, true AS named FROM masked")
 on_masked("masking_stats", "sensitivity:s record_count:i masked_count:i avg_risk_score:d unique_masked_ids:i unique_masked_emails:i",
           privacy.masking_stats,
           """SELECT sensitivity, count(*) AS record_count, count(*) FILTER (masking_applied) AS masked_count, avg(risk_score) AS avg_risk_score,
@@ -243,7 +242,7 @@ kept AS (SELECT *, retention_days - days_since_claim AS days_until_deletion, day
 
 
 def retained(s, d):
-    return retention.claims_retention(personal_derived(s, d), classified(s, d), as_of(inputs.RETENTION_AS_OF))
+    return retention.claims_retention(with_levels(s, d), as_of(inputs.RETENTION_AS_OF))
 
 
 def on_retained(key, shape, make, body):
@@ -302,13 +301,19 @@ register("erasure_log", "customer_id:s reason:s records_affected:i hold_count:i
 register("export_customer_data",
          "claim_id:s policy_number:s customer_id:s customer_name:s customer_email:s customer_phone:s customer_address:s claim_amount:d claim_date:D "
          "claim_type:s claim_status:s incident_location:s incident_description:s overall_sensitivity:s gdpr_risk_score:d",
-         lambda s, d: retention.export_customer_data(personal_derived(s, d), classified(s, d), inputs.derived(s, d, "requests")),
+         lambda s, d: retention.export_customer_data(with_levels(s, d), inputs.derived(s, d, "requests")),
          f"WITH {CLASSIFIED_CTE}, asked AS ({src('requests')}) SELECT * FROM classified WHERE customer_id IN (SELECT customer_id FROM asked)")
-register("export_log", "customer_id:s records_exported:i format:s export_path:s gdpr_article:s",
-         lambda s, d: retention.export_log(retention.export_customer_data(
-             personal_derived(s, d), classified(s, d), inputs.derived(s, d, "requests")), "json", "exports"),
+
+
+def _export_log(s, d):
+    path = work_path(s, "export")
+    retention.write_export(retention.export_customer_data(with_levels(s, d), inputs.derived(s, d, "requests")), path)
+    return retention.export_log(s, path).withColumn("folder", F.substring_index("export_path", "/", -1))
+
+
+register("export_log", "customer_id:s records_exported:i format:s folder:s gdpr_article:s", _export_log,
          f"""WITH {PERSONAL_CTE}, asked AS ({src('requests')}) SELECT customer_id, count(*) AS records_exported, 'json' AS format,
-         'exports/customer_id=' || customer_id AS export_path, 'Article 20 - Data Portability' AS gdpr_article FROM derived
+         'export_part=' || left(sha256(customer_id), 2) AS folder, 'Article 20 - Data Portability' AS gdpr_article FROM derived
          WHERE customer_id IN (SELECT customer_id FROM asked) GROUP BY customer_id""")
 
 # ---------------------------------------------------------------------------------- monitoring

@@ -10,16 +10,16 @@ import os
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import bronze, fraud
+from tidemark.operators import anomaly, bronze, fraud
 from tidemark.plans import inputs
-from tidemark.plans.catalogue.common import register, src, ts
-from tidemark.plans.catalogue.medallion import A7_CTE, SILVER_CTE, _DAILY_SQL
+from tidemark.plans.catalogue.common import register, register_twin, src, ts
+from tidemark.plans.catalogue.medallion import SILVER_CTE
 from tidemark.plans.catalogue.risk import CASE_CTE, _TRACK_SQL
 from tidemark.plans.claims import as_of, scored_bronze, silver_frame
 from tidemark.schemas import SILVER_CLAIM
 from tidemark.session import work_path
 from tidemark.sources import catalog, events, sinks
-from tidemark.streaming import lifecycle, medallion, tracking
+from tidemark.streaming import medallion, tracking
 
 _LINES = src("event_lines")
 
@@ -92,17 +92,41 @@ on_lines("dedup_claims", _CLAIM, lambda s, d: _plain(bronze.dedup_claims(bronze.
          "SELECT *, seq AS event_hub_sequence FROM valid QUALIFY row_number() OVER (PARTITION BY claim_id ORDER BY event_time, seq) = 1")
 
 
-def _bronze_tables(s, d):
-    source = events.stream_source(s, event_folder(s, d), "files")
-    claims, dead = work_path(s, "bronze"), work_path(s, "dead")
-    # Replayed event times span days within one batch, so the watermark delay covers all of them.
-    medallion.bronze_stream(source, claims, dead, work_path(s, "checkpoint"), F.col("event_time"),
-                            delay="3650 days").awaitTermination()
-    return s.read.parquet(claims), s.read.parquet(dead)
+PARTS = 3
+
+
+def arriving(frame, parts, folder, run):
+    """Write the parts of a frame one after another and run the stream over what is there after each."""
+    for n in range(PARTS):
+        frame.where(parts == n).write.mode("append").parquet(folder)
+        run()
+
+
+def _arriving_events(s, d, start):
+    """The feed in three loads: times and bad lines are mixed over them, repeated claim ids come in the last."""
+    folder = work_path(s, "events")
+    frame = event_frame(s, d)
+    part = F.when(F.col("sequenceNumber") % 20 == 7, 2).otherwise(F.pmod(F.xxhash64("sequenceNumber"), F.lit(3)).cast("int") % 2)
+    for n in range(PARTS):
+        frame.where(part == n).write.mode("append").json(folder)
+        start(events.stream_source(s, folder, "files")).awaitTermination()
+
+
+def _bronze_table(s, d):
+    table, checkpoint = work_path(s, "bronze"), work_path(s, "checkpoint")
+    _arriving_events(s, d, lambda source: medallion.bronze_stream(source, table, checkpoint))
+    return s.read.parquet(table)
+
+
+def _dead_letters(s, d):
+    table, checkpoint = work_path(s, "dead"), work_path(s, "checkpoint")
+    _arriving_events(s, d, lambda source: medallion.dead_letter_stream(source, table, checkpoint, F.col("event_time")))
+    return s.read.parquet(table)
 
 
-on_lines("bronze_stream", "claim_id:s", lambda s, d: _bronze_tables(s, d)[0], "SELECT DISTINCT claim_id FROM valid")
-on_lines("dead_letter_stream", _DEAD, lambda s, d: _bronze_tables(s, d)[1], _DEAD_SQL)
+on_lines("bronze_stream", _CLAIM, lambda s, d: _plain(_bronze_table(s, d)),
+         "SELECT *, seq AS event_hub_sequence FROM valid QUALIFY row_number() OVER (PARTITION BY claim_id ORDER BY seq % 20 = 7, seq) = 1")
+on_lines("dead_letter_stream", _DEAD, _dead_letters, _DEAD_SQL)
 
 
 def stored(df, name):
@@ -111,52 +135,75 @@ def stored(df, name):
     return path
 
 
-def silver_tables(s, d):
-    """Silver claims and alerts as the stream writes them."""
+def _load_of(column):
+    return F.pmod(F.xxhash64(column), F.lit(PARTS))
+
+
+def silver_tables(s, d, after=lambda silver: None):
+    """Silver claims and alerts as the stream writes them from three loads; ``after`` runs on the table after each."""
     claims = scored_bronze(s, d)
-    source = medallion.table_stream(s, stored(claims, "bronze"), claims.schema)
-    table, alerts = work_path(s, "silver"), work_path(s, "alerts")
-    medallion.silver_stream(source, table, alerts, work_path(s, "checkpoint"), F.col("_silver_timestamp")).awaitTermination()
+    folder, table, alerts, checkpoint = (work_path(s, n) for n in ("bronze", "silver", "alerts", "checkpoint"))
+
+    def run():
+        source = medallion.table_stream(s, folder, claims.schema)
+        medallion.silver_stream(source, table, alerts, checkpoint, F.col("_silver_timestamp")).awaitTermination()
+        after(table)
+
+    arriving(claims, _load_of("claim_id"), folder, run)
     return table, alerts
 
 
-register("silver_stream", "claim_id:s adjusted_fraud_score:d fraud_indicators:a processing_status:s validation_score:d",
-         lambda s, d: s.read.parquet(silver_tables(s, d)[0]), f"WITH {SILVER_CTE} SELECT * FROM silver")
+register_twin("silver_stream", "silver_output", lambda s, d: s.read.parquet(silver_tables(s, d)[0]).withColumnsRenamed(
+    {"_silver_timestamp": "silver_timestamp", "_processing_time_ms": "processing_time_ms"}))
 register("alert_stream", "claim_id:s adjusted_fraud_score:d processing_status:s",
          lambda s, d: s.read.parquet(silver_tables(s, d)[1]),
          f"WITH {SILVER_CTE} SELECT * FROM silver WHERE is_high_risk OR claim_amount_gbp > 50000 OR len(fraud_indicators) > 4")
 
 
-def _gold_table(s, d):
-    path = stored(silver_frame(s, d), "silver")
-    table = work_path(s, "gold")
-    medallion.gold_stream(medallion.table_stream(s, path, SILVER_CLAIM), "daily_claims_summary", table,
-                          work_path(s, "checkpoint")).awaitTermination()
-    return s.read.parquet(table)
+def _gold(name):
+    def run(s, d):
+        table, checkpoint = work_path(s, "gold"), work_path(s, "checkpoint")
+        silver_tables(s, d, lambda silver: medallion.gold_stream(
+            medallion.table_stream(s, silver, SILVER_CLAIM), silver, name, table, checkpoint).awaitTermination())
+        return medallion.gold_table(s, table, name)
+    return run
+
+
+register_twin("gold_stream", "daily_claims_summary", _gold("daily_claims_summary"))
+register_twin("fraud_metrics_stream", "fraud_metrics", _gold("fraud_metrics"))
+register_twin("operational_kpis_stream", "operational_kpis", _gold("operational_kpis"))
 
 
-register("gold_stream",
-         "summary_date:D claim_type:s total_claims:i total_amount:m median_amount:d stddev_amount:d fraud_detected_count:i "
-         "avg_fraud_score:d processing_time_p95_ms:i fraud_rate:d auto_approval_rate:d", _gold_table, f"WITH {SILVER_CTE} {_DAILY_SQL}")
+def _profiles(s, d):
+    table, checkpoint = work_path(s, "profiles"), work_path(s, "checkpoint")
+    silver_tables(s, d, lambda silver: medallion.profile_stream(
+        medallion.table_stream(s, silver, SILVER_CLAIM), silver, table, checkpoint).awaitTermination())
+    return medallion.latest_rows(s, table, "customer_id")
+
+
+register_twin("customer_risk_profiles_stream", "customer_risk_profiles", _profiles)
 
 
 def _anomaly_scores(s, d):
-    path = stored(silver_frame(s, d), "silver")
-    scores = work_path(s, "scores")
-    medallion.anomaly_stream(medallion.table_stream(s, path, SILVER_CLAIM), path, scores, work_path(s, "checkpoint"),
-                             as_of(), as_of()).awaitTermination()
+    """The baselines are those of all claims; the claims arrive in three loads, each of which also affects earlier ones."""
+    baselines, scores, checkpoint = (work_path(s, n) for n in ("baselines", "scores", "checkpoint"))
+    anomaly.statistical_baselines(silver_frame(s, d), as_of()).write.parquet(baselines)
+    silver_tables(s, d, lambda silver: medallion.anomaly_stream(
+        medallion.table_stream(s, silver, SILVER_CLAIM), silver, baselines, scores, checkpoint, as_of()).awaitTermination())
     return medallion.latest_scores(s, scores)
 
 
-register("anomaly_stream", "claim_id:s composite_anomaly_score:d anomaly_severity:s anomaly_reasons:a investigation_priority:i",
-         _anomaly_scores, f"WITH {A7_CTE} SELECT * FROM a7")
+register_twin("anomaly_stream", "anomaly_output", _anomaly_scores)
 
 
 def _tracked(s, d):
     claims = inputs.normal_claims(s, d).select("policyholder_id", "claim_id", "incident_date", "fraud_score")
-    source = medallion.table_stream(s, stored(claims, "claims"), claims.schema)
-    table = work_path(s, "tracking")
-    sinks.write_stream_table(tracking.track_scores(source), table, work_path(s, "checkpoint")).awaitTermination()
+    folder, table, checkpoint = (work_path(s, n) for n in ("claims", "tracking", "checkpoint"))
+    # Tracking goes by arrival: the three loads are thirds of the incident time.
+    low, high = claims.agg(F.min(F.unix_timestamp("incident_date")), F.max(F.unix_timestamp("incident_date"))).first()
+    third = F.expr(f"least(2, (unix_timestamp(incident_date) - {low}) * 3 div {high - low + 1})")
+    arriving(claims, third, folder, lambda: sinks.write_stream_table(
+        tracking.track_scores(medallion.table_stream(s, folder, claims.schema)), table, checkpoint).awaitTermination())
     return s.read.parquet(table)
 
 
@@ -204,6 +251,25 @@ register("event_router", "event_type:s received:i processed:i errors:i fraud_det
          SELECT 'policy_created' AS kind, false AS alarm FROM policy UNION ALL
          SELECT CASE WHEN claim_key % 71 = 0 THEN '(unreadable)' WHEN claim_key % 73 = 0 THEN 'unknown' ELSE 'claim_submitted' END,
            fraud_score > 7e-1 AND claim_key % 71 <> 0 AND claim_key % 73 <> 0 FROM claim) GROUP BY kind""")
+
+
+def _routed(s, d):
+    """Envelopes in three loads, handed to a handler per event type and one for all, and counted in their folders."""
+    lines = envelope_lines(s, d)
+    folder, table, checkpoint = (work_path(s, n) for n in ("envelopes", "routed", "checkpoint"))
+    handlers = {"policy_created": bronze.policy_rows, "claim_submitted": bronze.claim_rows,
+                "*": lambda rows: rows.select("event_id", "event_type")}
+    arriving(lines, _load_of("value"), folder, lambda: medallion.routed_stream(
+        medallion.table_stream(s, folder, lines.schema), handlers, table, checkpoint).awaitTermination())
+    counts = [s.read.parquet(f"{table}/{kind}").agg(F.lit(kind).alias("handler"), F.count("*").alias("events"))
+              for kind in ("policy_created", "claim_submitted", "all")]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+register("event_fan_out", "handler:s events:i", _routed,
+         f"""WITH {CASE_CTE} SELECT 'policy_created' AS handler, count(*) AS events FROM policy UNION ALL
+         SELECT 'claim_submitted', count(*) FROM claim WHERE claim_key % 71 <> 0 AND claim_key % 73 <> 0 UNION ALL
+         SELECT 'all', (SELECT count(*) FROM policy) + (SELECT count(*) FROM claim WHERE claim_key % 71 <> 0)""")
 register("envelope_flatten",
          "policy_number:s policyholder_id:s policy_type:s start_date:t end_date:t premium_amount:d sum_insured:d deductible:d email:s "
          "is_corporate:b date_of_birth:t city:s postcode:s region:s",
@@ -274,25 +340,3 @@ def _loaded_catalogue(s, d):
 
 register("catalog_setup", "layer:s table_name:s columns:i claim_type:s rows_loaded:i", _loaded_catalogue,
          f"WITH {SILVER_CTE} SELECT 'silver' AS layer, 'claims' AS table_name, 30 AS columns, claim_type, count(*) AS rows_loaded FROM silver GROUP BY claim_type")
-
-
-def _watched(s, d):
-    """A group of two streams over the claims, one restarted, and what they report."""
-    claims = inputs.bronze_claims(s, d).select("claim_id", "claim_type", "claim_amount")
-    path = stored(claims, "claims")
-    group = lifecycle.StreamGroup(s)
-    for name in ("copy_a", "copy_b"):
-        table, checkpoint = work_path(s, name), work_path(s, "checkpoint")
-        group.start(name, lambda t=table, c=checkpoint: sinks.write_stream_table(
-            medallion.table_stream(s, path, claims.schema), t, c))
-    group.await_all()
-    group.restart("copy_b")
-    group.await_all()
-    return group
-
-
-register("record_stream_metrics", "query_batch:s input_rows:i",
-         lambda s, d: _watched(s, d).metrics().where("name = 'input_rows'").groupBy(
-             F.col("tags")["batch"].alias("query_batch")).agg(F.sum("value").alias("input_rows")).where("input_rows > 0"))
-register("stream_lifecycle", "name:s active:b",
-         lambda s, d: s.createDataFrame([(r["name"], r["active"]) for r in _watched(s, d).status()], "name string, active boolean"))

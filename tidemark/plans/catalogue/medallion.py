@@ -528,7 +528,7 @@ def _baselines(df):
 def _upto(df, *steps):
     """The silver frame through the first detectors, as the later ones need their columns."""
     facts = df.select(*anomaly.INPUT_COLUMNS)
-    out = anomaly.statistical_anomaly(facts, anomaly.bounded_lookup(_baselines(df)))
+    out = anomaly.statistical_anomaly(facts, _baselines(df))
     for step in steps:
         out = step(out, facts=facts)
     return out

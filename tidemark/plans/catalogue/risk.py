@@ -121,7 +121,7 @@ on_rules("rule_summary", "rule_id:s severity:s action:s failures:i",
          "SELECT rule_id, severity, action, count(*) AS failures FROM applied WHERE NOT passed GROUP BY ALL")
 
 # ---------------------------------------------------------------------------------- geography
-_PARTS = "^([A-Z]{1,2})([0-9]{1,2}[A-Z]?)\\s?([0-9])([A-Z]{2})$"
+_PARTS = refdata.POSTCODE_PARTS
 PROFILE_ROWS = f"""{values_sql(refdata.AREA_PROFILES)} AS p(area, profile_region, risk_zone, base_risk_score, crime_rate, flood_risk,
   average_income, population_density, motor_theft_rate, burglary_rate, latitude, longitude, major_city)"""
 CASE_CTE = f"""{POLICY_CTE},
@@ -436,6 +436,14 @@ on_scenarios("ring_edges", "src:s dst:s", lambda df: scenarios.ring_edges(_ring_
              WHERE src <> policyholder_id""")
 on_scenarios("detect_repeat_offenders", "claim_id:s policyholder_id:s flagged_claims:i flagged_types:i",
              scenarios.detect_repeat_offenders, "SELECT * FROM repeats")
+# The holder's policies by claim: with one policy a holder, several policy types could not occur.
+_TYPED = "CASE CAST(right(claim_id, 3) AS INT) % 3 WHEN 0 THEN 'motor' WHEN 1 THEN 'property' ELSE 'marine' END"
+on_scenarios("detect_repeat_offenders_types", "claim_id:s policyholder_id:s policy_type:s flagged_claims:i flagged_types:i",
+             lambda df: scenarios.detect_repeat_offenders(df.withColumn("policy_type", F.expr(_TYPED)), claims=2, policy_types=2, score=0.3),
+             f""", typed AS (SELECT * EXCLUDE (policy_type), {_TYPED} AS policy_type FROM cases WHERE fraud_score > 3e-1)
+             SELECT * FROM (SELECT *, count(*) OVER w AS flagged_claims, count(DISTINCT policy_type) OVER w AS flagged_types FROM typed
+             WINDOW w AS (PARTITION BY policyholder_id ORDER BY incident_s RANGE BETWEEN 10368000 PRECEDING AND CURRENT ROW))
+             WHERE flagged_claims >= 2 AND flagged_types >= 2""")
 on_scenarios("detect_phantom_claims", "claim_id:s reporting_delay_days:i claim_amount:d", scenarios.detect_phantom_claims,
              "SELECT *, delay AS reporting_delay_days FROM phantom")
 on_scenarios("detect_opportunistic", "claim_id:s inflation_factor:d excess_amount:d", scenarios.detect_opportunistic,
@@ -448,4 +456,10 @@ on_scenarios("scenario_summary", "scenario:s claims:i total_amount:m max_score:d
                  for name, table in [("early_claim_fraud", "early"), ("inflated_claim_fraud", "inflated"), ("fraud_ring", "members"),
                                      ("repeat_offender", "repeats"), ("phantom_claim", "phantom"), ("opportunistic_fraud", "opportunistic")]))
 register("ring_components", "node:s component:s",
-         lambda s, d: scenarios.ring_components(scenarios.ring_edges(_ring_members(case_frame(s, d)))))
+         lambda s, d: scenarios.ring_components(scenarios.ring_edges(_ring_members(case_frame(s, d)))),
+         f"""WITH RECURSIVE {SCENARIO_CTE}, hub AS (SELECT postcode_area, claim_type, ring_start_s, min(policyholder_id) AS src FROM members GROUP BY ALL),
+         pair AS (SELECT DISTINCT src, policyholder_id AS dst FROM members JOIN hub USING (postcode_area, claim_type, ring_start_s)
+           WHERE src <> policyholder_id),
+         both_ways AS (SELECT src, dst FROM pair UNION SELECT dst, src FROM pair),
+         reached(node, origin) AS (SELECT src, src FROM both_ways UNION SELECT b.dst, r.origin FROM reached r JOIN both_ways b ON b.src = r.node)
+         SELECT node, min(origin) AS component FROM reached GROUP BY node""")

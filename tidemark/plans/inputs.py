@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import spread
 
 CLAIMS_AS_OF = "2025-04-08 00:00:00"
 AUDIT_AS_OF = "2024-01-31 00:00:00"
@@ -232,7 +231,7 @@ REQUESTS = [
 
 EDGES = [
     "'CUST_' || lpad(cast(c_custkey AS STRING), 12, '0') AS src",
-    "'CUST_' || lpad(cast(c_custkey + 1 AS STRING), 12, '0') AS dst",
+    "'CUST_' || lpad(cast(c_custkey - c_custkey % 10 AS STRING), 12, '0') AS dst",
 ]
 
 SOURCES = {
@@ -248,7 +247,7 @@ SOURCES = {
     "usage": ("lineitem", USAGE, None),
     "personal": ("orders", PERSONAL, None),
     "requests": ("customer", REQUESTS, "c_custkey % 10 = 3"),
-    "edges": ("customer", EDGES, "c_custkey % 10 < 3"),
+    "edges": ("customer", EDGES, None),
 }
 
 
@@ -258,7 +257,7 @@ def source_sql(name: str) -> str:
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

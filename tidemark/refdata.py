@@ -118,7 +118,7 @@ SUSPICIOUS_PHRASES = [
 HIGH_RISK_AREAS = ["E", "SE", "EC", "WC", "B", "M", "L"]
 
 # --- fixed values: postcode parsing ------------------------------------------------------------
-POSTCODE_PARTS = r"^([A-Z]{1,2})([0-9]{1,2}[A-Z]?)\s?([0-9])([A-Z]{2})$"
+POSTCODE_PARTS = r"^([A-Z]{1,2})(\d{1,2}[A-Z]?)\s?(\d)([A-Z]{2})$"
 
 # --- fixed values: postcode area profiles ------------------------------------------------------
 PROFILE_COLUMNS = (
@@ -263,7 +263,7 @@ KEY_METRICS = [
 # (metric, window minutes, statistic, fires when, bound, advice)
 COST_ADVICE = [
     ("throughput_per_second", 60, "avg", "below", 50.0,
-     "Consider reducing throughput units - current usage is below 50 events/sec"),
+     "Consider reducing Event Hub throughput units - current usage is below 50 events/sec"),
     ("processing_latency_ms", 60, "avg", "above", 500.0,
      "High processing latency detected - consider optimizing transformations or increasing compute"),
     ("partition_skew", 30, "max", "above", 2.0,
@@ -295,3 +295,12 @@ def inline_table(spark: SparkSession, columns: str, rows: list[tuple]) -> DataFr
     casts = ", ".join(f"CAST(`{name}` AS {kind}) AS `{name}`" for name, kind in fields)
     values = ", ".join("(" + ", ".join(_literal(v) for v in row) + ")" for row in rows)
     return spark.sql(f"SELECT {casts} FROM VALUES {values} AS t({names})")
+
+# --- fixed values: texts of masked, audited and erased data -------------------------------------
+REDACTED_TEXT = "[REDACTED - Contains sensitive PII]"
+NO_MASKING = "No masking required"
+AUDIT_ACCESS = "AUDIT_ACCESS"
+ERASED_VALUES = {
+    "customer_name": "ANONYMIZED", "customer_email": "deleted@anonymous.com", "customer_phone": "0000000000",
+    "customer_address": "DELETED", "incident_description": "[REDACTED]", "claim_notes": "[REDACTED]",
+}

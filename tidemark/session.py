@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 # The JVM never compiles methods of more than 8000 bytes; wide claim expressions fused into one
@@ -45,55 +43,36 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for checkpoints and hand-over tables.
+    """The folder for hand-over tables: the one the cluster names in ``spark.checkpoint.dir``.
 
-    It is the one the cluster names in ``spark.checkpoint.dir`` (or one already set on the
-    context); only where neither is set, as in local tests, a temporary folder is made.
+    Where it is unset, a local session gets a temporary folder; on a cluster that is an error, since
+    executors do not see each other's disks.
     """
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    current = context.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
-        if current is None:
-            context.setCheckpointDir(named)
-        return named
-    if current is None:
-        folder = tempfile.mkdtemp(prefix="tidemark-")
-        context.setCheckpointDir(folder)
-        return folder
-    return current.removeprefix("file:")
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    folder = tempfile.mkdtemp(prefix="tidemark-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    """A fresh path below the shared folder; Spark deletes it when the application ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably in the shared folder and drop its lineage."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def bounded_lookup(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Prepare a computed lookup table for a join.
-
-    The table is materialised once and counted; at most ``max_rows`` rows earn a broadcast hint,
-    a bigger one is returned as it is, so the join becomes an ordinary shuffled one (whose hot
-    keys adaptive execution splits).
-    """
-    table = cut(df)
-    return F.broadcast(table) if table.limit(max_rows + 1).count() <= max_rows else table
-
-
-def spread(scan: DataFrame, piece: int = 256 * 1024, most: int = 64) -> DataFrame:
-    """Spread a plain table scan over the cores if it comes in fewer pieces than that.
+    """Store ``df`` as Parquet in the shared folder and read it back.
 
-    Parquet splits at row groups, so a small table written as one is a single task however many cores
-    wait. The pieces follow the table's size on disk and end at ``most``: a table of many files or row
-    groups is left alone, and nothing is shuffled at scale.
+    This drops its lineage and survives lost executors, and later reads take only the columns and rows
+    they need.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    size = int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    pieces = min(cores, most, size // piece)
-    return scan.repartition(pieces) if pieces > 1 and scan.rdd.getNumPartitions() < pieces else scan
+    path = work_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

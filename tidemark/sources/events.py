@@ -26,13 +26,17 @@ def _from_kafka(df: DataFrame) -> DataFrame:
 
 
 def stream_source(spark: SparkSession, location: str, kind: str = "files", start: str = "earliest",
-                  consumer_group: str | None = None, max_per_trigger: int | None = 1000,
+                  consumer_group: str | None = None, max_per_trigger: int | None = None,
                   options: dict[str, str] | None = None) -> DataFrame:
     """An unbounded event frame: body, enqueuedTime, offset, partition, sequenceNumber, properties.
 
     ``kind`` is ``files`` (a folder of JSON event lines in the ``EVENT_FILE`` schema), ``text`` (a
     folder of bare bodies, one per line) or ``kafka`` (``location`` is the topic and the servers are
-    given in ``options``). ``max_per_trigger`` limits files or offsets per micro-batch.
+    given in ``options``). ``max_per_trigger`` limits files or offsets per micro-batch. ``start`` is
+    ``earliest`` or, for Kafka, ``latest`` or offsets as JSON; files start at ``earliest``, or with a time given in
+    the option ``modifiedAfter``.
+
+    A line of a text file has no number of its own: its offset is a hash of the file, the block and the body.
     """
     options = dict(options or {})
     if kind == "kafka":
@@ -45,8 +49,8 @@ def stream_source(spark: SparkSession, location: str, kind: str = "files", start
         return _from_kafka(reader.options(**options).load())
     if max_per_trigger:
         options["maxFilesPerTrigger"] = str(max_per_trigger)
-    if start == "latest":
-        options["latestFirst"] = "true"
+    if start != "earliest":
+        raise ValueError("files are read from the earliest; give the option modifiedAfter to start later")
     if kind == "files":
         return spark.readStream.schema(EVENT_FILE).options(**options).json(location)
     if kind == "text":
@@ -54,7 +58,7 @@ def stream_source(spark: SparkSession, location: str, kind: str = "files", start
         empty = F.lit(None).cast("map<string,string>")
         return lines.select(
             F.col("value").alias("body"), F.col("_metadata.file_modification_time").alias("enqueuedTime"),
-            F.col("_metadata.file_block_start").alias("offset"), F.xxhash64("_metadata.file_path").alias("partition"),
+            F.xxhash64("_metadata.file_path", "_metadata.file_block_start", "value").alias("offset"), F.xxhash64("_metadata.file_path").alias("partition"),
             F.col("_metadata.file_block_start").alias("sequenceNumber"),
             F.create_map(F.lit("file"), F.col("_metadata.file_name")).alias("systemProperties"), empty.alias("properties"))
     raise ValueError(f"unknown source kind {kind!r}")

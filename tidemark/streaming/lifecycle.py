@@ -40,8 +40,10 @@ class StreamGroup:
         return self.start(name, self._starters[name])
 
     def await_all(self, seconds: int = 600) -> None:
-        for query in self._queries.values():
-            query.awaitTermination(seconds)
+        """Wait until every query has ended; one that still runs after ``seconds`` is an error."""
+        for name, query in self._queries.items():
+            if not query.awaitTermination(seconds):
+                raise TimeoutError(f"{name} still runs after {seconds} seconds")
 
     def status(self) -> list[dict]:
         """Name, activity, message and batches so far of each query."""
@@ -59,7 +61,10 @@ class StreamGroup:
 
 
 def record_stream_metrics(spark: SparkSession, *queries: StreamingQuery) -> DataFrame:
-    """Progress reports of the queries as metric points (name, value, ts, tags)."""
+    """Progress reports of the queries as metric points (name, value, ts, tags).
+
+    Spark keeps the latest reports of a query only (100 by default), so call it more often than that.
+    """
     rows = [row for query in queries for progress in query.recentProgress for row in progress_rows(progress)]
     points = [(r["name"], r["value"], r["ts"], r["tags"]) for r in rows]
     frame = spark.createDataFrame(points, "name string, value double, ts string, tags map<string,string>")

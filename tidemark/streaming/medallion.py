@@ -1,49 +1,76 @@
 """The layers as Structured Streaming queries.
 
-The operators are the batch ones. Aggregates that a file sink cannot update in place are written by
-``foreachBatch``: either each batch to its own folder, or a small table as a whole.
+The operators are the batch ones. What a file sink cannot update in place is written by ``foreachBatch``: each
+batch to its own folder, which a repeated batch replaces, or the days a batch touches, made anew from the stored claims.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.config import AnomalyConfig
 from tidemark.operators import anomaly, bronze, gold, silver
 from tidemark.schemas import SILVER_CLAIM
 from tidemark.sources.sinks import write_batch_once, write_stream_batches
-from tidemark.session import bounded_lookup
 
+MONTH_COLUMN = "claim_month_part"
 
-def bronze_stream(events: DataFrame, bronze_path: str, dead_letter_path: str, checkpoint: str,
-                  ingested_at: Column | None = None, delay: str = "10 minutes", trigger: str | None = None,
-                  name: str | None = None) -> StreamingQuery:
-    """Events to checked, de-duplicated claims and dead letters, with one read and one parse.
 
-    Valid events are de-duplicated by claim id within the watermark; undecodable ones are told apart
-    by partition and offset and go to the dead-letter table.
-    """
+@contextmanager
+def held(batch: DataFrame):
+    """Keep a micro-batch cached while it is read more than once."""
+    batch.persist()
+    try:
+        yield batch
+    finally:
+        batch.unpersist()
+
+
+def _decoded(events: DataFrame, ingested_at: Column | None) -> DataFrame:
     stamp = ingested_at if ingested_at is not None else F.current_timestamp()
-    decoded = bronze.decode_events(bronze.event_metadata(events)).withColumns({
-        "_ingestion_timestamp": stamp,
-        "_identity": F.when(F.col("is_valid"), F.col("event.claim_id")).otherwise(
-            F.concat_ws(":", F.lit("invalid"), "event_hub_partition", "event_hub_offset")),
-    })
-    unique = decoded.withWatermark("_ingestion_timestamp", delay).dropDuplicatesWithinWatermark(["_identity"])
+    return bronze.decode_events(bronze.event_metadata(events)).withColumn("_ingestion_timestamp", stamp)
+
+
+def bronze_stream(events: DataFrame, bronze_path: str, checkpoint: str, ingested_at: Column | None = None,
+                  delay: str = "10 minutes", trigger: str | None = None, name: str | None = None) -> StreamingQuery:
+    """Decodable events to checked claims, de-duplicated by claim id within the watermark of the time of ingestion."""
+    unique = (_decoded(events, ingested_at).where("is_valid").withColumn("_identity", F.col("event.claim_id"))
+              .withWatermark("_ingestion_timestamp", delay).dropDuplicatesWithinWatermark(["_identity"]))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        claims = bronze.dq_score(bronze.typed_claims(batch, F.col("_ingestion_timestamp")))
-        write_batch_once(claims, batch_id, bronze_path)
-        invalid = batch.where("NOT is_valid")
-        write_batch_once(bronze.dead_letter(invalid, F.col("_ingestion_timestamp")), batch_id, dead_letter_path)
-        batch.unpersist()
+        write_batch_once(bronze.dq_score(bronze.typed_claims(batch, F.col("_ingestion_timestamp"))), batch_id, bronze_path)
 
     return write_stream_batches(unique, write, checkpoint, trigger=trigger, name=name)
 
 
+def dead_letter_stream(events: DataFrame, dead_letter_path: str, checkpoint: str, ingested_at: Column | None = None,
+                       trigger: str | None = None, name: str | None = None) -> StreamingQuery:
+    """Every event that cannot be decoded, however late and however alike: no state stands in between."""
+    invalid = bronze.dead_letter(_decoded(events, ingested_at).where("NOT is_valid"), F.col("_ingestion_timestamp"))
+    return write_stream_batches(invalid, lambda batch, n: write_batch_once(batch, n, dead_letter_path), checkpoint, trigger=trigger, name=name)
+
+
+def routed_stream(envelopes: DataFrame, handlers: dict[str, Callable[[DataFrame], DataFrame]], path: str, checkpoint: str,
+                  trigger: str | None = None, name: str | None = None) -> StreamingQuery:
+    """Each micro-batch of envelope lines to the handlers of its event types (``*``: all readable ones).
+
+    The rows a handler returns go to the folder of its event type.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        with held(batch):
+            for kind, handler in handlers.items():
+                folder = "all" if kind == "*" else kind
+                write_batch_once(handler(bronze.route(batch, kind)), batch_id, f"{path}/{folder}")
+
+    return write_stream_batches(envelopes, write, checkpoint, trigger=trigger, name=name)
+
+
 def table_stream(spark: SparkSession, path: str, schema, files_per_trigger: int | None = None) -> DataFrame:
     """A stored table as a stream; written files are taken once."""
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
@@ -52,87 +79,142 @@ def table_stream(spark: SparkSession, path: str, schema, files_per_trigger: int
     return reader.parquet(path)
 
 
+def _month(at: Column) -> Column:
+    return F.date_format(at, "yyyy-MM")
+
+
 def silver_stream(bronze_claims: DataFrame, silver_path: str, alerts_path: str, checkpoint: str,
                   processed_at: Column | None = None, trigger: str | None = None, name: str | None = None) -> StreamingQuery:
-    """Bronze claims to silver claims and high-risk alerts out of one pass."""
+    """Bronze claims to silver claims, by claim month, and high-risk alerts out of one pass."""
     claims = silver.silver_claims(bronze_claims, processed_at)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        write_batch_once(batch, batch_id, silver_path)
-        write_batch_once(silver.high_risk_alerts(batch), batch_id, alerts_path)
-        batch.unpersist()
+        with held(batch):
+            months = batch.withColumn(MONTH_COLUMN, F.coalesce(_month(F.col("claim_date")), F.lit("none"))).hint("rebalance", F.col(MONTH_COLUMN))
+            months.write.mode("overwrite").partitionBy(MONTH_COLUMN).parquet(f"{silver_path}/batch={batch_id}")
+            write_batch_once(silver.high_risk_alerts(batch), batch_id, alerts_path)
 
     return write_stream_batches(claims, write, checkpoint, trigger=trigger, name=name)
 
 
+def stored_silver(spark: SparkSession, silver_path: str) -> DataFrame:
+    """The silver claims written so far; a condition on the month column reads only those folders."""
+    return spark.read.schema(StructType([*SILVER_CLAIM.fields, StructField(MONTH_COLUMN, StringType())])).parquet(silver_path)
+
+
 GOLD = {
-    "daily_claims_summary": gold.daily_claims_summary,
-    "fraud_metrics": gold.fraud_metrics,
-    "operational_kpis_wide": gold.operational_kpis_wide,
-    "daily_summary_lite": gold.daily_summary_lite,
+    "daily_claims_summary": (gold.daily_claims_summary, "summary_date"),
+    "fraud_metrics": (gold.fraud_metrics, "metric_date"),
+    "operational_kpis_wide": (gold.operational_kpis_wide, "kpi_date"),
+    "operational_kpis": (gold.operational_kpis, "kpi_date"),
+    "daily_summary_lite": (gold.daily_summary_lite, "summary_date"),
 }
 
 
-def gold_stream(silver_claims: DataFrame, table: str, path: str, checkpoint: str, delay: str = "10 minutes",
+def gold_stream(silver_claims: DataFrame, silver_path: str, table: str, path: str, checkpoint: str,
                 trigger: str | None = None, name: str | None = None) -> StreamingQuery:
-    """A gold aggregate kept up to date: the complete result replaces the table after each batch."""
-    result = GOLD[table](silver_claims.withWatermark("_silver_timestamp", delay))
+    """A daily gold table kept up to date: the days that a batch touches are made anew from the stored claims.
+
+    No state is kept and late claims need no watermark. The rows of the touched days are written as a newer version;
+    ``gold_table`` reads the newest of each day, so readers never find a day missing.
+    """
+    make, day = GOLD[table]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        spark = batch.sparkSession
+        touched = batch.where("claim_date IS NOT NULL").select(
+            _month(F.col("claim_date")).alias(MONTH_COLUMN), F.to_date("claim_date").alias("_touched")).distinct()
+        claims = stored_silver(spark, silver_path).withColumn("_touched", F.to_date("claim_date"))
+        write_batch_once(make(claims.join(touched, [MONTH_COLUMN, "_touched"], "left_semi")), batch_id, path)
+
+    return write_stream_batches(silver_claims, write, checkpoint, trigger=trigger, name=name)
+
+
+def gold_table(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """The newest version of every day's rows."""
+    day = GOLD[table][1]
+    versions = spark.read.parquet(path)
+    newest = versions.groupBy(day).agg(F.max("batch").alias("batch"))
+    return versions.join(newest, [day, "batch"], "left_semi").drop("batch")
 
-    return write_stream_batches(result, write, checkpoint, mode="complete", trigger=trigger, name=name)
+
+def profile_stream(silver_claims: DataFrame, silver_path: str, path: str, checkpoint: str, trigger: str | None = None,
+                   name: str | None = None) -> StreamingQuery:
+    """Customer risk profiles: those of a batch's customers anew, as a newer version; ``latest_rows`` picks it."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        customers = batch.select("customer_id").distinct()
+        claims = stored_silver(batch.sparkSession, silver_path).join(customers, "customer_id", "left_semi")
+        write_batch_once(gold.customer_risk_profiles(claims), batch_id, path)
+
+    return write_stream_batches(silver_claims, write, checkpoint, trigger=trigger, name=name)
 
 
 def affected_claims(new: DataFrame, history: DataFrame, cfg: AnomalyConfig) -> DataFrame:
-    """New claims and the earlier ones whose surroundings (same postcode, a few days) they change.
+    """New claims and the stored ones whose look-backs and surroundings they change.
 
-    New claims are combined per (postcode, day) before the join; an earlier claim looks up the days
-    around it, so no pairs of claims are formed.
+    A claim counts in the windows of later claims of its type (a day), of its district and type (a week) and of its
+    customer (90 days), and of claims around it at its postcode (three days). New claims are combined per (key, day)
+    before the join and a stored claim looks its own day up, so no pairs of claims are formed.
     """
     day = lambda c: F.unix_date(F.to_date(c))
-    reach = cfg.network_days
-    touched = new.select("incident_postcode", day("claim_date").alias("_day")).distinct().select(
-        "incident_postcode", F.explode(F.sequence(F.col("_day") - reach - 1, F.col("_day") + reach + 1)).alias("_day")).distinct()
-    around = anomaly.null_safe_join(history.withColumn("_day", day("claim_date")), touched,
-                                    ["incident_postcode", "_day"], "left_semi").drop("_day")
-    return new.unionByName(around.join(new.select("claim_id"), "claim_id", "left_anti"))
-
-
-def anomaly_stream(silver_claims: DataFrame, silver_path: str, scores_path: str, checkpoint: str, baselines_as_of: Column | None = None,
+    dated = history.withColumn("_day", day("claim_date"))
+    found = None
+    for keys, before, after in ((["claim_type"], 0, 1), (["postcode_district", "claim_type"], 0, cfg.geo_days),
+                                (["customer_id"], 0, cfg.customer_days), (["incident_postcode"], cfg.network_days, cfg.network_days)):
+        days = new.select(*keys, day("claim_date").alias("_day")).distinct()
+        reached = days.select(*keys, F.explode(F.sequence(F.col("_day") - before, F.col("_day") + after + 1)).alias("_day")).distinct()
+        around = anomaly.null_safe_join(dated, reached, [*keys, "_day"], "left_semi").select("claim_id")
+        found = around if found is None else found.union(around)
+    return history.join(found.union(new.select("claim_id")).distinct(), "claim_id", "left_semi")
+
+
+def refresh_baselines(spark: SparkSession, silver_path: str, baselines_path: str, as_of: Column | None = None,
+                      cfg: AnomalyConfig = AnomalyConfig()) -> None:
+    """Make the table of baselines anew; a job of its own, as they change slowly and read ``history_days`` of claims."""
+    claims = stored_silver(spark, silver_path)
+    if as_of is not None:
+        first = F.date_sub(F.to_date(as_of), cfg.history_days)
+        claims = claims.where(F.col(MONTH_COLUMN) >= _month(first))
+    anomaly.statistical_baselines(claims, as_of, cfg).write.mode("overwrite").parquet(baselines_path)
+
+
+def anomaly_stream(silver_claims: DataFrame, silver_path: str, baselines_path: str, scores_path: str, checkpoint: str,
                    detected_at: Column | None = None, cfg: AnomalyConfig = AnomalyConfig(), trigger: str | None = None,
                    name: str | None = None) -> StreamingQuery:
-    """Scores of new claims, and again of the earlier claims they affect, batch by batch.
+    """Scores of new claims, and again of the stored claims they affect, batch by batch.
 
-    Window functions over history cannot run on a stream, so each batch reads the stored claims from
-    the longest look-back before its oldest claim, keeps the keys the batch touches and scores the
-    affected rows. A claim scored again gets a newer version; ``latest_scores`` picks it.
+    Window functions over history cannot run on a stream, so each batch reads the days of stored claims that the
+    affected rows look at, keeps the keys these rows have and scores them against the stored baselines. A claim scored
+    again gets a newer version; ``latest_rows`` picks it.
     """
+    reach = max(cfg.customer_days, cfg.geo_days) + cfg.network_days + 2
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.persist()
-        span = batch.agg(F.min("claim_date").alias("first"), F.max("claim_date").alias("last")).first()
-        if span["first"] is None:
-            batch.unpersist()
-            return
-        stored = spark.read.schema(SILVER_CLAIM).option("recursiveFileLookup", "true").parquet(silver_path)
-        baselines = bounded_lookup(anomaly.statistical_baselines(stored, baselines_as_of, cfg))
-        back = F.lit(span["first"]) - F.make_interval(days=F.lit(max(cfg.customer_days, cfg.geo_days) + cfg.network_days + 1))
-        ahead = F.lit(span["last"]) + F.make_interval(days=F.lit(cfg.network_days + 1))
-        history = stored.where(F.col("claim_date").between(back, ahead)).select(*anomaly.INPUT_COLUMNS)
-        rows = affected_claims(batch.select(*anomaly.INPUT_COLUMNS), history, cfg)
-        stamp = detected_at if detected_at is not None else F.current_timestamp()
-        scored = anomaly.score_claims(rows, baselines, cfg, facts=history, restrict=True)
-        write_batch_once(scored.select(*anomaly.OUTPUT_COLUMNS, stamp.alias("anomaly_detection_timestamp")), batch_id, scores_path)
-        batch.unpersist()
+        with held(batch):
+            span = batch.agg(F.min("claim_date").alias("first"), F.max("claim_date").alias("last")).first()
+            if span["first"] is None:
+                return
+            first, last = (F.date_add(F.to_date(F.lit(at)), F.lit(days)) for at, days in (
+                (span["first"], -reach - cfg.network_days), (span["last"], reach)))
+            history = (stored_silver(spark, silver_path)
+                       .where(F.col(MONTH_COLUMN).between(_month(first), _month(last)) & F.to_date("claim_date").between(first, last))
+                       .select(*anomaly.INPUT_COLUMNS))
+            rows = affected_claims(batch.select(*anomaly.INPUT_COLUMNS), history, cfg)
+            stamp = detected_at if detected_at is not None else F.current_timestamp()
+            scored = anomaly.score_claims(rows, spark.read.parquet(baselines_path), cfg, facts=history, restrict=True)
+            write_batch_once(scored.select(*anomaly.OUTPUT_COLUMNS, stamp.alias("anomaly_detection_timestamp")), batch_id, scores_path)
 
     return write_stream_batches(silver_claims, write, checkpoint, trigger=trigger, name=name)
 
 
+def latest_rows(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """The newest version of every key's row, combined map-side."""
+    versions = spark.read.parquet(path)
+    values = F.struct(*[c for c in versions.columns if c not in (key, "batch")])
+    newest = versions.groupBy(key).agg(F.max_by(values, "batch").alias("row"))
+    return newest.select(key, "row.*")
+
+
 def latest_scores(spark: SparkSession, scores_path: str) -> DataFrame:
-    """The newest version of every claim's scores, combined map-side."""
-    versions = spark.read.parquet(scores_path)
-    values = F.struct(*[c for c in versions.columns if c not in ("claim_id", "batch")])
-    newest = versions.groupBy("claim_id").agg(F.max_by(values, "batch").alias("row"))
-    return newest.select("claim_id", "row.*")
+    return latest_rows(spark, scores_path, "claim_id")

@@ -16,7 +16,10 @@ STATE = "claims long, recent array<double>"
 
 
 def track_scores(claims: DataFrame, cfg: FraudConfig = FraudConfig()) -> DataFrame:
-    """Stream twin of ``fraud_tracking``: count and last scores per holder are the state.
+    """Scores per holder in the order of arrival: count and last scores per holder are the state.
+
+    ``fraud_tracking`` goes by incident date over all claims; the two agree where claims arrive in that order. State is
+    kept for every holder, without end, as a holder's count has none.
 
     ``claims`` needs policyholder_id, claim_id, incident_date and fraud_score. Rows of a micro-batch
     are taken in the order of incident date and claim id.
