@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -58,3 +59,12 @@ def test_files_hold_several_segments(spark, monkeypatch):
 
 def test_empty_table(no_docs):
     assert token_files.file_report(no_docs, PATH).collect() == []
+
+
+def test_random_text_against_the_library():
+    made, ours = Tokenizer.from_file(PATH), token_files.TextIds(open(PATH, encoding="utf-8").read())
+    rng = random.Random(4)
+    letters = ["a", "b", "é", " ", "  ", "\n", "\n\n", "\t", "\x85", "\xa0", "'s", "'ll", "1", "²", "!", "?!", "漢", "😀", "<|endoftext|>", "   ", "\x1c"]
+    for _ in range(2000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randrange(1, 25)))
+        assert list(np.frombuffer(ours.encode(text), "<u4")) == made.encode(text, add_special_tokens=False).ids, repr(text)

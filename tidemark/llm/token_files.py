@@ -20,8 +20,10 @@ that any store that Spark writes to can hold them, a lost task is redone and a f
 from __future__ import annotations
 
 import hashlib
+import re
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
+from tidemark.llm.bpe import byte_characters
 from tidemark.llm.store import new_path, stored
 
 END_ID = 0
@@ -40,10 +43,14 @@ WIDE_SHARE = 0.9
 SEGMENT_IDS = 1 << 16
 #: Documents of one file, by the characters they hold.
 FILE_CHARS = 32 << 20
-REMEMBERED = 400_000
+#: Distinct words a worker remembers (and as many older ones).
+REMEMBERED = 150_000
 
-# Fixed value: the split pattern of the byte-level vocabulary.
+# The split pattern of the byte-level vocabulary, and the same for texts below U+0100.
 PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
+LATIN = re.compile(
+    r" ?[A-Za-zªµºÀ-ÖØ-öø-ÿ]+|'s|'t|'re|'ve|'m|'ll|'d| ?[0-9²³¹¼½¾]+| ?[^\t-\r \x85\xa0A-Za-zªµºÀ-ÖØ-öø-ÿ0-9²³¹¼½¾]+"
+    r"|[\t-\r \x85\xa0]+(?![^\t-\r \x85\xa0])|[\t-\r \x85\xa0]+")
 
 BLOCK_HEAD = np.dtype([("low", "<u4"), ("width", "u1"), ("patches", "u1")])
 PATCH = np.dtype([("at", "u1"), ("high", "<u4")])
@@ -77,16 +84,16 @@ def pack(ids: np.ndarray) -> bytes:
     sizes = BLOCK_HEAD.itemsize + widths * (BLOCK // 8) + counts * PATCH.itemsize
     starts = np.cumsum(sizes) - sizes
     body = np.zeros(int(sizes.sum()), np.uint8)
-    _spread(body, starts, heads.view(np.uint8).reshape(blocks, -1))
+    _spread(body, starts, heads.view(np.uint8).reshape(blocks, BLOCK_HEAD.itemsize))
     for width in np.unique(widths):
         own = np.flatnonzero(widths == width)
         planes = np.empty((len(own), int(width), BLOCK // 8), np.uint8)
         for bit in range(int(width)):
             planes[:, bit] = np.packbits(((rest[own] >> np.uint32(bit)) & np.uint32(1)).astype(np.uint8), axis=1, bitorder="little")
-        _spread(body, starts[own] + BLOCK_HEAD.itemsize, planes.reshape(len(own), -1))
+        _spread(body, starts[own] + BLOCK_HEAD.itemsize, planes.reshape(len(own), int(width) * (BLOCK // 8)))
     first = np.cumsum(counts) - counts
     place = (starts + BLOCK_HEAD.itemsize + widths * (BLOCK // 8))[owner] + (np.arange(len(owner)) - first[owner]) * PATCH.itemsize
-    _spread(body, place, patches.view(np.uint8).reshape(len(owner), -1))
+    _spread(body, place, patches.view(np.uint8).reshape(-1, PATCH.itemsize))
     return np.array([n, blocks], "<u4").tobytes() + starts.astype("<u4").tobytes() + body.tobytes()
 
 
@@ -129,42 +136,68 @@ def unpack(content: bytes) -> np.ndarray:
 # ---- ids of a text
 
 
-class _Pieces(dict):
-    """Piece -> its ids as little-endian bytes, asked of the tokenizer once."""
+def split_text(text: str) -> list[str]:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return PATTERN.findall(text)
+    return LATIN.findall(text)
 
-    def __init__(self, tokenizer: Tokenizer):
-        super().__init__()
-        self.tokenizer = tokenizer
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= REMEMBERED:
+class _Remembered(dict):
+    """Text -> its ids as little-endian bytes, made where not remembered.
+
+    Beyond a bound what is remembered becomes the old part, and what is asked for again moves over.
+    """
+
+    def __init__(self, make: Callable[[str], bytes], most: int):
+        super().__init__()
+        self.make, self.most = make, most
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, text: str) -> bytes:
+        made = self.old.get(text)
+        if made is None:
+            made = self.make(text)
+        if len(self) >= self.most:
+            self.old = dict(self)
             self.clear()
-        ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        self[piece] = made = np.array(ids, "<u4").tobytes()
+        self[text] = made
         return made
 
 
 class TextIds:
-    """Encodes with the library, piece by piece: the vocabulary's own split makes pieces that are merged alone.
+    """Encodes with the library's model, piece by piece: the vocabulary's own split makes pieces that are merged alone.
 
     Added tokens are found in the raw text first, as the library does.
     """
 
     def __init__(self, content: str):
         self.tokenizer = Tokenizer.from_str(content)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.pieces = _Pieces(self.tokenizer)
-        added = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
-        self.special = regex.compile("(" + "|".join(map(regex.escape, added)) + ")")
+        self.characters = byte_characters()
+        self.pieces = _Remembered(self._of_piece, REMEMBERED // 2)
+        self.spaced = _Remembered(lambda word: self._of_text(" " + word), REMEMBERED)
+        self.added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.special = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
+
+    def _of_piece(self, piece: str) -> bytes:
+        ids = [t.id for t in self.tokenizer.model.tokenize("".join(map(self.characters.__getitem__, piece.encode())))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _of_text(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, split_text(text)))
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
         parts = self.special.split(text)
-        if len(parts) == 1:
-            return b"".join(map(self.pieces.__getitem__, PATTERN.findall(text)))
-        return b"".join(self.encode(p) if i % 2 == 0 else self.pieces[p] for i, p in enumerate(parts))
+        if len(parts) > 1:
+            return b"".join(self.encode(p) if i % 2 == 0 else struct.pack("<I", self.added[p]) for i, p in enumerate(parts))
+        if "  " in text:
+            return self._of_text(text)
+        # Where no two spaces meet, every space starts a piece, so the text is cut there and cut parts are remembered.
+        first, *others = text.split(" ")
+        return self._of_text(first) + b"".join(map(self.spaced.__getitem__, others))
 
 
 _LOADED: dict[str, TextIds] = {}
