@@ -11,7 +11,8 @@ first; it is cut into fragments, overlaps of a pair are counted fragment by frag
 4. Linking: each class is paired with one promising partner (the class least changed before a shared shingle, by votes
    of its shingles), which connects groups of copies by stars instead of all their pairs.
 5. Completing: all pairs that share a prefix shingle, may still reach the threshold by their sizes and places, and are
-   not yet in one component. Nothing is left out: a pair not tested here is connected already or cannot be linked.
+   not yet in one component. Shingles at which no pair meets first are passed over. Nothing is left out: a pair not
+   tested here is connected already or cannot be linked.
 6. A pair's overlap is counted in the first fragment, where most fail, then in the others, summed over fragments.
 
 * A null text, or one without words, has no shingles, links with nothing and is its own component.
@@ -32,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.llm import textbytes
 from tidemark.llm.store import remove, stored, written
@@ -220,6 +222,17 @@ def _may_link(shared: DataFrame, threshold: Threshold) -> DataFrame:
     return shared.withColumn("most", F.expr(f"cast(({both} * (n - place)) div {threshold.percent} as int) - n"))
 
 
+def first_meetings(shared: DataFrame) -> DataFrame:
+    """Without the shingles at which no pair of sets can meet first.
+
+    If all holders of a shingle have the same shared shingle right before it, every pair that meets at the one has met
+    at the other. A passage that many sets hold is left with few shingles.
+    """
+    before = shared.withColumn("before", F.lag("shingle").over(Window.partitionBy("doc").orderBy("place")))
+    later = before.groupBy("shingle").agg(F.min("before").alias("x"), F.max("before").alias("y"), F.count("before").alias("n"), F.count("*").alias("m"))
+    return shared.join(later.where("x = y and n = m").select("shingle"), "shingle", "left_anti")
+
+
 def promising_pairs(shared: DataFrame) -> DataFrame:
     """(a, b) with a < b: each set with the leader that most of its shingles name, the least changed set of the shingle."""
     least = F.min(F.struct((F.col("place") / F.col("n")).alias("changed"), F.col("doc").alias("leader"), F.col("n").alias("m"), F.col("most").alias("most_m")))
@@ -315,7 +328,7 @@ def component_report(docs: DataFrame, threshold: Threshold = OP10) -> DataFrame:
     shared = stored(_may_link(shared_prefixes(sets), threshold), "shared-prefixes")
     linked = stored(links(promising_pairs(shared), sets, docs, excess, threshold), "links")
     labels = components(linked)
-    further = stored(links(remaining_pairs(shared, labels), sets, docs, excess, threshold), "further-links")
+    further = stored(links(remaining_pairs(first_meetings(shared), labels), sets, docs, excess, threshold), "further-links")
     final = components(linked.union(further))
 
     of_class = classes.join(final.withColumnRenamed("doc", "rep"), "rep", "left").select("f1", "f2", F.coalesce("label", "rep").alias("component"))
