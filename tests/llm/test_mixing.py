@@ -92,3 +92,34 @@ def test_awkward(spark, awkward_docs, no_docs):
 def test_plain_rows(spark):
     docs = spark.createDataFrame(common.rows(["abc"] * 5), common.DOCS)
     assert mixing.mixing_report(docs).count() == 5
+
+
+@pytest.mark.parametrize("weights", [{f"s{i:03}": 1.0 for i in range(500)} | {"half": 500.0}, {"quarter": 0.25, "tiny": 1e-6, **{f"s{i}": 0.0416 for i in range(18)}}])
+def test_true_weights_are_met_over_many_blocks(spark, weights):
+    """No least part and no rounding: after any number of slots each source is within a block of its own weight."""
+    blocks = {k: 3000 for k in weights}
+    total = sum(map(Fraction, weights.values()))
+    done, checked = dict.fromkeys(weights, 0), 0
+    for t, (key, block, release, due, slot) in enumerate(mixing.block_slots([(k, w, blocks[k]) for k, w in weights.items()])):
+        assert t == slot and block == done[key] and release <= slot < due
+        done[key] += 1
+        if t % 500 == 499:
+            checked += 1
+            assert all(abs(done[k] - (t + 1) * Fraction(w) / total) < 1 for k, w in weights.items())
+        if t == 2999:
+            break
+    assert checked == 6
+
+
+def test_scheduled_takes_the_true_weights(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SLOTS", 100)
+    docs = spark.createDataFrame([(i, "x" * 10, ("big", "small", *(f"s{i % 100}",))[i % 3]) for i in range(3000)], "doc_id bigint, text string, source string")
+    weights = {"big": 0.5, "small": 1e-6, **{f"s{i}": 0.004999 for i in range(100)}}
+    frame = spark.createDataFrame(list(weights.items()), "source string, weight double")
+    total = sum(map(Fraction, weights.values()))
+    rows = mixing.scheduled(docs, frame, 10).collect()
+    assert len(rows) == 3000 and len({r._slot for r in rows}) == 3000
+    for r in rows:
+        w = Fraction(weights[r.source]) / total
+        assert (r._release, r._deadline) == (r._block / w // 1, -(-(r._block + 1) / w // 1))
+        assert r._release <= r._slot < r._deadline

@@ -1,22 +1,29 @@
 """Mixing sources to target weights with a proportionate-fair schedule of source blocks.
 
 The rows of each source, in a shuffled but fixed order, are cut into blocks of about `block_size` (characters here).
-Block j of a source with weight w is released at slot floor((j-1)/w) and due at ceil(j/w); in every slot the released
-block with the earliest deadline runs. As the weights sum to one, every deadline is met, so after any number of slots
-each source has run its share to within less than one block. Weights are whole parts of `resolution`, so the schedule
-repeats after that many slots: one period is found by stepping through its slots inside a single row (bounded by
-sources and resolution, not by the data), and all blocks get their slots from it at once.
+Block j (from 0) of a source with weight w is released at slot floor(j/w) and due at ceil((j+1)/w); in every slot the
+released block with the earliest deadline runs. As the weights sum to one, every deadline is met, so after any number of
+slots each source has run its share to within less than one block. The weights are taken as they are, as exact fractions:
+no part is rounded, none has a least size, and nothing repeats. Only the blocks there are, one for some 64,000 characters,
+are stepped through, on the driver and in slices; a slot in which none is ready is passed over at once.
 
 Every row appears exactly once. A source that has run out leaves its later slots empty; the others keep their slots.
 
 * A null source is a source of its own. A null or empty text has size zero and goes where the rows around it go.
 * A row belongs to the block in which its first character lies; a long text fills several blocks of its source.
 * Rows are ordered by hash of id and text; equal rows may swap places without effect. Further columns pass through.
-* An empty table gives an empty result. Sources without a weight get none of the period and follow after the others.
+* An empty table gives an empty result. Sources without a weight get no slots and follow after the others, as do
+  blocks released only after 2^62 slots.
 """
 
 from __future__ import annotations
 
+import heapq
+from collections.abc import Iterator
+from fractions import Fraction
+from math import lcm
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -29,6 +36,10 @@ RESOLUTION = 1000
 FLATTENING = 0.7
 #: Rows of a source are dealt to groups of about this many for their running totals.
 GROUP_ROWS = 4096
+#: Blocks whose slots are found before they are written.
+SLOTS = 1 << 18
+#: Slots and deadlines end here.
+LAST = 1 << 62
 #: Characters of a file of mixed rows, about.
 FILE_SIZE = 32 << 20
 
@@ -50,7 +61,9 @@ def _struct_of(source: Column) -> Column:
 
 
 def shares(weights: DataFrame, resolution: int = RESOLUTION) -> DataFrame:
-    """One row: `items`, the sources as (key, part) with whole parts of a period that sum to `period`.
+    """A rounded, repeating form of the weights for a plan of a fixed length; `scheduled` does not use it.
+
+    One row: `items`, the sources as (key, part) with whole parts of a period that sum to `period`.
 
     Parts are rounded by largest remainder and at least one; with more sources than half the resolution, the period
     grows to twice their number.
@@ -106,25 +119,64 @@ def blocks(docs: DataFrame, sizes: DataFrame, block_size: int = BLOCK_SIZE) -> D
         "_group", "_before", "_inside", "_order", "_size")
 
 
-def scheduled(docs: DataFrame, weights: DataFrame | None = None, block_size: int = BLOCK_SIZE, resolution: int = RESOLUTION) -> DataFrame:
-    """Rows of `docs` with `_block`, `_release`, `_deadline`, `_slot` and `_start`.
+def block_slots(sources: list[tuple[str, float, int]]) -> Iterator[tuple[str, int, int, int, int]]:
+    """(key, block, release, deadline, slot) of all blocks of the sources (key, weight, number of blocks), slot by slot."""
+    exact = [Fraction(w) for _, w, _ in sources]
+    scale = lcm(*(w.denominator for w in exact))
+    parts = [int(w * scale) for w in exact]
+    total = sum(parts)
+    ready: list[tuple[int, str, int, int, int]] = []
+    coming: list[tuple[int, int, int]] = [(0, at, 0) for at, (_, _, blocks) in enumerate(sources) if blocks]
+    slot = 0
+    while ready or coming:
+        if not ready:
+            slot = max(slot, coming[0][0])
+        while coming and coming[0][0] <= slot:
+            release, at, block = heapq.heappop(coming)
+            heapq.heappush(ready, (-(-(block + 1) * total // parts[at]), sources[at][0], at, block, release))
+        due, key, at, block, release = heapq.heappop(ready)
+        yield key, block, release, min(due, LAST), slot
+        following = (block + 1) * total // parts[at]
+        if block + 1 < sources[at][2] and following < LAST:
+            heapq.heappush(coming, (following, at, block + 1))
+        slot += 1
+
+
+_SLOTS = pa.schema([("_key", pa.string()), ("_block", pa.int64()), ("_release", pa.int64()), ("_deadline", pa.int64()),
+                    ("_slot", pa.int64()), ("_nth", pa.int64())])
+
+
+def schedule(sizes: DataFrame, weights: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
+    """(_key, _block, _release, _deadline, _slot, _nth): the window and slot of every block, and its number in their order."""
+    spark = sizes.sparkSession
+    keyed = weights.where("weight > 0").groupBy(_struct_of(F.col("source")).alias("_key")).agg(F.sum("weight").alias("weight"))
+    # A source without rows keeps its weight; its slots stay empty.
+    counts = sizes.select(_struct_of(F.col("source")).alias("_key"), F.expr(f"size div {block_size} + 1").alias("blocks"))
+    sources = [(r["_key"], r["weight"], r["blocks"] or 0) for r in keyed.join(counts, "_key", "left").collect()]
+    found: DataFrame | None = None
+    rows: list[tuple] = []
+
+    def out() -> DataFrame:
+        columns = zip(*rows, strict=True) if rows else [()] * len(_SLOTS)
+        made = spark.createDataFrame(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SLOTS, strict=True)], schema=_SLOTS))
+        part = stored(made, "block-slots")
+        return part if found is None else found.union(part)
+
+    for nth, row in enumerate(block_slots(sources)):
+        rows.append((*row, nth))
+        if len(rows) >= SLOTS:
+            found, rows = out(), []
+    return out() if rows or found is None else found
+
+
+def scheduled(docs: DataFrame, weights: DataFrame | None = None, block_size: int = BLOCK_SIZE) -> DataFrame:
+    """Rows of `docs` with `_block`, `_release`, `_deadline`, `_slot`, `_nth` and `_start`.
 
     `weights` is (source, weight); without it the flattened sizes are taken. Sources without a weight have null slots.
     """
     sizes = stored(source_sizes(docs), "source-sizes")
-    parts = stored(shares(weights if weights is not None else flattened_weights(sizes), resolution), "source-shares")
-    # The period has `resolution` rows, or twice as many as there are sources.
-    period = stored(period_slots(parts), "source-period")
-    items = parts.select(F.explode("items").alias("x"), F.col("period").alias("_period")).select(
-        F.col("x.key").alias("_key"), F.col("x.part").alias("_part"), "_period")
-    rows = blocks(docs, sizes, block_size).join(items, "_key", "left").withColumn("_nth", F.expr("_block % _part").cast("int"))
-    slots = period.select(F.col("key").alias("_key"), F.col("nth").alias("_nth"), F.col("slot").alias("_at"))
-    joined = rows.join(slots, ["_key", "_nth"], "left")
-    return joined.withColumns({
-        "_slot": F.expr("_block div _part * _period + _at"),
-        "_release": F.expr("_block * _period div _part"),
-        "_deadline": F.expr("((_block + 1) * _period + _part - 1) div _part"),
-    }).drop("_key", "_nth", "_at", "_part", "_period")
+    slots = schedule(sizes, weights if weights is not None else flattened_weights(sizes), block_size)
+    return blocks(docs, sizes, block_size).join(slots, ["_key", "_block"], "left").drop("_key")
 
 
 def mixing_report(docs: DataFrame) -> DataFrame:
@@ -140,9 +192,9 @@ def mixed(docs: DataFrame, weights: DataFrame | None = None, block_size: int = B
     used = ("doc_id", "source", "text")
     found = scheduled(boxed(docs, *used), weights, block_size)
     n, chars = docs.agg(F.count("*"), F.sum(F.length("text"))).first()
-    last = found.agg(F.max("_slot")).first()[0] if n else None
+    last = found.agg(F.max("_nth")).first()[0] if n else None
     files = max(1, -(-(chars or 0) // file_size))
-    place = F.least(F.lit(files - 1), F.expr(f"_slot * {files} div {(last or 0) + 1}").cast("int"))
+    place = F.least(F.lit(files - 1), F.expr(f"_nth * {files} div {(last or 0) + 1}").cast("int"))
     ordered = found.withColumn("_file", F.coalesce(place, F.lit(files - 1)))
     dealt = ordered.repartitionById(files, F.col("_file")).sortWithinPartitions(F.col("_slot").asc_nulls_last(), "_start", "doc_id")
     return unboxed(dealt, docs.columns, *used)
