@@ -68,3 +68,33 @@ def test_kept_documents_keep_their_columns(spark, awkward_docs):
 def test_empty_table(no_docs):
     assert quality.quality_report(no_docs).collect() == []
     assert quality.kept_documents(no_docs).collect() == []
+
+
+def texts(n, rng):
+    """Clean texts of 200 words on 20 lines."""
+    return ["\n".join(" ".join(rng.choice(["ab", "abc", "word", "longer", "sentences"]) + str(rng.randrange(900)) for _ in range(10)) for _ in range(20))
+            for _ in range(n)]
+
+
+def verdicts(spark, groups):
+    """Kept shares by group from {name: (texts, lang, source)}."""
+    rows = [(t, lang, source, name) for name, (found, lang, source) in groups.items() for t in found]
+    frame = spark.createDataFrame([(i, *r[:3]) for i, r in enumerate(rows)], "doc_id bigint, text string, lang string, source string")
+    kept = {r.doc_id: r.kept for r in quality.quality_report(frame).collect()}
+    out = {name: [] for name in groups}
+    for i, r in enumerate(rows):
+        out[r[3]].append(kept[i])
+    return {name: sum(x) / len(x) for name, x in out.items()}
+
+
+def test_each_statistic_rejects_alone(spark):
+    """Texts far from the rest of their group in one statistic, by less than the fixed floors once let pass."""
+    rng = random.Random(5)
+    symbols = [t.replace(" ", " # ", 12) for t in texts(10, rng)]
+    lines = ["\n".join([*t.split("\n"), *(f"again{i}" for i in range(6) for _ in range(2))]) for t in texts(10, rng)]
+    words = [t + "".join(" " + " ".join(t.split()[i:i + 3]) for i in range(0, 30, 3)) for t in texts(10, rng)]
+    one = [t.replace(" ", " # ", 1) + "\n" + t.split("\n")[0].split()[0] for t in texts(10, rng)]
+    kept = verdicts(spark, {"clean": (texts(600, rng), "en", "s"), "symbols": (symbols, "en", "s"), "lines": (lines, "en", "s"),
+                            "words": (words, "en", "s"), "one": (one, "en", "s")})
+    assert kept["symbols"] == kept["lines"] == kept["words"] == 0
+    assert kept["clean"] > 0.995 and kept["one"] == 1

@@ -9,7 +9,8 @@ reweighted estimate is beyond a chi-square limit.
 * A null language or source is a group of its own. Groups of fewer than `min_rows` rows that pass the base rules
   are pooled by language, and pools still too small over everything; a pool that is too small even then rejects none.
 * Equal rows get equal verdicts; further columns pass through `judged`.
-* Each spread has a floor, so a statistic that is constant in most rows does not reject the rest by itself.
+* Each spread has a floor of the noise of counting, so a statistic that is zero in most rows does not reject each text
+  in which it is not.
 """
 
 from __future__ import annotations
@@ -32,14 +33,19 @@ MIN_ROWS = 200
 #: Share of the rows the determinant is minimised over, and the number of concentration steps.
 SHARE = 0.75
 STEPS = 4
-#: Least standard deviation of each transformed statistic.
-FLOORS = [0.06, 0.05, 0.05, 0.08]
+#: Least standard deviation of each transformed statistic: the noise of counting in a text of some 300 words, where the
+#: square root of a share of n has a deviation of 0.5 / sqrt(n), and a repeat covers six words. Beyond it the rows decide.
+FLOORS = [0.01, 0.03, 0.06, 0.06]
+#: Added to the lines of a text, so that one repeated line of a few is no outlier.
+FEW_LINES = 8
 #: 0.99999 and 0.975 quantiles of chi-square with four degrees of freedom.
 REJECT = 28.473
 REWEIGH = 11.143
 N = len(FLOORS)
 
 STATISTICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+#: The reported statistics and the number of lines that are not blank.
+MEASURED = [*STATISTICS, "n_lines"]
 
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -73,20 +79,17 @@ def _repeated(words: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def _duplicate_lines(texts: list[str | None]) -> list[int]:
-    out = []
-    for text in texts:
-        lines = (text or "").split("\n")
-        if len(lines) < 2:
-            out.append(0)
-            continue
-        filled = [line for line in lines if line.strip(" \t\n\x0b\f\r")]
-        out.append(len(filled) - len(set(filled)))
+def _lines(texts: list[str | None]) -> np.ndarray:
+    """Per text: lines that are not blank, and those of them that repeat an earlier one."""
+    out = np.zeros((len(texts), 2), dtype=np.int64)
+    for at, text in enumerate(texts):
+        filled = [line for line in (text or "").split("\n") if line.strip(" \t\n\x0b\f\r")]
+        out[at] = len(filled), len(filled) - len(set(filled))
     return out
 
 
 def statistics(text: pa.Array) -> list[pa.Array]:
-    """The five base statistics of a text column."""
+    """The base statistics of a text column, as in `MEASURED`."""
     found: list[list[np.ndarray]] = [[], [], [], []]
     for part in textbytes.slices(text):
         starts, ends, first = part.words()
@@ -96,14 +99,14 @@ def statistics(text: pa.Array) -> list[pa.Array]:
         found[2].append(_sums(_SYMBOL[part.data], part.offsets))
         found[3].append(_repeated(words, first))
     n_words, chars, symbols, repeated = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in found)
-    lines = np.array(_duplicate_lines(text.to_pylist()), dtype=np.int64)
-    return [pa.array(x.astype(np.int64)) for x in (n_words, chars, symbols, lines, repeated)]
+    lines, same = _lines(text.to_pylist()).T
+    return [pa.array(x.astype(np.int64)) for x in (n_words, chars, symbols, same, repeated, lines)]
 
 
 def with_statistics(docs: DataFrame, keep_text: bool) -> DataFrame:
     """Append the base statistics (under `_q_` names, so that no column of the input clashes)."""
     kept = [c for c in docs.columns if keep_text or c != "text"]
-    named = [f"_q_{name}" for name in STATISTICS]
+    named = [f"_q_{name}" for name in MEASURED]
     schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept), *(f"{c} bigint" for c in named)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,12 +124,12 @@ def base_failed(min_words: int = MIN_WORDS, max_repeated: int = MAX_REPEATED) ->
 
 
 def vector() -> Column:
-    """The transformed statistics: log of the mean word length, and symbols, repeated lines and repeated words for each
-    word. Length itself is no fault and left out."""
+    """The transformed statistics: log of the mean word length, and square roots of the symbols for each word, the
+    repeated among the lines and among the words, whose spread hardly depends on their size. Length itself is no fault
+    and left out."""
     words = F.greatest(F.col("_q_n_words"), F.lit(1)).cast("double")
-    share = lambda name: F.col(f"_q_{name}") / words
-    return F.array(F.log(F.greatest(F.col("_q_word_chars"), F.lit(1)) / words), share("n_symbols"),
-                   share("n_dup_lines"), share("n_repeat_words"))
+    return F.array(F.log(F.greatest(F.col("_q_word_chars"), F.lit(1)) / words), F.sqrt(F.col("_q_n_symbols") / words),
+                   F.sqrt(F.col("_q_n_dup_lines") / (F.col("_q_n_lines") + FEW_LINES)), F.sqrt(F.col("_q_n_repeat_words") / words))
 
 
 def _estimate(moments: DataFrame, name: str, factor: float) -> DataFrame:
