@@ -98,3 +98,13 @@ def test_each_statistic_rejects_alone(spark):
                             "words": (words, "en", "s"), "one": (one, "en", "s")})
     assert kept["symbols"] == kept["lines"] == kept["words"] == 0
     assert kept["clean"] > 0.995 and kept["one"] == 1
+
+
+def test_rare_groups_and_small_tables_are_judged(spark):
+    rng = random.Random(6)
+    junk = lambda n: [" ".join(w + "***" for w in t.split()) for t in texts(n, rng)]
+    kept = verdicts(spark, {"clean": (texts(600, rng), "en", "s"), "rare": (junk(100), "en", "new"), "other": (junk(5), None, None),
+                            "fine": (texts(5, rng), "de", "s")})
+    assert kept["rare"] == kept["other"] == 0 and kept["clean"] > 0.995 and kept["fine"] == 1
+    few = verdicts(spark, {"clean": (texts(80, rng), "en", "s"), "junk": (junk(6), "en", "s")})
+    assert few["junk"] == 0 and few["clean"] > 0.95

@@ -6,8 +6,8 @@ Mahalanobis distance, take their mean and covariance, and repeat. A row is rejec
 reweighted estimate is beyond a chi-square limit.
 
 * A null or empty text has no words; fewer than `min_words` words fail the base rule.
-* A null language or source is a group of its own. Groups of fewer than `min_rows` rows that pass the base rules
-  are pooled by language, and pools still too small over everything; a pool that is too small even then rejects none.
+* A null language or source is a group of its own. A group of fewer than `min_rows` rows that pass the base rules is
+  judged by the estimate over all rows of its language, and where these are too few, over all rows of the table.
 * Equal rows get equal verdicts; further columns pass through `judged`.
 * Each spread has a floor of the noise of counting, so a statistic that is zero in most rows does not reject each text
   in which it is not.
@@ -169,25 +169,27 @@ def _moments(rows: DataFrame) -> DataFrame:
 
 
 def groups(rows: DataFrame, min_rows: int) -> DataFrame:
-    """(lang, source, _group): the group whose estimate judges these rows; null where no group is large enough."""
+    """(_lang, _source, _group, _within): the group whose estimate judges these rows, and all groups they are counted in."""
     counted = rows.groupBy(F.col("lang").alias("_lang"), F.col("source").alias("_source")).agg(F.count("*").alias("_n"))
     own = F.concat(F.lit("s"), F.to_json(F.struct("_lang", "_source")))
     of_lang = F.concat(F.lit("l"), F.to_json(F.struct("_lang")))
-    small = counted.where(F.col("_n") < min_rows)
-    by_lang = small.groupBy("_lang").agg(F.sum("_n").alias("_m")).select(F.col("_lang").alias("_l"), "_m")
-    rest = by_lang.where(F.col("_m") < min_rows).agg(F.sum("_m").alias("_r"))
-    return counted.join(by_lang, F.col("_lang").eqNullSafe(F.col("_l")), "left").join(rest, F.lit(True), "left").select(
-        "_lang", "_source",
-        F.when(F.col("_n") >= min_rows, own).when(F.col("_m") >= min_rows, of_lang).when(F.col("_r") >= min_rows, F.lit("all")).alias("_group"))
+    by_lang = counted.groupBy("_lang").agg(F.sum("_n").alias("_m"), (F.min("_n") < min_rows).alias("_some")).select(
+        F.col("_lang").alias("_l"), "_m", "_some")
+    last = by_lang.agg((F.min("_m") < min_rows).alias("_few"))
+    judged = F.when(F.col("_n") >= min_rows, own).when(F.col("_m") >= min_rows, of_lang).otherwise(F.lit("all"))
+    within = F.array_compact(F.array(F.when(F.col("_n") >= min_rows, own), F.when(F.col("_some") & (F.col("_m") >= min_rows), of_lang),
+                                     F.when(F.col("_few"), F.lit("all"))))
+    return counted.join(by_lang, F.col("_lang").eqNullSafe(F.col("_l")), "left").join(last, F.lit(True), "left").select(
+        "_lang", "_source", judged.alias("_group"), within.alias("_within"))
 
 
 def estimates(rows: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
     """Per (lang, source): mean and inverse covariance to judge by. `rows` has lang, source and `_v`, base rules passed."""
     named = stored(groups(rows, min_rows), "quality-groups")
     on = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
-    grouped = stored(rows.join(named, on).select("_group", "_v").where("_group is not null"), "quality-vectors")
+    grouped = stored(rows.join(named, on).select(F.explode("_within").alias("_group"), "_v"), "quality-vectors")
     middle = grouped.groupBy("_group").agg(F.array(*(F.percentile_approx(F.get("_v", F.lit(i)), 0.5, 1000) for i in range(N))).alias("_m"))
-    near = grouped.join(middle, "_group").select("_group", "_v", *(
+    near = grouped.join(F.broadcast(middle), "_group").select("_group", "_v", *(
         F.abs(F.get("_v", F.lit(i)) - F.get("_m", F.lit(i))).alias(f"_a{i}") for i in range(N)), "_m")
     spread = near.groupBy("_group").agg(
         F.first("_m").alias("e_mean"),
@@ -199,15 +201,15 @@ def estimates(rows: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
         found = stored(found, "quality-estimate")
         measured = grouped.join(found, "_group").select("_group", "_v", _distance("e").alias("_d"))
         limit = measured.groupBy("_group").agg(F.percentile_approx("_d", SHARE, 1000).alias("_limit"))
-        inner = measured.join(limit, "_group").where(F.col("_d") <= F.col("_limit"))
+        inner = measured.join(F.broadcast(limit), "_group").where(F.col("_d") <= F.col("_limit"))
         found = _estimate(_moments(inner), "e", 1.0)
     found = stored(found, "quality-estimate")
     # The inner rows' covariance is too small: scale it so that the median distance is that of chi-square (3.357).
     measured = grouped.join(found, "_group").select("_group", "_v", _distance("e").alias("_d"))
     scale = measured.groupBy("_group").agg((F.percentile_approx("_d", 0.5, 1000) / 3.357).alias("_scale"))
-    inner = measured.join(scale, "_group").where(F.col("_d") <= REWEIGH * F.greatest("_scale", F.lit(1.0)))
+    inner = measured.join(F.broadcast(scale), "_group").where(F.col("_d") <= REWEIGH * F.greatest("_scale", F.lit(1.0)))
     final = _estimate(_moments(inner), "e", 1.0)
-    return stored(named.join(final, "_group", "left"), "quality-final")
+    return stored(named.drop("_within").join(final, "_group", "left"), "quality-final")
 
 
 def verdicts(rows: DataFrame, found: DataFrame) -> DataFrame:
