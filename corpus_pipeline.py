@@ -4,13 +4,15 @@ quality     documents that fail the quality rules go
 line_dedup  repeated lines go, but for the last document that holds them
 near_copies one document of each group of near copies stays (five-word shingles, similarity of 0.8 or more)
 mixing      the documents in the order of the source schedule, file by file; none is dropped or repeated
-bpe         the token ids of each document's whole text
+bpe         each document's place in the mix (from 0, over all files), the token ids of its whole text, and the SHA-256
+            of the text decoded from them
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.llm import bpe, line_dedup, mixing, ngram_join, quality
 from tidemark.llm.queries import tokenizer
@@ -33,9 +35,21 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return mixing.mixed(docs)
 
 
+def placed(docs: DataFrame) -> DataFrame:
+    """The rows of a table in files with `place`, their number in the order of file names and of the rows in each file.
+
+    A scan may take files in any order and several at once, so the order is read from the files, not from the scan. Only
+    the row counts of the files are summed in one task.
+    """
+    at = docs.withColumns({"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
+    counts = at.groupBy("_file").agg(F.count("*").alias("_n"))
+    before = counts.select("_file", (F.sum("_n").over(Window.orderBy("_file")) - F.col("_n")).alias("_before"))
+    return at.join(F.broadcast(before), "_file").withColumn("place", F.col("_before") + F.col("_row")).drop("_file", "_row", "_before")
+
+
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    encoded = bpe.encoded(docs.select("doc_id", "source", "text"), tokenizer("word_bpe_49k.json"))
-    return encoded.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    encoded = bpe.encoded(placed(docs.select("doc_id", "source", "text")), tokenizer("word_bpe_49k.json"), "decoded_sha256")
+    return encoded.select("doc_id", "source", "place", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded_sha256")
 
 
 STAGES = [

@@ -1,9 +1,10 @@
+import hashlib
 import random
 
 import corpus_pipeline
 from tests.llm import common
 from tests.llm.test_ngram_join import expected as components
-from tidemark.llm import bpe, quality
+from tidemark.llm import bpe, mixing, quality
 from tidemark.llm.ngram_join import Threshold
 from tidemark.llm.queries import tokenizer
 
@@ -56,3 +57,19 @@ def test_stages(spark, tmp_path):
 def test_empty_documents(spark, tmp_path):
     documents(spark)[1].limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_places_follow_the_mix_over_files_of_different_size(spark, tmp_path):
+    """The rows of the last stage carry the order of the schedule, whatever order the files are read in."""
+    rng = random.Random(3)
+    rows = [(i, common.sentences(rng, 20 if i % 3 else 400), "en", f"s{i % 3}", 0) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    slots = {r.doc_id: (r._slot, r._start) for r in mixing.scheduled(docs, block_size=3000).collect()}
+    mixing.mixed(docs, block_size=3000, file_size=40_000).write.parquet(str(tmp_path / "mixed"))
+    files = list((tmp_path / "mixed").glob("*.parquet"))
+    assert len(files) > 5 and len({f.stat().st_size for f in files}) > 1
+    out = corpus_pipeline.bpe_stage(spark, spark.read.parquet(str(tmp_path / "mixed")), "").collect()
+    assert sorted(r.place for r in out) == list(range(400))
+    assert [r.doc_id for r in sorted(out, key=lambda r: r.place)] == sorted(slots, key=slots.get)
+    ours = bpe.WordBpe(open(tokenizer("word_bpe_49k.json"), encoding="utf-8").read())
+    assert all(r.decoded_sha256 == hashlib.sha256(ours.decode(r.ids).encode()).hexdigest() for r in out)

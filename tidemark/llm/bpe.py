@@ -298,17 +298,23 @@ def _vocabulary(docs: DataFrame, path: str):
         return docs.sparkSession.sparkContext.broadcast(file.read())
 
 
-def encoded(docs: DataFrame, path: str) -> DataFrame:
-    """The rows of `docs` (without text) with `ids`, the token ids of the whole text."""
+def encoded(docs: DataFrame, path: str, digest: str | None = None) -> DataFrame:
+    """The rows of `docs` (without text) with `ids`, the token ids of the whole text, and under the name `digest`, if
+    given, the SHA-256 of the text decoded from them."""
     content = _vocabulary(docs, path)
-    kept = [c for c in docs.columns if c not in ("text", "ids")]
-    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept), "ids array<int>"])
+    kept = [c for c in docs.columns if c not in ("text", "ids", digest)]
+    made = ["ids array<int>", *([f"`{digest}` string"] if digest else [])]
+    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept), *made])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _digests(content.value).bpe
         for batch in batches:
             ids = pa.array((ids for texts in _by_size(batch.column("text")) for ids in bpe.encode_all(texts)), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), ids], names=[*kept, "ids"])
+            columns, names = [*(batch.column(c) for c in kept), ids], [*kept, "ids"]
+            if digest:
+                columns.append(pa.array((hashlib.sha256(bpe.decode(row.as_py()).encode()).hexdigest() for row in ids), pa.string()))
+                names.append(digest)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return docs.select(*kept, "text").mapInArrow(run, schema)
 
