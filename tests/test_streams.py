@@ -94,3 +94,27 @@ def test_gold_days_are_replaced_and_others_left(spark):
 def test_files_do_not_start_at_the_latest(spark, tmp_path):
     with pytest.raises(ValueError, match="modifiedAfter"):
         events.stream_source(spark, str(tmp_path), "text", start="latest")
+
+
+def test_claims_without_date_or_customer_reach_every_stream(spark, monkeypatch):
+    nulled = lambda c, r: F.when(F.pmod(F.xxhash64("claim_id"), F.lit(7)) != r, F.col(c))
+    monkeypatch.setitem(globals(), "scored_bronze", lambda s, d, make=scored_bronze: make(s, d).withColumns(
+        {"claim_date": nulled("claim_date", 0), "customer_id": nulled("customer_id", 1)}))
+    paths = {n: (work_path(spark, n), work_path(spark, f"{n}-checkpoint")) for n in ("daily", "profile", "scores")}
+    baselines = work_path(spark, "baselines")
+    anomaly.statistical_baselines(silver_frame(spark, SF_DIR), as_of()).write.parquet(baselines)
+
+    def after(table):
+        source = lambda: medallion.table_stream(spark, table, SILVER_CLAIM)
+        medallion.gold_stream(source(), table, "daily_claims_summary", *paths["daily"]).awaitTermination()
+        medallion.profile_stream(source(), table, *paths["profile"]).awaitTermination()
+        medallion.anomaly_stream(source(), table, baselines, *paths["scores"], as_of()).awaitTermination()
+
+    silver = medallion.stored_silver(spark, arrive(spark, "new_first", after)).cache()
+    assert silver.where("claim_date IS NULL").count() > 0 and silver.where("customer_id IS NULL").count() > 0
+    same(medallion.gold_table(spark, paths["daily"][0], "daily_claims_summary"), gold.daily_claims_summary(silver),
+         ["summary_date", "claim_type", "total_claims", "median_amount", "fraud_detected_count"])
+    same(medallion.latest_rows(spark, paths["profile"][0], "customer_id"), gold.customer_risk_profiles(silver), ["customer_id", "total_claims"])
+    whole = anomaly.score_claims(silver, spark.read.parquet(baselines))
+    same(medallion.latest_scores(spark, paths["scores"][0]), whole, ["claim_id", "composite_anomaly_score", "customer_anomaly_score",
+                                                                     "geographic_anomaly_score", "network_anomaly_score", "time_series_anomaly_score"])

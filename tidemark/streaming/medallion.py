@@ -115,17 +115,18 @@ def gold_stream(silver_claims: DataFrame, silver_path: str, table: str, path: st
                 trigger: str | None = None, name: str | None = None) -> StreamingQuery:
     """A daily gold table kept up to date: the days that a batch touches are made anew from the stored claims.
 
-    No state is kept and late claims need no watermark. The rows of the touched days are written as a newer version;
+    No state is kept and late claims need no watermark. Claims without a date are a day of their own. The rows of the touched days are written as a newer version;
     ``gold_table`` reads the newest of each day, so readers never find a day missing.
     """
     make, day = GOLD[table]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        touched = batch.where("claim_date IS NOT NULL").select(
-            _month(F.col("claim_date")).alias(MONTH_COLUMN), F.to_date("claim_date").alias("_touched")).distinct()
+        touched = batch.select(F.coalesce(_month(F.col("claim_date")), F.lit("none")).alias("_month"),
+                               F.to_date("claim_date").alias("_day")).distinct()
         claims = stored_silver(spark, silver_path).withColumn("_touched", F.to_date("claim_date"))
-        write_batch_once(make(claims.join(touched, [MONTH_COLUMN, "_touched"], "left_semi")), batch_id, path)
+        own = (F.col(MONTH_COLUMN) == F.col("_month")) & F.col("_touched").eqNullSafe(F.col("_day"))
+        write_batch_once(make(claims.join(touched, own, "left_semi")), batch_id, path)
 
     return write_stream_batches(silver_claims, write, checkpoint, trigger=trigger, name=name)
 
@@ -135,7 +136,7 @@ def gold_table(spark: SparkSession, path: str, table: str) -> DataFrame:
     day = GOLD[table][1]
     versions = spark.read.parquet(path)
     newest = versions.groupBy(day).agg(F.max("batch").alias("batch"))
-    return versions.join(newest, [day, "batch"], "left_semi").drop("batch")
+    return anomaly.null_safe_join(versions, newest, [day, "batch"], "left_semi").drop("batch")
 
 
 def profile_stream(silver_claims: DataFrame, silver_path: str, path: str, checkpoint: str, trigger: str | None = None,
@@ -143,7 +144,7 @@ def profile_stream(silver_claims: DataFrame, silver_path: str, path: str, checkp
     """Customer risk profiles: those of a batch's customers anew, as a newer version; ``latest_rows`` picks it."""
     def write(batch: DataFrame, batch_id: int) -> None:
         customers = batch.select("customer_id").distinct()
-        claims = stored_silver(batch.sparkSession, silver_path).join(customers, "customer_id", "left_semi")
+        claims = anomaly.null_safe_join(stored_silver(batch.sparkSession, silver_path), customers, ["customer_id"], "left_semi")
         write_batch_once(gold.customer_risk_profiles(claims), batch_id, path)
 
     return write_stream_batches(silver_claims, write, checkpoint, trigger=trigger, name=name)
@@ -154,7 +155,8 @@ def affected_claims(new: DataFrame, history: DataFrame, cfg: AnomalyConfig) -> D
 
     A claim counts in the windows of later claims of its type (a day), of its district and type (a week) and of its
     customer (90 days), and of claims around it at its postcode (three days). New claims are combined per (key, day)
-    before the join and a stored claim looks its own day up, so no pairs of claims are formed.
+    before the join and a stored claim looks its own day up, so no pairs of claims are formed. Claims without a date
+    count in one another's windows.
     """
     day = lambda c: F.unix_date(F.to_date(c))
     dated = history.withColumn("_day", day("claim_date"))
@@ -162,7 +164,7 @@ def affected_claims(new: DataFrame, history: DataFrame, cfg: AnomalyConfig) -> D
     for keys, before, after in ((["claim_type"], 0, 1), (["postcode_district", "claim_type"], 0, cfg.geo_days),
                                 (["customer_id"], 0, cfg.customer_days), (["incident_postcode"], cfg.network_days, cfg.network_days)):
         days = new.select(*keys, day("claim_date").alias("_day")).distinct()
-        reached = days.select(*keys, F.explode(F.sequence(F.col("_day") - before, F.col("_day") + after + 1)).alias("_day")).distinct()
+        reached = days.select(*keys, F.explode_outer(F.sequence(F.col("_day") - before, F.col("_day") + after + 1)).alias("_day")).distinct()
         around = anomaly.null_safe_join(dated, reached, [*keys, "_day"], "left_semi").select("claim_id")
         found = around if found is None else found.union(around)
     return history.join(found.union(new.select("claim_id")).distinct(), "claim_id", "left_semi")
@@ -193,12 +195,11 @@ def anomaly_stream(silver_claims: DataFrame, silver_path: str, baselines_path: s
         spark = batch.sparkSession
         with held(batch):
             span = batch.agg(F.min("claim_date").alias("first"), F.max("claim_date").alias("last")).first()
-            if span["first"] is None:
-                return
-            first, last = (F.date_add(F.to_date(F.lit(at)), F.lit(days)) for at, days in (
+            first, last = (F.date_add(F.to_date(F.lit(at).cast("timestamp")), F.lit(days)) for at, days in (
                 (span["first"], -reach - cfg.network_days), (span["last"], reach)))
             history = (stored_silver(spark, silver_path)
-                       .where(F.col(MONTH_COLUMN).between(_month(first), _month(last)) & F.to_date("claim_date").between(first, last))
+                       .where((F.col(MONTH_COLUMN).between(_month(first), _month(last)) & F.to_date("claim_date").between(first, last))
+                              | ((F.col(MONTH_COLUMN) == "none") & F.col("claim_date").isNull()))
                        .select(*anomaly.INPUT_COLUMNS))
             rows = affected_claims(batch.select(*anomaly.INPUT_COLUMNS), history, cfg)
             stamp = detected_at if detected_at is not None else F.current_timestamp()
