@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, line_dedup, maxent_lm, mixing, neighbours, ngram_join, quality, token_files, url_filter, warc
+from tidemark.llm import alignment, bpe, line_dedup, maxent_lm, mixing, neighbours, ngram_join, quality, token_files, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +61,11 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.component_report(table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.alignment_report(docs, tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_bpe": op2_bpe,
@@ -72,6 +77,7 @@ QUERIES: dict[str, Query] = {
     "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
     "op10_ngram_join": op10_ngram_join,
+    "op11_alignment": op11_alignment,
 }
 
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
