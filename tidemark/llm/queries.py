@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import alignment, bpe, line_dedup, maxent_lm, mixing, neighbours, ngram_join, quality, token_files, url_filter, warc
+from tidemark.llm import alignment, bpe, line_dedup, maxent_lm, mixing, neighbours, ngram_join, quality, token_files, url_filter, warc, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,6 +66,10 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.alignment_report(docs, tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_bpe": op2_bpe,
@@ -78,6 +82,7 @@ QUERIES: dict[str, Query] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_ngram_join": op10_ngram_join,
     "op11_alignment": op11_alignment,
+    "op12_whitening": op12_whitening,
 }
 
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
