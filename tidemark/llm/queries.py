@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import alignment, bpe, line_dedup, maxent_lm, mixing, neighbours, ngram_join, quality, token_files, url_filter, warc, whitening
+from tidemark.llm import alignment, bpe, line_dedup, maxent_lm, mixing, neighbours, ngram_join, quality, token_files, toxicity, url_filter, warc, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,6 +70,10 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_bpe": op2_bpe,
@@ -83,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op10_ngram_join": op10_ngram_join,
     "op11_alignment": op11_alignment,
     "op12_whitening": op12_whitening,
+    "op13_toxicity": op13_toxicity,
 }
 
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
