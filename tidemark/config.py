@@ -50,7 +50,6 @@ class AnomalyConfig:
     history_days: int = 90
     z_limit: float = 3.0
     iqr_factor: float = 1.5
-    accuracy: int = 10000
     hour: int = 3600
     day: int = 86400
     geo_days: int = 7

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import AnomalyConfig
+from tidemark.functions.ranks import Ranked, with_percentiles
 from tidemark.functions.windows import null_safe_join, sliding_extremes, sliding_stats
 from tidemark.operators.silver import labels_of
 
@@ -46,19 +47,18 @@ def statistical_baselines(history: DataFrame, as_of: Column | None = None, cfg:
         history = history.where(F.col("claim_date") >= F.date_sub(F.to_date(as_of), cfg.history_days))
     amount = F.col("claim_amount_gbp")
     spread = lambda name, label: [F.avg(name).alias(f"mean_{label}"), F.stddev(name).alias(f"stddev_{label}")]
-    quartiles = F.percentile_approx(amount, F.array(*[F.lit(q) for q in (0.25, 0.5, 0.75)]), cfg.accuracy)
     stats = history.groupBy("claim_type").agg(
-        *spread("claim_amount_gbp", "amount"), quartiles.alias("_q"),
+        *spread("claim_amount_gbp", "amount"),
         *spread("days_to_claim", "days_to_claim"), *spread("fraud_score", "fraud_score"),
         (F.count("*") / F.lit(float(cfg.history_days))).alias("daily_avg_count"),
     )
-    iqr = F.col("_q")[2] - F.col("_q")[0]
-    return stats.withColumns({
-        "q1_amount": F.col("_q")[0], "median_amount": F.col("_q")[1], "q3_amount": F.col("_q")[2],
+    quartiles = Ranked(amount, {"q1_amount": 0.25, "median_amount": 0.5, "q3_amount": 0.75})
+    iqr = F.col("q3_amount") - F.col("q1_amount")
+    return with_percentiles(stats, history, {"claim_type": F.col("claim_type")}, quartiles).withColumns({
         "iqr_amount": iqr,
-        "lower_fence": F.col("_q")[0] - cfg.iqr_factor * iqr,
-        "upper_fence": F.col("_q")[2] + cfg.iqr_factor * iqr,
-    }).drop("_q")
+        "lower_fence": F.col("q1_amount") - cfg.iqr_factor * iqr,
+        "upper_fence": F.col("q3_amount") + cfg.iqr_factor * iqr,
+    })
 
 
 def statistical_anomaly(df: DataFrame, baselines: DataFrame, cfg: AnomalyConfig = AnomalyConfig()) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import refdata
+from tidemark.functions.ranks import Ranked, with_percentiles
 from tidemark.functions.windows import running_stats
 
 HOUR = 3600
@@ -19,20 +20,16 @@ def _days_back(as_of: Column, days: int) -> Column:
     return F.date_sub(F.to_date(as_of), days)
 
 
-def daily_claims_summary(df: DataFrame, accuracy: int = 10000) -> DataFrame:
-    """Volume, amount, fraud, routing, latency and quality figures per claim day and type.
-
-    Percentiles are mergeable sketches of the given accuracy (exact up to that many rows per group),
-    so partial aggregation happens before the shuffle and a busy day stays bounded in memory.
-    """
+def daily_claims_summary(df: DataFrame) -> DataFrame:
+    """Volume, amount, fraud, routing, latency and quality figures per claim day and type, with exact percentiles."""
     amount, risky = F.col("claim_amount_gbp"), F.col("is_high_risk")
     latency = F.col("_processing_time_ms")
     status = lambda s: F.count_if(F.col("processing_status") == s)
-    summary = df.groupBy(F.to_date("claim_date").alias("summary_date"), "claim_type").agg(
+    keys = {"summary_date": F.to_date("claim_date"), "claim_type": F.col("claim_type")}
+    summary = df.groupBy(*[c.alias(k) for k, c in keys.items()]).agg(
         F.count("*").alias("total_claims"),
         F.sum(amount).alias("total_amount"),
         F.avg(amount).alias("average_amount"),
-        F.percentile_approx(amount, 0.5, accuracy).alias("median_amount"),
         F.min(amount).alias("min_amount"),
         F.max(amount).alias("max_amount"),
         F.stddev(amount).alias("stddev_amount"),
@@ -43,24 +40,24 @@ def daily_claims_summary(df: DataFrame, accuracy: int = 10000) -> DataFrame:
         status("AUTO_APPROVED").alias("auto_approved_count"),
         status("REJECTED").alias("rejected_count"),
         F.avg(latency).alias("processing_time_avg_ms"),
-        F.percentile_approx(latency, F.array(F.lit(0.95), F.lit(0.99)), accuracy).alias("_tail"),
         F.avg("data_quality_score").alias("avg_data_quality"),
         F.avg("validation_score").alias("avg_validation_score"),
     )
-    return summary.withColumns({
-        "processing_time_p95_ms": F.col("_tail")[0],
-        "processing_time_p99_ms": F.col("_tail")[1],
+    return with_percentiles(
+        summary, df, keys, Ranked(amount, {"median_amount": 0.5}),
+        Ranked(latency, {"processing_time_p95_ms": 0.95, "processing_time_p99_ms": 0.99})).withColumns({
         "fraud_rate": F.col("fraud_detected_count") / F.col("total_claims"),
         "auto_approval_rate": F.col("auto_approved_count") / F.col("total_claims"),
-    }).drop("_tail")
+    })
 
 
-def fraud_metrics(df: DataFrame, accuracy: int = 10000) -> DataFrame:
+def fraud_metrics(df: DataFrame) -> DataFrame:
     """Hourly fraud volumes, score distribution, prevented amounts and patterns."""
     filed, risky, amount = F.col("claim_date"), F.col("is_high_risk"), F.col("claim_amount_gbp")
     score = F.col("adjusted_fraud_score")
     first_indicator = F.get("fraud_indicators", F.lit(0))
-    return df.groupBy(F.to_date(filed).alias("metric_date"), F.hour(filed).alias("metric_hour")).agg(
+    keys = {"metric_date": F.to_date(filed), "metric_hour": F.hour(filed)}
+    metrics = df.groupBy(*[c.alias(k) for k, c in keys.items()]).agg(
         F.count("*").alias("total_claims_evaluated"),
         F.count_if(score > 0.5).alias("fraud_alerts_generated"),
         F.count_if(risky).alias("high_risk_flagged"),
@@ -68,13 +65,13 @@ def fraud_metrics(df: DataFrame, accuracy: int = 10000) -> DataFrame:
         F.avg("fraud_score").alias("avg_original_fraud_score"),
         F.avg(score).alias("avg_adjusted_fraud_score"),
         F.max(score).alias("max_fraud_score"),
-        F.percentile_approx(score, 0.9, accuracy).alias("p90_fraud_score"),
         F.sum(F.when(risky, amount).otherwise(0)).alias("total_fraud_prevented_gbp"),
         F.avg(F.when(risky, amount)).alias("avg_fraud_amount_gbp"),
         F.sort_array(F.collect_set(first_indicator)).alias("top_fraud_patterns"),
         F.sort_array(F.collect_set(F.when(risky, F.col("postcode_district")))).alias("high_risk_postcodes"),
         F.avg(F.when(risky, F.col("_processing_time_ms"))).alias("avg_detection_time_ms"),
-    ).withColumns({
+    )
+    return with_percentiles(metrics, df, keys, Ranked(score, {"p90_fraud_score": 0.9})).withColumns({
         "fraud_detection_rate": F.col("high_risk_flagged") / F.col("total_claims_evaluated"),
         "alert_to_investigation_rate": F.when(
             F.col("fraud_alerts_generated") > 0,
@@ -82,11 +79,10 @@ def fraud_metrics(df: DataFrame, accuracy: int = 10000) -> DataFrame:
     })
 
 
-def operational_kpis_wide(df: DataFrame, accuracy: int = 10000) -> DataFrame:
-    """One row of operational figures per claim day."""
+def daily_figures(df: DataFrame) -> DataFrame:
+    """One row of operational figures per claim day, without the percentile."""
     return df.groupBy(F.to_date("claim_date").alias("kpi_date")).agg(
         F.avg("_processing_time_ms").alias("avg_processing_time_ms"),
-        F.percentile_approx("_processing_time_ms", 0.95, accuracy).alias("p95_processing_time_ms"),
         _share(F.col("processing_status") == "AUTO_APPROVED").alias("auto_approval_rate"),
         _share(F.col("requires_manual_review")).alias("manual_review_rate"),
         _share(F.col("is_high_risk")).alias("fraud_detection_rate"),
@@ -100,6 +96,12 @@ def operational_kpis_wide(df: DataFrame, accuracy: int = 10000) -> DataFrame:
     )
 
 
+def operational_kpis_wide(df: DataFrame) -> DataFrame:
+    """One row of operational figures per claim day."""
+    slow = Ranked(F.col("_processing_time_ms"), {"p95_processing_time_ms": 0.95})
+    return with_percentiles(daily_figures(df), df, {"kpi_date": F.to_date("claim_date")}, slow)
+
+
 def kpi_report(wide: DataFrame) -> DataFrame:
     """Daily figures in long form with target, variance and traffic light."""
     names = [name for name, _ in refdata.KPI_TARGETS]
@@ -120,7 +122,7 @@ def kpi_report(wide: DataFrame) -> DataFrame:
 
 
 def operational_kpis(df: DataFrame) -> DataFrame:
-    return kpi_report(operational_kpis_wide(df))
+    return kpi_report(daily_figures(df))
 
 
 def customer_running_history(df: DataFrame, bucket_seconds: int = HOUR) -> DataFrame:

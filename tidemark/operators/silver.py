@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark import refdata
 from tidemark.config import LiteConfig, QualityConfig, SilverConfig
+from tidemark.functions.ranks import Ranked, with_percentiles
 from tidemark.schemas import SILVER_CLAIM
 
 FULL_POSTCODE = r"^[A-Z]{1,2}[0-9]{1,2}[A-Z]?\s?[0-9][A-Z]{2}$"
@@ -192,24 +193,22 @@ def silver_lite(df: DataFrame, processed_at: Column | None = None, cfg: LiteConf
 
 # ------------------------------------------------------------------------------- reports
 
-def silver_monitoring(df: DataFrame, as_of: Column, accuracy: int = 10000) -> DataFrame:
+def silver_monitoring(df: DataFrame, as_of: Column) -> DataFrame:
     """Hourly figures per status and type over the 24 hours before ``as_of``."""
     stamp = F.col("_silver_timestamp")
-    return (
-        df.where(stamp >= as_of - F.expr("INTERVAL 24 HOURS"))
-        .groupBy(F.to_date(stamp).alias("processing_date"), F.hour(stamp).alias("processing_hour"),
-                 "processing_status", "claim_type")
-        .agg(
-            F.count("*").alias("claim_count"),
-            F.avg("claim_amount_gbp").alias("avg_amount"),
-            F.max("claim_amount_gbp").alias("max_amount"),
-            F.avg("adjusted_fraud_score").alias("avg_fraud_score"),
-            F.count_if("is_high_risk").alias("high_risk_count"),
-            F.count_if("requires_manual_review").alias("manual_review_count"),
-            F.avg("_processing_time_ms").alias("avg_processing_time_ms"),
-            F.percentile_approx("_processing_time_ms", 0.95, accuracy).alias("p95_processing_time_ms"),
-        )
+    recent = df.where(stamp >= as_of - F.expr("INTERVAL 24 HOURS"))
+    keys = {"processing_date": F.to_date(stamp), "processing_hour": F.hour(stamp),
+            "processing_status": F.col("processing_status"), "claim_type": F.col("claim_type")}
+    figures = recent.groupBy(*[c.alias(k) for k, c in keys.items()]).agg(
+        F.count("*").alias("claim_count"),
+        F.avg("claim_amount_gbp").alias("avg_amount"),
+        F.max("claim_amount_gbp").alias("max_amount"),
+        F.avg("adjusted_fraud_score").alias("avg_fraud_score"),
+        F.count_if("is_high_risk").alias("high_risk_count"),
+        F.count_if("requires_manual_review").alias("manual_review_count"),
+        F.avg("_processing_time_ms").alias("avg_processing_time_ms"),
     )
+    return with_percentiles(figures, recent, keys, Ranked(F.col("_processing_time_ms"), {"p95_processing_time_ms": 0.95}))
 
 
 def status_summary(df: DataFrame) -> DataFrame:
