@@ -20,13 +20,11 @@ def _days_back(as_of: Column, days: int) -> Column:
     return F.date_sub(F.to_date(as_of), days)
 
 
-def daily_claims_summary(df: DataFrame) -> DataFrame:
-    """Volume, amount, fraud, routing, latency and quality figures per claim day and type, with exact percentiles."""
+def summary_figures() -> list[Column]:
+    """Volume, amount, fraud, routing, latency and quality figures of a group of claims."""
     amount, risky = F.col("claim_amount_gbp"), F.col("is_high_risk")
-    latency = F.col("_processing_time_ms")
     status = lambda s: F.count_if(F.col("processing_status") == s)
-    keys = {"summary_date": F.to_date("claim_date"), "claim_type": F.col("claim_type")}
-    summary = df.groupBy(*[c.alias(k) for k, c in keys.items()]).agg(
+    return [
         F.count("*").alias("total_claims"),
         F.sum(amount).alias("total_amount"),
         F.avg(amount).alias("average_amount"),
@@ -39,25 +37,29 @@ def daily_claims_summary(df: DataFrame) -> DataFrame:
         F.count_if("requires_manual_review").alias("manual_review_count"),
         status("AUTO_APPROVED").alias("auto_approved_count"),
         status("REJECTED").alias("rejected_count"),
-        F.avg(latency).alias("processing_time_avg_ms"),
+        F.avg("_processing_time_ms").alias("processing_time_avg_ms"),
         F.avg("data_quality_score").alias("avg_data_quality"),
         F.avg("validation_score").alias("avg_validation_score"),
-    )
+    ]
+
+
+def daily_claims_summary(df: DataFrame) -> DataFrame:
+    """``summary_figures`` per claim day and type, with exact percentiles and rates."""
+    keys = {"summary_date": F.to_date("claim_date"), "claim_type": F.col("claim_type")}
+    summary = df.groupBy(*[c.alias(k) for k, c in keys.items()]).agg(*summary_figures())
     return with_percentiles(
-        summary, df, keys, Ranked(amount, {"median_amount": 0.5}),
-        Ranked(latency, {"processing_time_p95_ms": 0.95, "processing_time_p99_ms": 0.99})).withColumns({
-        "fraud_rate": F.col("fraud_detected_count") / F.col("total_claims"),
-        "auto_approval_rate": F.col("auto_approved_count") / F.col("total_claims"),
-    })
+        summary, df, keys, Ranked(F.col("claim_amount_gbp"), {"median_amount": 0.5}),
+        Ranked(F.col("_processing_time_ms"), {"processing_time_p95_ms": 0.95, "processing_time_p99_ms": 0.99})).withColumns({
+            "fraud_rate": F.col("fraud_detected_count") / F.col("total_claims"),
+            "auto_approval_rate": F.col("auto_approved_count") / F.col("total_claims"),
+        })
 
 
-def fraud_metrics(df: DataFrame) -> DataFrame:
-    """Hourly fraud volumes, score distribution, prevented amounts and patterns."""
-    filed, risky, amount = F.col("claim_date"), F.col("is_high_risk"), F.col("claim_amount_gbp")
-    score = F.col("adjusted_fraud_score")
+def fraud_figures() -> list[Column]:
+    """Fraud volumes, score distribution, prevented amounts and patterns of a group of claims."""
+    risky, amount, score = F.col("is_high_risk"), F.col("claim_amount_gbp"), F.col("adjusted_fraud_score")
     first_indicator = F.get("fraud_indicators", F.lit(0))
-    keys = {"metric_date": F.to_date(filed), "metric_hour": F.hour(filed)}
-    metrics = df.groupBy(*[c.alias(k) for k, c in keys.items()]).agg(
+    return [
         F.count("*").alias("total_claims_evaluated"),
         F.count_if(score > 0.5).alias("fraud_alerts_generated"),
         F.count_if(risky).alias("high_risk_flagged"),
@@ -70,8 +72,14 @@ def fraud_metrics(df: DataFrame) -> DataFrame:
         F.sort_array(F.collect_set(first_indicator)).alias("top_fraud_patterns"),
         F.sort_array(F.collect_set(F.when(risky, F.col("postcode_district")))).alias("high_risk_postcodes"),
         F.avg(F.when(risky, F.col("_processing_time_ms"))).alias("avg_detection_time_ms"),
-    )
-    return with_percentiles(metrics, df, keys, Ranked(score, {"p90_fraud_score": 0.9})).withColumns({
+    ]
+
+
+def fraud_metrics(df: DataFrame) -> DataFrame:
+    """``fraud_figures`` per claim hour, with the exact percentile of the scores and rates."""
+    keys = {"metric_date": F.to_date("claim_date"), "metric_hour": F.hour("claim_date")}
+    metrics = df.groupBy(*[c.alias(k) for k, c in keys.items()]).agg(*fraud_figures())
+    return with_percentiles(metrics, df, keys, Ranked(F.col("adjusted_fraud_score"), {"p90_fraud_score": 0.9})).withColumns({
         "fraud_detection_rate": F.col("high_risk_flagged") / F.col("total_claims_evaluated"),
         "alert_to_investigation_rate": F.when(
             F.col("fraud_alerts_generated") > 0,
@@ -79,9 +87,9 @@ def fraud_metrics(df: DataFrame) -> DataFrame:
     })
 
 
-def daily_figures(df: DataFrame) -> DataFrame:
-    """One row of operational figures per claim day, without the percentile."""
-    return df.groupBy(F.to_date("claim_date").alias("kpi_date")).agg(
+def operational_figures() -> list[Column]:
+    """Processing, routing, quality and value figures of a group of claims."""
+    return [
         F.avg("_processing_time_ms").alias("avg_processing_time_ms"),
         _share(F.col("processing_status") == "AUTO_APPROVED").alias("auto_approval_rate"),
         _share(F.col("requires_manual_review")).alias("manual_review_rate"),
@@ -93,7 +101,12 @@ def daily_figures(df: DataFrame) -> DataFrame:
         (F.count("*") / F.lit(24.0)).alias("claims_per_hour"),
         F.sum("claim_amount_gbp").alias("total_claim_value"),
         F.avg("claim_amount_gbp").alias("avg_claim_value"),
-    )
+    ]
+
+
+def daily_figures(df: DataFrame) -> DataFrame:
+    """One row of operational figures per claim day, without the percentile."""
+    return df.groupBy(F.to_date("claim_date").alias("kpi_date")).agg(*operational_figures())
 
 
 def operational_kpis_wide(df: DataFrame) -> DataFrame:
@@ -275,10 +288,9 @@ def fraud_investigation_queue(claims: DataFrame, postcode_risk: DataFrame, above
     )
 
 
-def daily_summary_lite(df: DataFrame) -> DataFrame:
-    """The reduced daily summary."""
+def lite_figures() -> list[Column]:
     amount = F.col("claim_amount_gbp")
-    return df.groupBy(F.to_date("claim_date").alias("summary_date"), "claim_type").agg(
+    return [
         F.count("*").alias("total_claims"),
         F.sum(amount).alias("total_amount"),
         F.avg(amount).alias("average_amount"),
@@ -286,7 +298,12 @@ def daily_summary_lite(df: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("is_high_risk"), amount).otherwise(0)).alias("fraud_detected_amount"),
         F.count_if(F.col("processing_status") == "AUTO_APPROVED").alias("auto_approved_count"),
         F.count_if("requires_manual_review").alias("manual_review_count"),
-    )
+    ]
+
+
+def daily_summary_lite(df: DataFrame) -> DataFrame:
+    """The reduced daily summary."""
+    return df.groupBy(F.to_date("claim_date").alias("summary_date"), "claim_type").agg(*lite_figures())
 
 
 def weekly_kpis(summary: DataFrame, as_of: Column, days: int = 7) -> DataFrame:

@@ -14,12 +14,12 @@ from tidemark.operators import anomaly, bronze, fraud
 from tidemark.plans import inputs
 from tidemark.plans.catalogue.common import register, register_twin, src, ts
 from tidemark.plans.catalogue.medallion import SILVER_CTE
-from tidemark.plans.catalogue.risk import CASE_CTE, _TRACK_SQL
+from tidemark.plans.catalogue.risk import CASE_CTE, SIGNAL_CTE, _TRACK_SQL
 from tidemark.plans.claims import as_of, scored_bronze, silver_frame
 from tidemark.schemas import SILVER_CLAIM
 from tidemark.session import work_path
 from tidemark.sources import catalog, events, sinks
-from tidemark.streaming import medallion, tracking
+from tidemark.streaming import cases, medallion, tracking, windows
 
 _LINES = src("event_lines")
 
@@ -213,6 +213,105 @@ register("tracked_blacklist", "entity:s",
          lambda s, d: fraud.tracked_blacklist(fraud.fraud_tracking(inputs.normal_claims(s, d), cfg=fraud.FraudConfig(high=0.6))),
          f"""WITH {CASE_CTE} SELECT DISTINCT policyholder_id AS entity FROM ({_TRACK_SQL}) WHERE claim_number >= 3 AND m > 6e-1""")
 
+# ---------------------------------------------------------------------------------- windows with a watermark
+# Claims come in three loads by time; one in twenty comes with the last one, most of them after their window is over.
+_FIRST_S, _THIRD_S, _DELAY = 1704067200 - 2 * 86400, 155 * 86400, "7 days"
+_LOADED_CTE = f"""{SILVER_CTE},
+loaded AS (SELECT *, CASE WHEN CAST(right(claim_id, 12) AS BIGINT) % 20 = 7 THEN 2
+  ELSE least(2, CAST(floor((epoch(claim_date) - {_FIRST_S}) / {_THIRD_S}) AS BIGINT)) END AS load FROM silver),
+marks AS (SELECT n.load, (SELECT max(claim_date) FROM loaded WHERE loaded.load < n.load) - INTERVAL {_DELAY} AS mark
+  FROM (SELECT DISTINCT load FROM loaded) n),
+ended AS (SELECT max(claim_date) - INTERVAL {_DELAY} AS last_mark FROM loaded),
+judged AS (SELECT l.*, last_mark, date_trunc('day', claim_date) AS d0, date_trunc('day', claim_date) + INTERVAL 1 DAY AS d1,
+  date_trunc('hour', claim_date) AS h0, date_trunc('hour', claim_date) + INTERVAL 1 HOUR AS h1, mark
+  FROM loaded l JOIN marks m ON l.load = m.load CROSS JOIN ended)"""
+_IN_TIME = "(mark IS NULL OR {0} > mark)"
+
+
+def _windowed(table, start):
+    """The three loads through one of the windows' streams; gives the folder that it writes."""
+    def run(s, d):
+        claims = silver_frame(s, d)
+        folder, path, checkpoint = (work_path(s, n) for n in ("silver", "windows", "checkpoint"))
+        late = F.substring("claim_id", -12, 12).cast("long") % 20 == 7
+        load = F.when(late, 2).otherwise(F.least(F.lit(2), F.floor((F.unix_timestamp("claim_date") - _FIRST_S) / _THIRD_S)))
+        arriving(claims, load, folder, lambda: start(medallion.table_stream(s, folder, claims.schema), table, path, checkpoint, _DELAY).awaitTermination())
+        return path
+    return run
+
+
+def _closed(table):
+    run = _windowed(table, windows.closed_windows_stream)
+    return lambda s, d: s.read.parquet(run(s, d))
+
+
+def _open(table):
+    run = _windowed(table, windows.open_windows_stream)
+    return lambda s, d: windows.newest_windows(s, run(s, d), table)
+
+
+_SUMMARY_SQL = """SELECT d0 AS window_start, d1 AS window_end, claim_type, count(*) AS total_claims, sum(claim_amount_gbp) AS total_amount,
+  avg(claim_amount_gbp) AS average_amount, min(claim_amount_gbp) AS min_amount, max(claim_amount_gbp) AS max_amount,
+  stddev(claim_amount_gbp) AS stddev_amount, count(*) FILTER (is_high_risk) AS fraud_detected_count,
+  coalesce(sum(claim_amount_gbp) FILTER (is_high_risk), 0) AS fraud_detected_amount, avg(adjusted_fraud_score) AS avg_fraud_score,
+  count(*) FILTER (requires_manual_review) AS manual_review_count, count(*) FILTER (processing_status = 'AUTO_APPROVED') AS auto_approved_count,
+  count(*) FILTER (processing_status = 'REJECTED') AS rejected_count, avg(processing_ms) AS processing_time_avg_ms,
+  avg(data_quality_score) AS avg_data_quality, avg(validation_score) AS avg_validation_score FROM judged WHERE {0} GROUP BY ALL"""
+_SUMMARY = ("window_start:t window_end:t claim_type:s total_claims:i total_amount:m average_amount:d min_amount:d max_amount:d stddev_amount:d "
+            "fraud_detected_count:i fraud_detected_amount:m avg_fraud_score:d manual_review_count:i auto_approved_count:i rejected_count:i "
+            "processing_time_avg_ms:d avg_data_quality:d avg_validation_score:d")
+register("windowed_summary_append", _SUMMARY, _closed("daily_claims_summary"),
+         f"WITH {_LOADED_CTE} {_SUMMARY_SQL.format(_IN_TIME.format('d1') + ' AND d1 <= last_mark')}")
+register("windowed_summary_update", _SUMMARY, _open("daily_claims_summary"), f"WITH {_LOADED_CTE} {_SUMMARY_SQL.format(_IN_TIME.format('d1'))}")
+register("windowed_fraud_update",
+         "window_start:t total_claims_evaluated:i fraud_alerts_generated:i high_risk_flagged:i sent_to_investigation:i avg_adjusted_fraud_score:d "
+         "max_fraud_score:d total_fraud_prevented_gbp:m top_fraud_patterns:a high_risk_postcodes:a", _open("fraud_metrics"),
+         f"""WITH {_LOADED_CTE} SELECT h0 AS window_start, count(*) AS total_claims_evaluated,
+         count(*) FILTER (adjusted_fraud_score > 5e-1) AS fraud_alerts_generated, count(*) FILTER (is_high_risk) AS high_risk_flagged,
+         count(*) FILTER (processing_status = 'FRAUD_INVESTIGATION') AS sent_to_investigation,
+         avg(adjusted_fraud_score) AS avg_adjusted_fraud_score, max(adjusted_fraud_score) AS max_fraud_score,
+         coalesce(sum(claim_amount_gbp) FILTER (is_high_risk), 0) AS total_fraud_prevented_gbp,
+         coalesce(list_sort(list(DISTINCT fraud_indicators[1]) FILTER (fraud_indicators[1] IS NOT NULL)), []) AS top_fraud_patterns,
+         coalesce(list_sort(list(DISTINCT postcode_district) FILTER (is_high_risk AND postcode_district IS NOT NULL)), []) AS high_risk_postcodes
+         FROM judged WHERE {_IN_TIME.format('h1')} GROUP BY ALL""")
+register("windowed_kpis_append",
+         "window_start:t avg_processing_time_ms:d auto_approval_rate:d manual_review_rate:d fraud_detection_rate:d avg_fraud_confidence:d "
+         "total_claims_processed:i claims_per_hour:d total_claim_value:m", _closed("operational_kpis"),
+         f"""WITH {_LOADED_CTE} SELECT d0 AS window_start, avg(processing_ms) AS avg_processing_time_ms,
+         count(*) FILTER (processing_status = 'AUTO_APPROVED') / count(*) AS auto_approval_rate,
+         count(*) FILTER (requires_manual_review) / count(*) AS manual_review_rate, count(*) FILTER (is_high_risk) / count(*) AS fraud_detection_rate,
+         avg(adjusted_fraud_score) AS avg_fraud_confidence, count(*) AS total_claims_processed, count(*) / 24e0 AS claims_per_hour,
+         sum(claim_amount_gbp) AS total_claim_value FROM judged WHERE {_IN_TIME.format('d1')} AND d1 <= last_mark GROUP BY ALL""")
+register("windowed_lite_update", "window_start:t claim_type:s total_claims:i total_amount:m fraud_detected_count:i auto_approved_count:i",
+         _open("daily_summary_lite"),
+         f"""WITH {_LOADED_CTE} SELECT d0 AS window_start, claim_type, count(*) AS total_claims, sum(claim_amount_gbp) AS total_amount,
+         count(*) FILTER (is_high_risk) AS fraud_detected_count, count(*) FILTER (processing_status = 'AUTO_APPROVED') AS auto_approved_count
+         FROM judged WHERE {_IN_TIME.format('d1')} GROUP BY ALL""")
+_late = _windowed("daily_claims_summary", windows.late_claims_stream)
+register("windowed_late_claims", "window_start:t window_end:t claim_type:s late_claims:i",
+         lambda s, d: windows.late_claims(s, _late(s, d), "daily_claims_summary"),
+         f"""WITH {_LOADED_CTE} SELECT d0 AS window_start, d1 AS window_end, claim_type, count(*) AS late_claims
+         FROM judged WHERE d1 <= mark GROUP BY ALL""")
+
+# ---------------------------------------------------------------------------------- claims and policies both arriving
+
+
+def _signals(s, d):
+    """Thirds of the claims by incident and of the policies by start, so that many policies come after their claims."""
+    claims, terms = inputs.normal_claims(s, d), inputs.policies(s, d)
+    folders = [work_path(s, n) for n in ("claims", "policies")]
+    table, checkpoint = work_path(s, "signals"), work_path(s, "checkpoint")
+    third = lambda c, first: F.least(F.lit(2), F.floor((F.unix_timestamp(c) - first) / (122 * 86400)))
+    for n in range(PARTS):
+        claims.where(third("incident_date", 1704067200) == n).write.mode("append").parquet(folders[0])
+        terms.where(third("start_date", 1688169600) == n).write.mode("append").parquet(folders[1])
+        both = cases.policy_cases(medallion.table_stream(s, folders[0], claims.schema), medallion.table_stream(s, folders[1], terms.schema))
+        sinks.write_stream_table(cases.policy_signals(both, inputs.holders(s, d)), table, checkpoint).awaitTermination()
+    return s.read.parquet(table)
+
+
+register("policy_signals_stream", "claim_id:s timing:d amount:d geographic:d", _signals, f"WITH RECURSIVE {SIGNAL_CTE} SELECT * FROM sig")
+
 # ---------------------------------------------------------------------------------- envelopes
 
 
