@@ -25,7 +25,7 @@ def sample_scan(df: DataFrame, fraction: float = 0.1, seed: int = 42, key: str |
 def pii_scan_columns(df: DataFrame, columns: dict[str, str] | None = None, case_sensitive_names: bool = False) -> DataFrame:
     """Add ``<column>_pii`` (findings) and ``<label>_sensitivity`` for each text column."""
     columns = columns or SCANNED
-    found = df.withColumns({f"{c}_pii": pii.detect_pii(F.col(c), case_sensitive_names) for c in columns.values()})
+    found = pii.with_findings(df, {f"{c}_pii": c for c in columns.values()}, case_sensitive_names)
     return found.withColumns({f"{label}_sensitivity": F.col(f"{c}_pii.sensitivity") for label, c in columns.items()})
 
 

@@ -40,7 +40,7 @@ _FOUND = f"SELECT *, {_sensitivity()} AS sensitivity, {_CATEGORIES} AS categorie
 
 
 def _findings(df, ids, column):
-    return df.select(*ids, privacy.pii.detect_pii(F.col(column)).alias("p")).select(
+    return privacy.pii.with_findings(df.select(*ids, column), {"p": column}).select(
         *ids, "p.sensitivity", "p.categories", "p.pii_count",
         F.transform("p.findings", lambda f: F.concat_ws(":", f["type"], f["n"])).alias("kinds"))
 
