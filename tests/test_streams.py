@@ -1,10 +1,12 @@
 """Streams over several micro-batches, with late, repeated and bad rows in every order."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.config import AnomalyConfig
 from tidemark.operators import anomaly, gold
 from tidemark.plans.catalogue.ingest import scored_bronze
 from tidemark.plans.claims import as_of, silver_frame
@@ -118,3 +120,30 @@ def test_claims_without_date_or_customer_reach_every_stream(spark, monkeypatch):
     whole = anomaly.score_claims(silver, spark.read.parquet(baselines))
     same(medallion.latest_scores(spark, paths["scores"][0]), whole, ["claim_id", "composite_anomaly_score", "customer_anomaly_score",
                                                                      "geographic_anomaly_score", "network_anomaly_score", "time_series_anomaly_score"])
+
+
+def test_history_is_read_by_touched_days(spark):
+    """A claim of 1970 and one of far ahead add their own months to the scan, not the time between."""
+    path, cfg = work_path(spark, "silver"), AnomalyConfig()
+    claims = silver_frame(spark, SF_DIR).where("claim_date < '2024-03-01'")
+    old = claims.limit(1).withColumns({"claim_date": F.lit("1970-06-15 12:00:00").cast("timestamp"), "claim_id": F.lit("old")})
+    far = old.withColumns({"claim_date": F.lit("2090-06-15 12:00:00").cast("timestamp"), "claim_id": F.lit("far")})
+    undated = old.withColumns({"claim_date": F.lit(None).cast("timestamp"), "claim_id": F.lit("undated")})
+    stored = claims.unionByName(old).unionByName(far).unionByName(undated)
+    month = F.coalesce(F.date_format("claim_date", "yyyy-MM"), F.lit("none"))
+    stored.withColumn(medallion.MONTH_COLUMN, month).write.partitionBy(medallion.MONTH_COLUMN).parquet(f"{path}/batch=0")
+
+    def read(*ids):
+        batch = stored.where(F.col("claim_id").isin(*ids))
+        found = medallion.touched_history(batch, medallion.stored_silver(spark, path), cfg)
+        kept = found._jdf.queryExecution().optimizedPlan().toString()
+        months = re.search(rf"{medallion.MONTH_COLUMN}#\d+ (?:IN \(|INSET |= )([^)\n]*)", kept)[1]
+        return {r.claim_id for r in found.select("claim_id").collect()}, set(months.replace(" ", "").split(","))
+
+    rows, months = read("old", "far")
+    assert rows == {"old", "far"}
+    assert months <= {f"{year}-{month:02}" for year in (1970, 2090) for month in range(1, 13)}
+    rows, months = read("undated")
+    assert rows == {"undated"} and months == {"none"}
+    rows, months = read("old", claims.first().claim_id)
+    assert "far" not in rows and len(rows) > 2 and "1970-06" in months and len(months) < 20

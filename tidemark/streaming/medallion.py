@@ -150,6 +150,21 @@ def profile_stream(silver_claims: DataFrame, silver_path: str, path: str, checkp
     return write_stream_batches(silver_claims, write, checkpoint, trigger=trigger, name=name)
 
 
+def _reaches(cfg: AnomalyConfig) -> list[tuple[list[str], int, int]]:
+    """Keys by which claims affect others, and the days before and after a claim that it is seen from."""
+    return [(["claim_type"], 0, 1), (["postcode_district", "claim_type"], 0, cfg.geo_days),
+            (["customer_id"], 0, cfg.customer_days), (["incident_postcode"], cfg.network_days, cfg.network_days)]
+
+
+def _day(at: Column) -> Column:
+    return F.unix_date(F.to_date(at))
+
+
+def _around(days: DataFrame, before: int, after: int, *keys: str) -> DataFrame:
+    """The days from ``before`` a row's `_day` to ``after`` it, and one more for the hours; a null day stays."""
+    return days.select(*keys, F.explode_outer(F.sequence(F.col("_day") - before, F.col("_day") + after + 1)).alias("_day")).distinct()
+
+
 def affected_claims(new: DataFrame, history: DataFrame, cfg: AnomalyConfig) -> DataFrame:
     """New claims and the stored ones whose look-backs and surroundings they change.
 
@@ -158,18 +173,31 @@ def affected_claims(new: DataFrame, history: DataFrame, cfg: AnomalyConfig) -> D
     before the join and a stored claim looks its own day up, so no pairs of claims are formed. Claims without a date
     count in one another's windows.
     """
-    day = lambda c: F.unix_date(F.to_date(c))
-    dated = history.withColumn("_day", day("claim_date"))
+    dated = history.withColumn("_day", _day(F.col("claim_date")))
     found = None
-    for keys, before, after in ((["claim_type"], 0, 1), (["postcode_district", "claim_type"], 0, cfg.geo_days),
-                                (["customer_id"], 0, cfg.customer_days), (["incident_postcode"], cfg.network_days, cfg.network_days)):
-        days = new.select(*keys, day("claim_date").alias("_day")).distinct()
-        reached = days.select(*keys, F.explode_outer(F.sequence(F.col("_day") - before, F.col("_day") + after + 1)).alias("_day")).distinct()
+    for keys, before, after in _reaches(cfg):
+        reached = _around(new.select(*keys, _day(F.col("claim_date")).alias("_day")).distinct(), before, after, *keys)
         around = anomaly.null_safe_join(dated, reached, [*keys, "_day"], "left_semi").select("claim_id")
         found = around if found is None else found.union(around)
     return history.join(found.union(new.select("claim_id")).distinct(), "claim_id", "left_semi")
 
 
+def touched_history(batch: DataFrame, stored: DataFrame, cfg: AnomalyConfig) -> DataFrame:
+    """The stored claims that scoring the claims affected by ``batch`` may look at: of touched days only.
+
+    An affected claim is up to ``customer_days`` after a new one, or ``network_days`` around it, and looks back as far.
+    The days come from the days of the new claims (one row each, however many claims), so a claim of 1970 adds the days
+    that it reaches and not the time since. Their months, at most one row a month, are collected for the scan, which
+    opens no other folder.
+    """
+    reach = max(cfg.customer_days, cfg.geo_days) + cfg.network_days + 1
+    days = _around(batch.select(_day(F.col("claim_date")).alias("_day")).distinct(), reach + cfg.network_days, reach)
+    month = F.coalesce(_month(F.date_from_unix_date("_day")), F.lit("none"))
+    months = [r[0] for r in days.select(month).distinct().collect()]
+    claims = stored.where(F.col(MONTH_COLUMN).isin(months)).withColumn("_day", _day(F.col("claim_date")))
+    return anomaly.null_safe_join(claims, days, ["_day"], "left_semi").drop("_day")
+
+
 def refresh_baselines(spark: SparkSession, silver_path: str, baselines_path: str, as_of: Column | None = None,
                       cfg: AnomalyConfig = AnomalyConfig()) -> None:
     """Make the table of baselines anew; a job of its own, as they change slowly and read ``history_days`` of claims."""
@@ -189,18 +217,10 @@ def anomaly_stream(silver_claims: DataFrame, silver_path: str, baselines_path: s
     affected rows look at, keeps the keys these rows have and scores them against the stored baselines. A claim scored
     again gets a newer version; ``latest_rows`` picks it.
     """
-    reach = max(cfg.customer_days, cfg.geo_days) + cfg.network_days + 2
-
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         with held(batch):
-            span = batch.agg(F.min("claim_date").alias("first"), F.max("claim_date").alias("last")).first()
-            first, last = (F.date_add(F.to_date(F.lit(at).cast("timestamp")), F.lit(days)) for at, days in (
-                (span["first"], -reach - cfg.network_days), (span["last"], reach)))
-            history = (stored_silver(spark, silver_path)
-                       .where((F.col(MONTH_COLUMN).between(_month(first), _month(last)) & F.to_date("claim_date").between(first, last))
-                              | ((F.col(MONTH_COLUMN) == "none") & F.col("claim_date").isNull()))
-                       .select(*anomaly.INPUT_COLUMNS))
+            history = touched_history(batch, stored_silver(spark, silver_path), cfg).select(*anomaly.INPUT_COLUMNS)
             rows = affected_claims(batch.select(*anomaly.INPUT_COLUMNS), history, cfg)
             stamp = detected_at if detected_at is not None else F.current_timestamp()
             scored = anomaly.score_claims(rows, spark.read.parquet(baselines_path), cfg, facts=history, restrict=True)
