@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark import refdata
+from tidemark.functions import distincts
 from tidemark.operators import anomaly, bronze, gold, silver
 from tidemark.operators import customers as x
 from tidemark.plans.catalogue.common import register, src, ts, values_sql
 from tidemark.plans.claims import anomaly_frame, as_of, scored_bronze, silver_frame, stored_silver
 from tidemark.plans import inputs
+from tidemark.session import cut
 
 AS_OF = f"TIMESTAMP '{inputs.CLAIMS_AS_OF}'"
 
@@ -588,3 +590,28 @@ register("detection_metrics",
          count(DISTINCT claim_id) FILTER (anomaly_severity = 'CRITICAL') AS critical_anomalies,
          count(DISTINCT claim_id) FILTER (anomaly_severity = 'HIGH') AS high_anomalies,
          count(*) FILTER (anomaly_severity <> 'NONE') / count(*) * 100 AS detection_rate FROM a7""")
+
+# ---------------------------------------------------------------------------------- distinct customers over periods
+_DAY_END_S = 1717200000  # 2024-06-01
+
+
+def _customer_sets(s, d):
+    """Hourly sets of the customers by region and type, in two loads with one dictionary."""
+    claims = silver_frame(s, d).select("customer_id", "claim_date", "region", "claim_type", "claim_id")
+    loads = [claims.where(F.pmod(F.xxhash64("claim_id"), F.lit(2)) == n) for n in (0, 1)]
+    keys = {"region": F.col("region"), "claim_type": F.col("claim_type")}
+    held = cut(distincts.coded(loads[0].select(F.col("customer_id").alias("id"))))
+    held = cut(held.union(distincts.coded(loads[1].select(F.col("customer_id").alias("id")), held)))
+    first, second = (distincts.hourly_sets(load, F.col("claim_date"), "customer_id", held, keys) for load in loads)
+    return cut(first.union(second))
+
+
+register("distinct_customers_24h", "region:s claim_type:s distinct_ids:i",
+         lambda s, d: distincts.distinct_between(_customer_sets(s, d), _DAY_END_S - 86400, _DAY_END_S, "region", "claim_type"),
+         gold_sql(f"""SELECT region, claim_type, count(DISTINCT customer_id) AS distinct_ids FROM silver
+         WHERE epoch(claim_date) >= {_DAY_END_S - 86400} AND epoch(claim_date) < {_DAY_END_S} GROUP BY ALL"""))
+register("distinct_customers_30d", "period_end:D claim_type:s distinct_ids:i",
+         lambda s, d: distincts.moving_distinct(_customer_sets(s, d), 30, "claim_type"),
+         gold_sql("""SELECT e.day AS period_end, e.claim_type, count(DISTINCT customer_id) AS distinct_ids
+         FROM (SELECT DISTINCT CAST(claim_date AS DATE) AS day, claim_type FROM silver) e JOIN silver c
+           ON c.claim_type = e.claim_type AND CAST(c.claim_date AS DATE) BETWEEN e.day - 29 AND e.day GROUP BY ALL"""))
