@@ -22,8 +22,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-#: Distinct words a worker remembers; beyond that, only those of the latest texts stay.
-REMEMBERED = 400_000
+#: Distinct words a worker remembers (some 30 MB); beyond that, only those of the latest texts stay.
+REMEMBERED = 100_000
 #: Characters of texts whose words are looked up together.
 TEXT_CHARS = 4 << 20
 #: Words of up to so many bytes share a table of trees, of so many rows.

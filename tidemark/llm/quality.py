@@ -90,7 +90,7 @@ def _lines(texts: list[str | None]) -> np.ndarray:
 
 def statistics(text: pa.Array) -> list[pa.Array]:
     """The base statistics of a text column, as in `MEASURED`."""
-    found: list[list[np.ndarray]] = [[], [], [], []]
+    found: list[list[np.ndarray]] = [[], [], [], [], []]
     for part in textbytes.slices(text):
         starts, ends, first = part.words()
         words = textbytes.word_hashes(part.data, starts, ends)
@@ -98,8 +98,9 @@ def statistics(text: pa.Array) -> list[pa.Array]:
         found[1].append(_sums(_LEAD[part.data] & ~textbytes.SPACE[part.data], part.offsets))
         found[2].append(_sums(_SYMBOL[part.data], part.offsets))
         found[3].append(_repeated(words, first))
-    n_words, chars, symbols, repeated = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in found)
-    lines, same = _lines(text.to_pylist()).T
+        found[4].append(_lines(text.slice(part.first, part.n).to_pylist()))
+    n_words, chars, symbols, repeated = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in found[:4])
+    lines, same = np.concatenate(found[4]).T if found[4] else np.zeros((2, 0), np.int64)
     return [pa.array(x.astype(np.int64)) for x in (n_words, chars, symbols, same, repeated, lines)]
 
 
