@@ -69,12 +69,10 @@ def highest_level(counts: Column) -> Column:
 def finding_struct(counts: Column) -> Column:
     """Struct of findings, sensitivity, categories and pii_count, all over every match.
 
-    ``findings`` has one entry for each pattern that matched, with the number of its matches. Plain conditions and no
-    lambdas, which would leave the generated code.
+    ``findings`` has one entry for each pattern that matched, with the number of its matches.
     """
     def where_found(make):
-        each = [(counts[i], make(counts[i], *names)) for i, names in enumerate(refdata.PII_PATTERNS)]
-        return F.concat(*[F.when(n > 0, F.array(entry)).otherwise(F.slice(F.array(entry), 1, 0)) for n, entry in each])
+        return F.array_compact(F.array(*[F.when(counts[i] > 0, make(counts[i], *names)) for i, names in enumerate(refdata.PII_PATTERNS)]))
 
     found = where_found(lambda n, kind, _, sensitivity, category: F.struct(
         F.lit(kind).alias("type"), F.lit(category).alias("category"), F.lit(sensitivity).alias("sensitivity"), n.alias("n")))
@@ -94,7 +92,7 @@ def detect_pii(text: Column, case_sensitive_names: bool = False) -> Column:
 def with_findings(df: DataFrame, texts: dict[str, str], case_sensitive_names: bool = False) -> DataFrame:
     """Add a struct of findings under each name of ``texts`` for its text column.
 
-    Facts, counts and findings are made one after the other, so that each pattern runs once and all of it is generated code.
+    Facts, counts and findings are made one after the other, so that each pattern runs once and in generated code.
     """
     kept = df.columns
     df = df.withColumns({f"_facts_{out}": _facts(F.col(c)) for out, c in texts.items()})

@@ -8,10 +8,11 @@ from tidemark import refdata
 from tidemark.functions import masking
 from tidemark.operators import audit, monitoring, privacy, retention
 from tidemark.plans import inputs
-from tidemark.plans.catalogue.common import register, src, values_sql
+from tidemark.plans.catalogue.common import register, register_twin, src, values_sql
 from tidemark.plans.catalogue.medallion import PERSONAL_CTE, personal_derived
 from tidemark.plans.claims import as_of
 from tidemark.session import work_path
+from tidemark.sources import keyed
 
 # ---------------------------------------------------------------------------------- detection
 _LEVEL = {"NONE": 0, "LOW": 1, "MEDIUM": 2, "HIGH": 3}
@@ -305,6 +306,30 @@ register("export_customer_data",
          f"WITH {CLASSIFIED_CTE}, asked AS ({src('requests')}) SELECT * FROM classified WHERE customer_id IN (SELECT customer_id FROM asked)")
 
 
+def _looked_up(s, table, asked):
+    """The rows of the asked customers out of a table that is clustered by customer."""
+    path = work_path(s, "by-customer")
+    keyed.write_keyed(table, path, "customer_id", ["claim_id"])
+    return keyed.rows_of_keys(s.read.parquet(path), "customer_id", asked)
+
+
+def _erasure_keyed(part):
+    def run(s, d):
+        asked = inputs.derived(s, d, "requests")
+        return retention.erasure(_looked_up(s, personal_derived(s, d), asked), asked, as_of())[part]
+    return run
+
+
+def _export_keyed(s, d):
+    asked = inputs.derived(s, d, "requests")
+    return retention.export_customer_data(_looked_up(s, with_levels(s, d), asked), asked)
+
+
+register_twin("erasure_keyed", "erasure", _erasure_keyed(0))
+register_twin("erasure_log_keyed", "erasure_log", _erasure_keyed(1))
+register_twin("export_keyed", "export_customer_data", _export_keyed)
+
+
 def _export_log(s, d):
     path = work_path(s, "export")
     retention.write_export(retention.export_customer_data(with_levels(s, d), inputs.derived(s, d, "requests")), path)
