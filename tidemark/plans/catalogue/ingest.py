@@ -10,16 +10,16 @@ import os
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import anomaly, bronze, fraud
+from tidemark.operators import anomaly, bronze, fraud, scenarios
 from tidemark.plans import inputs
 from tidemark.plans.catalogue.common import register, register_twin, src, ts
 from tidemark.plans.catalogue.medallion import SILVER_CTE
-from tidemark.plans.catalogue.risk import CASE_CTE, SIGNAL_CTE, _TRACK_SQL
+from tidemark.plans.catalogue.risk import CASE_CTE, SIGNAL_CTE, _TRACK_SQL, case_frame, _ring_members
 from tidemark.plans.claims import as_of, scored_bronze, silver_frame
 from tidemark.schemas import SILVER_CLAIM
-from tidemark.session import work_path
+from tidemark.session import cut, work_path
 from tidemark.sources import catalog, events, sinks
-from tidemark.streaming import cases, medallion, tracking, windows
+from tidemark.streaming import cases, medallion, rings, tracking, windows
 
 _LINES = src("event_lines")
 
@@ -312,6 +312,19 @@ def _signals(s, d):
 
 register("policy_signals_stream", "claim_id:s timing:d amount:d geographic:d", _signals, f"WITH RECURSIVE {SIGNAL_CTE} SELECT * FROM sig")
 
+
+
+def _growing_rings(s, d):
+    """The links of rings in three loads by a hash, so that components of one load are joined by the next."""
+    edges = cut(scenarios.ring_edges(_ring_members(case_frame(s, d))))
+    folder, table, checkpoint = (work_path(s, n) for n in ("edges", "rings", "checkpoint"))
+    arriving(edges, F.pmod(F.xxhash64("src", "dst"), F.lit(PARTS)), folder, lambda: rings.component_stream(
+        medallion.table_stream(s, folder, edges.schema), table, checkpoint).awaitTermination())
+    return rings.components(s, table)
+
+
+register_twin("ring_components_stream", "ring_components", _growing_rings)
+
 # ---------------------------------------------------------------------------------- envelopes
 
 
