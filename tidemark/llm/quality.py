@@ -232,10 +232,21 @@ def quality_report(docs: DataFrame) -> DataFrame:
                          F.col("_failed").alias("base_failed"), F.col("_kept").alias("kept"), F.col("_d").alias("distance"))
 
 
+def _triple(lang: str = "lang", source: str = "source", text: str = "text") -> Column:
+    """A 128-bit key of language, source and text; a null text is an empty one, other nulls are values of their own."""
+    part = lambda c: F.when(F.col(c).isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), F.col(c)))
+    return F.md5(F.concat_ws("\x00", part(lang), part(source), F.coalesce(F.col(text), F.lit(""))).cast("binary"))
+
+
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` that pass, with their own columns."""
-    rows = stored(with_statistics(docs.select("lang", "source", "text"), keep_text=False), "quality-statistics")
-    found = estimates(passing(rows))
+    """The rows of `docs` that pass, with their own columns.
+
+    A verdict depends on language, source and text alone. So only these go through Python, once and into statistics; the
+    keys that pass are stored and the rows look theirs up, and equal rows share one key.
+    """
+    keyed = docs.select("lang", "source", "text", _triple().alias("_q_key"))
+    rows = stored(with_statistics(keyed, keep_text=False), "quality-statistics")
+    passed = stored(verdicts(rows, estimates(passing(rows))).where("_kept").select("_q_key").distinct(), "quality-passed")
     used = ("lang", "source", "text")
-    rows = with_statistics(boxed(docs, *used), keep_text=True)
-    return unboxed(verdicts(rows, found).where("_kept"), docs.columns, *used)
+    marked = boxed(docs, *used).withColumn("_q_key", _triple())
+    return unboxed(marked.join(passed, "_q_key", "left_semi"), docs.columns, *used)
