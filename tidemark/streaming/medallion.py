@@ -17,6 +17,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tidemark.config import AnomalyConfig
 from tidemark.operators import anomaly, bronze, gold, silver
 from tidemark.schemas import SILVER_CLAIM
+from tidemark.session import cut
 from tidemark.sources.sinks import write_batch_once, write_stream_batches
 
 MONTH_COLUMN = "claim_month_part"
@@ -220,7 +221,7 @@ def anomaly_stream(silver_claims: DataFrame, silver_path: str, baselines_path: s
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         with held(batch):
-            history = touched_history(batch, stored_silver(spark, silver_path), cfg).select(*anomaly.INPUT_COLUMNS)
+            history = cut(touched_history(batch, stored_silver(spark, silver_path), cfg).select(*anomaly.INPUT_COLUMNS))
             rows = affected_claims(batch.select(*anomaly.INPUT_COLUMNS), history, cfg)
             stamp = detected_at if detected_at is not None else F.current_timestamp()
             scored = anomaly.score_claims(rows, spark.read.parquet(baselines_path), cfg, facts=history, restrict=True)
