@@ -79,3 +79,59 @@ def test_all_held_out_and_empty(spark, no_docs):
     rows = maxent_lm.score_report(spark.createDataFrame([(i, "a b") for i in ids], "doc_id bigint, text string")).collect()
     assert all(r.n_known == 0 and r.train_tokens == 0 and r.base_score == 0 and math.isfinite(r.score) for r in rows)
     assert maxent_lm.score_report(no_docs).collect() == []
+
+
+def numbered(counts):
+    """The figures of a vocabulary, given the number of tokens of each class and a mass for each."""
+    sizes = np.array(counts + [0] * (maxent_lm.OWN_CLASSES + maxent_lm.BANDS - len(counts)), np.int64)
+    sizes[-1] += 1
+    return maxent_lm.Vocabulary(1000, int(sizes.sum()) - 1, sizes * 3.0, np.concatenate([[0], np.cumsum(sizes)]))
+
+
+@pytest.mark.parametrize("counts", [[], [1], [1] * 5 + [0, 40], [1] * 96 + [300, 17, 0, 4097]])
+def test_probabilities_over_the_whole_vocabulary_sum_to_one_in_any_context(counts):
+    """Also inside a class the context counts, and nothing is left over."""
+    figures = numbered(counts)
+    n = int(figures.first[-1])
+    ways = maxent_lm.Steps(figures)
+    steps = list(ways.of(np.arange(n)))
+    weights = np.random.default_rng(0).normal(size=(maxent_lm.BUCKETS, maxent_lm.CLASSES)).astype(np.float32)
+    seen = []
+    for context in (5, 6):
+        found = np.repeat(maxent_lm.features(np.array([context, 9], np.uint64), np.array([0]))[1:], n, axis=0)
+        logs = np.zeros(n)
+        for at, buckets, branch, prior in maxent_lm.examples(steps, n, np.arange(n), found):
+            logs[at] += maxent_lm.log_softmax(weights, ways.priors[prior], buckets, branch)
+        assert np.exp(logs).sum() == pytest.approx(1, abs=1e-3)
+        seen.append(logs)
+    if max(counts, default=0) > 1:
+        inside = slice(int(figures.first[counts.index(max(counts))]), None)
+        ratio = (seen[0] - seen[1])[inside][:max(counts)]
+        assert np.ptp(ratio) > 0.1  # tokens of one class differ by context
+
+
+def test_update_agrees_with_a_plain_one():
+    rng = np.random.default_rng(1)
+    weights = rng.normal(size=(maxent_lm.BUCKETS, maxent_lm.CLASSES)).astype(np.float32)
+    buckets, classes = rng.integers(0, 40, (300, 1)), rng.integers(0, maxent_lm.CLASSES, 300)
+    prior = np.zeros(maxent_lm.CLASSES, np.float32)
+    slopes = np.exp(weights[buckets[:, 0]])
+    slopes /= slopes.sum(axis=1, keepdims=True)
+    slopes[np.arange(300), classes] -= 1
+    want = weights.copy()
+    for b in range(40):
+        own = buckets[:, 0] == b
+        change = slopes[own].sum(axis=0) / max(1, own.sum()) ** 0.5
+        want[b] -= maxent_lm.RATE * change / (0.1 + (change ** 2).sum()) ** 0.5
+    touched = np.zeros(maxent_lm.BUCKETS, np.float32)
+    maxent_lm.updated(weights, np.full(maxent_lm.BUCKETS, 0.1, np.float32), touched, prior, buckets, classes)
+    assert np.allclose(weights, want, atol=1e-4) and touched.sum() == 300
+
+
+def test_context_tells_tokens_of_one_class_apart(spark):
+    """400 pairs of equally frequent words: the second is certain after the first, yet all share one class."""
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"x{p} y{p}" for p in (rng.randrange(400) for _ in range(150)))) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
+    found = [r for r in maxent_lm.score_report(docs).collect() if r.held_out]
+    assert sum(r.score for r in found) > 0.8 * sum(r.base_score for r in found)

@@ -1,23 +1,27 @@
 """Language-model scores: a hashed maximum-entropy model with a class-factored softmax.
 
-log P(token | context) = log P(class | context) + log P(token | class). The most frequent tokens are classes of their
-own; the others share classes by frequency. P(class | context) is a softmax over hashed features of the tokens before:
-the last one, the one before it (a skip), both together, and the third last (a skip). P(token | class) is the token's
-smoothed share of its class; one unknown token belongs to the class of the rarest, so probabilities sum to one.
+log P(token | context) = log P(class | context) + log P(token | class, context). The most frequent tokens are classes of
+their own; the others share classes by bands of their count, whose width follows the largest count. Every factor is a
+softmax of at most 16 branches over hashed features of the tokens before: the last one, the one before it (a skip), both
+together, and the third last (a skip). A class is chosen by two of them, its group of about equal mass and its place in
+the group; a token inside its class by the digits of its number there, each given the digits before and the context, on
+the last token and the last two. One unknown token belongs to the class of the rarest, so the probabilities of all tokens
+sum to one.
 
 The texts are tokenised once into chunks of documents (a chunk's distinct tokens and the sequence of their numbers).
-Token counts come from the chunks' own counts, each distinct token once per chunk. Training passes over all chunks of the
-learning part in rounds: each task starts from the model so far, makes minibatch updates over its chunks, and hands on its
-changes, which are averaged feature by feature, weighted by how often each task saw the feature.
+Token counts come from the chunks' own counts, each distinct token once per chunk. Training is one pass over the learning
+part, in three rounds of a third of the chunks each: a task starts from the model so far, makes minibatch updates over its
+chunks, and hands on its changes, which are averaged row by row, weighted by how often each task saw the row.
 
 * A null or empty text is one end token. A null doc_id counts as learning, not held out.
 * Repeated rows count as often as they occur. Further columns are ignored. An empty table gives an empty result.
-* If nothing is learned from (all held out), every token is unknown and the model is the uniform one over classes.
+* If nothing is learned from (all held out), the unknown token is the only one, and its probability is one.
 """
 
 from __future__ import annotations
 
 import math
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -27,37 +31,47 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.llm import textbytes
 from tidemark.llm.store import remove, stored, written
 
 FOLDS, HELD = 7, 2
 #: Tokens of a chunk, about; a longer document makes a larger chunk.
-CHUNK_TOKENS = 1_500_000
-OWN_CLASSES = 48
-CLASSES = 64
-BUCKETS = 1 << 14
+CHUNK_TOKENS = 500_000
+#: Classes: tokens of their own, and bands of counts for all others.
+OWN_CLASSES, BANDS = 96, 32
+#: Branches of every softmax.
+CLASSES = 16
+BUCKETS = 1 << 16
 ROUNDS = 3
-BATCH = 8192
+BATCH = 16384
 #: Tokens whose features are made at a time.
 SLICE = 1 << 16
-RATE = 0.25
+RATE = 0.4
 PARTS = 16
 FEATURES = 4
+#: Features of the steps that choose a class, and of those inside it.
+OF_CLASS, INSIDE = np.array([0, 1, 2, 3]), np.array([0, 2])
+#: Parts of a class in which its tokens are numbered.
+NUMBERED_PARTS = 64
 END, START = np.uint64(0x656E64), np.uint64(0x7374617274)
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
-_SHIFT = np.uint64(64 - 14)
+_SHIFT = np.uint64(64 - 16)
 
 
 # ---- chunks
 
 
 def _index_bytes(index: np.ndarray) -> bytes:
-    return (b"\x02" + index.astype("<u2").tobytes()) if index.max(initial=0) <= 0xFFFF else (b"\x04" + index.astype("<u4").tobytes())
+    """The sequence compressed, after its type and length."""
+    kind = "<u2" if index.max(initial=0) <= 0xFFFF else "<u4"
+    return struct.pack("<BQ", int(kind[-1]), len(index)) + pa.compress(index.astype(kind).tobytes(), "zstd", asbytes=True)
 
 
 def _indices(content: bytes) -> np.ndarray:
-    return np.frombuffer(content, "<u2" if content[0] == 2 else "<u4", offset=1).astype(np.int64)
+    width, n = struct.unpack_from("<BQ", content)
+    return np.frombuffer(pa.decompress(memoryview(content)[9:], width * n, "zstd", asbytes=True), f"<u{width}").astype(np.int64)
 
 
 def is_held(doc_id: int | None) -> bool:
@@ -88,7 +102,13 @@ def chunks(docs: DataFrame) -> DataFrame:
         def out() -> pa.RecordBatch:
             held = np.array([is_held(i) for i in ids])
             lengths = np.concatenate([p[1] for p in parts])
-            tokens, index = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+            coded = pa.array(np.concatenate([p[0] for p in parts])).dictionary_encode()
+            tokens, index = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+            # The most frequent ones first, whose small numbers compress well.
+            order = np.argsort(-np.bincount(index), kind="stable")
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            tokens, index = tokens[order], place[index]
             learned = np.bincount(index[np.repeat(~held, lengths)], minlength=len(tokens))
             values = [(partition << 32) + number, ids, lengths, held, tokens.view(np.int64), learned, _index_bytes(index)]
             kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
@@ -115,49 +135,128 @@ def chunks(docs: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """Figures over all learning tokens: total, distinct, and per class the smoothed total and the number of tokens."""
+    """Figures over all learning tokens: total, distinct, and per class its smoothed total and the first number of its tokens.
+
+    Tokens are numbered class by class; the unknown one is the last of the last class.
+    """
 
     tokens: int
     distinct: int
     mass: np.ndarray
-    seen: np.ndarray
-
-
-def classed(counted: DataFrame) -> DataFrame:
-    """(token, c, class): the most frequent tokens singly, the rest by power-of-two steps of their count."""
-    top = counted.where("c > 0").orderBy(F.desc("c"), "token").limit(OWN_CLASSES)
-    own = {r["token"]: i for i, r in enumerate(top.collect())}
-    last = CLASSES - OWN_CLASSES - 1
-    step = F.least(F.lit(last), F.floor(F.log2(F.greatest("c", F.lit(1)).cast("double"))).cast("int"))
-    shared = F.lit(OWN_CLASSES + last) - step
-    if not own:
-        return counted.withColumn("class", shared)
-    named = F.create_map(*(F.lit(x) for pair in own.items() for x in pair))
-    return counted.withColumn("class", F.coalesce(F.try_element_at(named, "token"), shared))
-
-
-def vocabulary(words: DataFrame) -> Vocabulary:
-    rows = words.groupBy("class").agg(F.sum("c").alias("n"), F.sum((F.col("c") > 0).cast("long")).alias("v")).collect()
-    mass, seen = np.zeros(CLASSES), np.zeros(CLASSES)
-    for r in rows:
-        mass[r["class"]], seen[r["class"]] = r["n"] + r["v"], r["n"]
+    first: np.ndarray
+
+    def groups(self) -> list[list[int]]:
+        """The classes that have tokens, in order, by at most 16 groups of at most 16, of about equal mass."""
+        classes = np.flatnonzero(np.diff(self.first)).tolist()
+        out: list[list[int]] = [[]]
+        left = float(self.mass[classes].sum())
+        held = 0.0
+        for at, c in enumerate(classes):
+            further = CLASSES - len(out)  # groups that may still be opened
+            may = len(classes) - at <= CLASSES * further
+            full = held + self.mass[c] / 2 > left / (further + 1) or len(classes) - at <= further
+            if out[-1] and (len(out[-1]) == CLASSES or may and full):
+                out.append([])
+                left, held = left - held, 0.0
+            out[-1].append(c)
+            held += float(self.mass[c])
+        return out
+
+
+def vocabulary(counted: DataFrame) -> tuple[DataFrame, Vocabulary]:
+    """(token, c, member): the number of each token, and the figures of the classes."""
+    rows = counted.where("c > 0").orderBy(F.desc("c"), "token").limit(OWN_CLASSES + 1).collect()
+    own = {r["token"]: i for i, r in enumerate(rows[:OWN_CLASSES])}
+    most = rows[-1]["c"] if len(rows) > OWN_CLASSES else 1
+    band = F.least(F.lit(BANDS - 1), F.floor(F.log(F.greatest("c", F.lit(1)).cast("double")) * (BANDS / math.log(most + 1))).cast("int"))
+    shared = F.lit(OWN_CLASSES + BANDS - 1) - band
+    named = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for pair in own.items() for x in pair)), "token"), shared) if own else shared
+    placed = counted.select("token", "c", named.alias("class"), F.pmod(F.xxhash64("token"), F.lit(NUMBERED_PARTS)).alias("part"))
+    found = placed.where("c > 0").groupBy("class", "part").agg(F.count("*").alias("v"), F.sum("c").alias("n")).collect()
+    sizes, mass = np.zeros((OWN_CLASSES + BANDS, NUMBERED_PARTS), np.int64), np.zeros(OWN_CLASSES + BANDS)
+    for r in found:
+        sizes[r["class"], r["part"]] = r["v"]
+        mass[r["class"]] += r["n"] + r["v"]
     mass[-1] += 1  # the unknown token
-    return Vocabulary(sum(r["n"] for r in rows), sum(r["v"] for r in rows), mass, seen)
+    distinct = int(sizes.sum())
+    begin = (np.cumsum(sizes) - sizes.ravel()).reshape(sizes.shape)
+    starts = counted.sparkSession.createDataFrame(
+        [(r["class"], r["part"], int(begin[r["class"], r["part"]])) for r in found], "class int, part bigint, begin bigint")
+    within = F.row_number().over(Window.partitionBy("class", "part", F.col("c") > 0).orderBy("token")) - 1
+    words = placed.withColumn("at", within).join(F.broadcast(starts), ["class", "part"], "left").select(
+        "token", "c", F.when(F.col("c") > 0, F.col("begin") + F.col("at")).otherwise(F.lit(distinct)).alias("member"))
+    first = np.append(begin[:, 0], distinct + 1)
+    return words, Vocabulary(sum(r["n"] for r in found), distinct, mass, first)
 
 
 def encoded(parts: DataFrame, words: DataFrame) -> DataFrame:
-    """Chunks with class and count of each of their distinct tokens, in the order of `tokens`."""
+    """Chunks with number and count of each of their distinct tokens, in the order of `tokens`."""
     pairs = parts.select("chunk", F.posexplode("tokens").alias("at", "token"))
-    known = pairs.join(words, "token").groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("at", "class", "c"))).alias("x"))
-    looked = known.select("chunk", F.transform("x", lambda x: x["class"].cast("tinyint")).alias("classes"), F.transform("x", lambda x: x["c"]).alias("c"))
+    known = pairs.join(words, "token").groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("at", "member", "c"))).alias("x"))
+    looked = known.select("chunk", F.transform("x", lambda x: x["member"]).alias("members"), F.transform("x", lambda x: x["c"]).alias("c"))
     return parts.drop("counts").join(looked, "chunk")
 
 
+# ---- steps to a token
+
+
+@dataclass(frozen=True)
+class Step:
+    """One softmax on the way to tokens: which of the given ones take it, its node, their branch, and the row of its prior."""
+
+    taken: np.ndarray
+    node: np.ndarray
+    branch: np.ndarray
+    prior: np.ndarray
+    features: np.ndarray
+
+
+class Steps:
+    """The softmaxes that lead to a token, by its number."""
+
+    def __init__(self, figures: Vocabulary):
+        self.figures, groups = figures, figures.groups()
+        n = len(figures.mass)
+        self.group, self.place, self.single = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, bool)
+        #: Log priors: of the groups, of the classes of each group, and of as many even branches as there are.
+        self.priors = np.full((1 + 2 * CLASSES + 1, CLASSES), -np.inf)
+        of_class = figures.mass
+        for g, classes in enumerate(groups):
+            self.group[classes], self.place[classes], self.single[classes] = g, np.arange(len(classes)), len(classes) == 1
+            self.priors[0, g] = np.log(of_class[classes].sum() / of_class.sum())
+            self.priors[1 + g, :len(classes)] = np.log(of_class[classes] / of_class[classes].sum())
+        for even in range(1, CLASSES + 1):
+            self.priors[1 + CLASSES + even, :even] = -math.log(even)
+        self.priors = self.priors.astype(np.float32)
+        self.several = len(groups) > 1
+
+    def of(self, members: np.ndarray) -> Iterator[Step]:
+        of = np.searchsorted(self.figures.first, members, "right") - 1
+        size, number = np.diff(self.figures.first)[of], members - self.figures.first[of]
+        node = lambda *keys: textbytes.mixed(sum((k.astype(np.uint64) * f for k, f in zip(keys, _FACTORS, strict=False)), np.uint64(1)))
+        if self.several:
+            zero = np.zeros(len(members), np.int64)
+            yield Step(np.arange(len(members)), node(zero), self.group[of], zero, OF_CLASS)
+        at = np.flatnonzero(~self.single[of])
+        group = self.group[of[at]]
+        yield Step(at, node(group + 1), self.place[of[at]], group + 1, OF_CLASS)
+        width = 1
+        while True:
+            before = number % width
+            left = (size - before + width - 1) // width  # tokens with the same digits so far
+            at = np.flatnonzero(left > 1)
+            if not len(at):
+                return
+            yield Step(at, node(of[at] + CLASSES + 1, np.full(len(at), width), before[at]), number[at] // width % CLASSES,
+                       1 + CLASSES + np.minimum(left[at], CLASSES), INSIDE)
+            width *= CLASSES
+
+
 # ---- model
 
 
 def features(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Hashed feature buckets (tokens x FEATURES) from the tokens before each position of its document."""
+    """Hashed features (tokens x FEATURES) from the tokens before each position of its document."""
     before = []
     for distance in (1, 2, 3):
         moved = np.full(len(tokens), START)
@@ -168,53 +267,55 @@ def features(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
         before.append(moved)
     one, two, three = before
     keys = [one * _FACTORS[0], two * _FACTORS[1], (one * _FACTORS[0] ^ (two * _FACTORS[2])) * _FACTORS[3], three * _FACTORS[2] + _FACTORS[0]]
-    return np.stack([(textbytes.mixed(k) >> _SHIFT).astype(np.int64) for k in keys], axis=1)
+    return np.stack([textbytes.mixed(k) for k in keys], axis=1)
 
 
 def _starts(lengths: np.ndarray) -> np.ndarray:
     return np.cumsum(lengths) - lengths
 
 
-def class_logits(weights: np.ndarray, prior: np.ndarray, buckets: np.ndarray) -> np.ndarray:
-    """Logits of every class for a batch of feature buckets, the largest of each row being 0."""
-    logits = weights[buckets[:, 0]]
-    for f in range(1, FEATURES):
-        logits += weights[buckets[:, f]]
+def shares(weights: np.ndarray, prior: np.ndarray, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unscaled probabilities of every branch for a batch of feature buckets, and their sums."""
+    logits = weights.take(buckets[:, 0], axis=0)
+    for f in range(1, buckets.shape[1]):
+        logits += weights.take(buckets[:, f], axis=0)
+    np.clip(logits, -30, 30, out=logits)  # before the prior, whose largest is at least -log 16
     logits += prior
-    logits -= logits.max(axis=1, keepdims=True)
-    return logits
+    np.exp(logits, out=logits)
+    return logits, logits @ np.ones(logits.shape[1], np.float32)
 
 
 def log_softmax(weights: np.ndarray, prior: np.ndarray, buckets: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """Log probability of the given class of each row."""
-    logits = class_logits(weights, prior, buckets)
-    own = logits[np.arange(len(classes)), classes]
-    return own - np.log(np.exp(logits, out=logits).sum(axis=1))
+    """Log probability of the given branch of each row."""
+    found, total = shares(weights, prior, buckets)
+    return np.log(np.maximum(found[np.arange(len(classes)), classes], np.float32(1e-37)) / total)
 
 
 def updated(weights: np.ndarray, squares: np.ndarray, touched: np.ndarray, prior: np.ndarray, buckets: np.ndarray, classes: np.ndarray) -> None:
-    """One minibatch step in place, each weight at its own rate."""
-    slope = class_logits(weights, prior, buckets)
-    np.exp(slope, out=slope)
-    slope /= slope.sum(axis=1, keepdims=True)
+    """One minibatch step in place, each row of weights at its own rate."""
+    slope, total = shares(weights, prior, buckets)
+    slope /= total[:, None]
     slope[np.arange(len(classes)), classes] -= 1.0
-    for f in range(FEATURES):
-        order = np.argsort(buckets[:, f].astype(np.uint16), kind="stable")  # short integers sort by radix
-        ranked = buckets[order, f]
-        first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-        own = ranked[first]
-        n = np.diff(np.append(first, len(ranked)))
-        change = np.add.reduceat(slope[order], first, axis=0) / np.sqrt(n)[:, None].astype(np.float32)
-        squares[own] += change * change
-        weights[own] -= np.float32(RATE) * change / np.sqrt(squares[own] + np.float32(1e-6))
+    places = np.arange(len(classes), dtype=np.uint64)
+    for f in range(buckets.shape[1]):
+        ranked = np.sort((buckets[:, f].astype(np.uint64) << np.uint64(32)) | places)
+        row = (ranked >> np.uint64(32)).astype(np.int64)
+        last = np.flatnonzero(np.append(row[1:] != row[:-1], True))
+        own, n = row[last], np.diff(last, prepend=-1)
+        # Sums of each bucket's rows, as differences of running totals.
+        running = np.cumsum(slope.take((ranked & np.uint64(0xFFFFFFFF)).astype(np.int64), axis=0), axis=0, dtype=np.float64).take(last, axis=0)
+        running[1:] -= running[:-1].copy()
+        change = (running / np.sqrt(n)[:, None]).astype(np.float32)
+        squares[own] += np.einsum("ij,ij->i", change, change)
+        weights[own] -= change * (np.float32(RATE) / np.sqrt(squares[own]))[:, None]
         touched[own] += n
 
 
 def _chunk_arrays(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Sequence, document lengths, held flags, token hashes, classes and counts of a chunk."""
+    """Sequence, document lengths, held flags, token hashes, numbers and counts of a chunk."""
     as_array = lambda name: batch.column(name)[row].values.to_numpy(zero_copy_only=False)
     return (_indices(batch.column("sequence")[row].as_py()), as_array("lengths").astype(np.int64), as_array("held").astype(bool),
-            as_array("tokens").view(np.uint64), as_array("classes").astype(np.int64), as_array("c"))
+            as_array("tokens").view(np.uint64), as_array("members"), as_array("c"))
 
 
 def _slices(lengths: np.ndarray) -> Iterator[tuple[slice, slice]]:
@@ -227,82 +328,91 @@ def _slices(lengths: np.ndarray) -> Iterator[tuple[slice, slice]]:
         first, begun = last, int(ends[last - 1])
 
 
-def train(rows: DataFrame, figures: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """Weights (BUCKETS x CLASSES, a fixed size) and log prior of the classes."""
+def examples(steps: list[Step], count: int, own: np.ndarray, found: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(places, buckets, branches, prior rows) of each step that some of the tokens `own` take, by batches.
+
+    `steps` are those of a chunk's `count` distinct tokens; `own` names one for each place, and `found` has its features.
+    """
+    for step in steps:
+        row_of = np.full(count, -1, np.int64)
+        row_of[step.taken] = np.arange(len(step.taken))
+        rows = row_of[own]
+        places = np.flatnonzero(rows >= 0)
+        for at in range(0, len(places), BATCH):
+            here = places[at:at + BATCH]
+            row = rows[here]
+            buckets = (((found[here[:, None], step.features] + step.node[row, None]) * _FACTORS[0]) >> _SHIFT).astype(np.int64)
+            yield here, buckets, step.branch[row], step.prior[row]
+
+
+def train(rows: DataFrame, figures: Vocabulary) -> np.ndarray:
+    """Weights (BUCKETS x CLASSES, a fixed size)."""
     spark = rows.sparkSession
-    prior = np.log((figures.mass / figures.mass.sum()).clip(1e-12)).astype(np.float32)
     weights = np.zeros((BUCKETS, CLASSES), np.float32)
     if not figures.tokens:
-        return weights, prior
+        return weights
+    size = BUCKETS // PARTS
     for number in range(ROUNDS):
         model = spark.sparkContext.broadcast(weights)
         own = rows.where(F.pmod(F.xxhash64("chunk"), F.lit(ROUNDS)) == number)
 
         def learn(batches: Iterator[pa.RecordBatch], model=model) -> Iterator[pa.RecordBatch]:
-            local = model.value.copy()
-            squares, touched = np.full_like(local, 0.1), np.zeros(BUCKETS)
+            local, ways = model.value.copy(), Steps(figures)
+            squares, touched = np.full(BUCKETS, 0.1, np.float32), np.zeros(BUCKETS, np.float32)
             for batch in batches:
                 for row in range(batch.num_rows):
-                    sequence, lengths, held, tokens, classes, _ = _chunk_arrays(batch, row)
+                    sequence, lengths, held, tokens, members, _ = _chunk_arrays(batch, row)
+                    steps = list(ways.of(members))
                     for docs, places in _slices(lengths):
                         use = np.repeat(~held[docs], lengths[docs])
                         found = features(tokens[sequence[places]], _starts(lengths[docs]))[use]
-                        right = classes[sequence[places]][use]
-                        for at in range(0, len(right), BATCH):
-                            updated(local, squares, touched, prior, found[at:at + BATCH], right[at:at + BATCH])
+                        for _, buckets, branch, prior in examples(steps, len(members), sequence[places][use], found):
+                            updated(local, squares, touched, ways.priors.take(prior, axis=0), buckets, branch)
             if touched.any():
-                change = (local - model.value) * touched[:, None].astype(np.float32)
-                size = BUCKETS // PARTS
+                change = (local - model.value).astype(np.float16)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(range(PARTS), pa.int32()),
-                    pa.array([np.concatenate([change[p * size:(p + 1) * size], touched[p * size:(p + 1) * size, None].astype(np.float32)], axis=1).tobytes()
-                              for p in range(PARTS)], pa.binary())], names=["part", "change"])
+                    pa.array(range(PARTS), pa.int32()), pa.array([change[p * size:(p + 1) * size].tobytes() for p in range(PARTS)], pa.binary()),
+                    pa.array([touched[p * size:(p + 1) * size].tobytes() for p in range(PARTS)], pa.binary())], names=["part", "change", "touched"])
 
-        def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums: dict[int, np.ndarray] = {}
             for batch in batches:
-                for part, change in zip(batch.column("part"), batch.column("change"), strict=True):
-                    values = np.frombuffer(change.as_buffer(), np.float32)
-                    sums[part.as_py()] = sums[part.as_py()] + values if part.as_py() in sums else values.astype(np.float64)
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v.astype(np.float32).tobytes() for v in sums.values()], pa.binary())],
-                                             names=["part", "change"])
-
-        changes = own.mapInArrow(learn, "part int, change binary")
-        summed = changes.repartition(PARTS, "part").mapInArrow(total, "part int, change binary").collect()
-        for r in summed:
-            table = np.frombuffer(bytes(r["change"]), np.float32).reshape(-1, CLASSES + 1)
-            seen = table[:, -1] > 0
-            rows_of = np.flatnonzero(seen) + r["part"] * (BUCKETS // PARTS)
-            weights[rows_of] += table[seen, :-1] / table[seen, -1:]
+                for part, change, touched in zip(batch.column("part").to_pylist(), batch.column("change"), batch.column("touched"), strict=True):
+                    seen = np.frombuffer(touched.as_buffer(), np.float32).astype(np.float64)[:, None]
+                    moved = np.frombuffer(change.as_buffer(), np.float16).reshape(-1, CLASSES) * seen
+                    sums[part] = sums.get(part, 0) + np.concatenate([moved, seen], axis=1)
+            means = [(v[:, :-1] / np.maximum(v[:, -1:], 1)).astype(np.float32).tobytes() for v in sums.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(means, pa.binary())], names=["part", "change"])
+
+        changes = own.mapInArrow(learn, "part int, change binary, touched binary")
+        for r in changes.repartition(PARTS, "part").mapInArrow(mean, "part int, change binary").collect():
+            weights[r["part"] * size:(r["part"] + 1) * size] += np.frombuffer(bytes(r["change"]), np.float32).reshape(-1, CLASSES)
         model.unpersist()
-    return weights, prior
+    return weights
 
 
-def scored(rows: DataFrame, figures: Vocabulary, weights: np.ndarray, prior: np.ndarray) -> DataFrame:
+def scored(rows: DataFrame, figures: Vocabulary, weights: np.ndarray) -> DataFrame:
     """One row per document with its base score and the model's score (log10)."""
     spark = rows.sparkSession
-    model = spark.sparkContext.broadcast((weights, prior))
+    model = spark.sparkContext.broadcast(weights)
     everything = math.log10(figures.tokens + figures.distinct + 1)
-    class_mass = np.log10(figures.mass.clip(1.0))
     schema = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own_weights, own_prior = model.value
+        own_weights, ways = model.value, Steps(figures)
         for batch in batches:
             for row in range(batch.num_rows):
-                sequence, lengths, held, tokens, classes, counts = _chunk_arrays(batch, row)
-                share = np.log10(counts + 1.0)
-                inside = share - class_mass[classes]
+                sequence, lengths, held, tokens, members, counts = _chunk_arrays(batch, row)
+                share, seen, steps = np.log10(counts + 1.0), (counts > 0).astype(np.int64), list(ways.of(members))
                 base, score, known = np.empty(len(lengths)), np.empty(len(lengths)), np.empty(len(lengths), np.int64)
                 for docs, places in _slices(lengths):
                     own, starts = sequence[places], _starts(lengths[docs])
-                    found, right = features(tokens[own], starts), classes[own]
-                    context = np.empty(len(right))
-                    for at in range(0, len(right), BATCH):
-                        context[at:at + BATCH] = log_softmax(own_weights, own_prior, found[at:at + BATCH], right[at:at + BATCH])
+                    context = np.zeros(len(own))
+                    for at, buckets, branch, prior in examples(steps, len(members), own, features(tokens[own], starts)):
+                        context[at] += log_softmax(own_weights, ways.priors.take(prior, axis=0), buckets, branch)
                     base[docs] = np.add.reduceat(share[own], starts) - lengths[docs] * everything
-                    score[docs] = np.add.reduceat(context, starts) / math.log(10) + np.add.reduceat(inside[own], starts)
-                    known[docs] = np.add.reduceat((counts > 0).astype(np.int64)[own], starts)
+                    score[docs] = np.add.reduceat(context, starts) / math.log(10)
+                    known[docs] = np.add.reduceat(seen[own], starts)
                 n = len(lengths)
                 yield pa.RecordBatch.from_arrays([
                     batch.column("docs")[row].values, pa.array(held), pa.array(lengths), pa.array(known),
@@ -318,9 +428,7 @@ def score_report(docs: DataFrame) -> DataFrame:
     raw = spark.read.parquet(path)
     pairs = raw.select(F.explode(F.arrays_zip("tokens", "counts")).alias("x"))
     counted = stored(pairs.groupBy(F.col("x.tokens").alias("token")).agg(F.sum("x.counts").alias("c")), "token-counts")
-    words = classed(counted)
-    figures = vocabulary(words)
+    words, figures = vocabulary(counted)
     rows = stored(encoded(raw, words), "encoded-chunks")
     remove(spark, path)
-    weights, prior = train(rows, figures)
-    return scored(rows, figures, weights, prior)
+    return scored(rows, figures, train(rows, figures))
