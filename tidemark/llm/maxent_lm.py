@@ -31,14 +31,13 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tidemark.llm import textbytes
 from tidemark.llm.store import remove, stored, written
 
 FOLDS, HELD = 7, 2
 #: Tokens of a chunk, about; a longer document makes a larger chunk.
-CHUNK_TOKENS = 500_000
+CHUNK_TOKENS = 400_000
 #: Classes: tokens of their own, and bands of counts for all others.
 OWN_CLASSES, BANDS = 96, 32
 #: Branches of every softmax.
@@ -53,8 +52,8 @@ PARTS = 16
 FEATURES = 4
 #: Features of the steps that choose a class, and of those inside it.
 OF_CLASS, INSIDE = np.array([0, 1, 2, 3]), np.array([0, 2])
-#: Parts of a class in which its tokens are numbered.
-NUMBERED_PARTS = 64
+#: Entries of the chunks' token lists for each part of the vocabulary, about.
+PART_TOKENS = 4_000_000
 END, START = np.uint64(0x656E64), np.uint64(0x7374617274)
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 _SHIFT = np.uint64(64 - 16)
@@ -63,13 +62,13 @@ _SHIFT = np.uint64(64 - 16)
 # ---- chunks
 
 
-def _index_bytes(index: np.ndarray) -> bytes:
-    """The sequence compressed, after its type and length."""
-    kind = "<u2" if index.max(initial=0) <= 0xFFFF else "<u4"
-    return struct.pack("<BQ", int(kind[-1]), len(index)) + pa.compress(index.astype(kind).tobytes(), "zstd", asbytes=True)
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 in as few bytes as all of them need, compressed, after the width and the length."""
+    kind = next(f"<u{w}" for w in (1, 2, 4, 8) if int(values.max(initial=0)) < 1 << (8 * w))
+    return struct.pack("<BQ", int(kind[-1]), len(values)) + pa.compress(values.astype(kind).tobytes(), "zstd", asbytes=True)
 
 
-def _indices(content: bytes) -> np.ndarray:
+def _unpacked(content: bytes) -> np.ndarray:
     width, n = struct.unpack_from("<BQ", content)
     return np.frombuffer(pa.decompress(memoryview(content)[9:], width * n, "zstd", asbytes=True), f"<u{width}").astype(np.int64)
 
@@ -78,7 +77,7 @@ def is_held(doc_id: int | None) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % FOLDS == HELD
 
 
-_CHUNK = "chunk bigint, docs array<bigint>, lengths array<int>, held array<boolean>, tokens array<bigint>, counts array<bigint>, sequence binary"
+_CHUNK = "chunk bigint, docs array<bigint>, lengths array<int>, held array<boolean>, tokens binary, counts binary, sequence binary"
 
 
 def _token_stream(text: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -91,7 +90,7 @@ def _token_stream(text: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]
 
 
 def chunks(docs: DataFrame) -> DataFrame:
-    """Tokenised documents; `counts` are those of the learning documents of a chunk."""
+    """Tokenised documents; `tokens` are in ascending order, `counts` are those of the learning documents of a chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         partition, number = TaskContext.get().partitionId(), 0
@@ -103,15 +102,14 @@ def chunks(docs: DataFrame) -> DataFrame:
             held = np.array([is_held(i) for i in ids])
             lengths = np.concatenate([p[1] for p in parts])
             coded = pa.array(np.concatenate([p[0] for p in parts])).dictionary_encode()
-            tokens, index = coded.dictionary.to_numpy(), coded.indices.to_numpy()
-            # The most frequent ones first, whose small numbers compress well.
-            order = np.argsort(-np.bincount(index), kind="stable")
+            tokens = coded.dictionary.to_numpy()
+            order = np.argsort(tokens)
             place = np.empty(len(order), np.int64)
             place[order] = np.arange(len(order))
-            tokens, index = tokens[order], place[index]
+            tokens, index = tokens[order], place[coded.indices.to_numpy()]
             learned = np.bincount(index[np.repeat(~held, lengths)], minlength=len(tokens))
-            values = [(partition << 32) + number, ids, lengths, held, tokens.view(np.int64), learned, _index_bytes(index)]
-            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
+            values = [(partition << 32) + number, ids, lengths, held, tokens.tobytes(), _packed(learned), _packed(index)]
+            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.bool_()), pa.binary(), pa.binary(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)],
                                               names=[part.split()[0] for part in _CHUNK.split(", ")])
 
@@ -163,38 +161,163 @@ class Vocabulary:
         return out
 
 
-def vocabulary(counted: DataFrame) -> tuple[DataFrame, Vocabulary]:
-    """(token, c, member): the number of each token, and the figures of the classes."""
-    rows = counted.where("c > 0").orderBy(F.desc("c"), "token").limit(OWN_CLASSES + 1).collect()
-    own = {r["token"]: i for i, r in enumerate(rows[:OWN_CLASSES])}
-    most = rows[-1]["c"] if len(rows) > OWN_CLASSES else 1
-    band = F.least(F.lit(BANDS - 1), F.floor(F.log(F.greatest("c", F.lit(1)).cast("double")) * (BANDS / math.log(most + 1))).cast("int"))
-    shared = F.lit(OWN_CLASSES + BANDS - 1) - band
-    named = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for pair in own.items() for x in pair)), "token"), shared) if own else shared
-    placed = counted.select("token", "c", named.alias("class"), F.pmod(F.xxhash64("token"), F.lit(NUMBERED_PARTS)).alias("part"))
-    found = placed.where("c > 0").groupBy("class", "part").agg(F.count("*").alias("v"), F.sum("c").alias("n")).collect()
-    sizes, mass = np.zeros((OWN_CLASSES + BANDS, NUMBERED_PARTS), np.int64), np.zeros(OWN_CLASSES + BANDS)
-    for r in found:
-        sizes[r["class"], r["part"]] = r["v"]
-        mass[r["class"]] += r["n"] + r["v"]
+def pieces(raw: DataFrame, count: int) -> DataFrame:
+    """(part, chunk, tokens, counts): the tokens of each chunk by `count` ranges of their hashes, in their order."""
+    width = -(-(1 << 64) // count)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                tokens, counts = np.frombuffer(batch.column("tokens")[row].as_py(), np.uint64), _unpacked(batch.column("counts")[row].as_py())
+                edges = [0, *np.searchsorted(tokens, np.array([width * p for p in range(1, count)], np.uint64)).tolist(), len(tokens)]
+                own = [p for p in range(count) if edges[p] < edges[p + 1]]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(own, pa.int32()), pa.array([batch.column("chunk")[row].as_py()] * len(own), pa.int64()),
+                    pa.array([tokens[edges[p]:edges[p + 1]].tobytes() for p in own], pa.binary()),
+                    pa.array([_packed(counts[edges[p]:edges[p + 1]]) for p in own], pa.binary())], names=["part", "chunk", "tokens", "counts"])
+
+    return raw.select("chunk", "tokens", "counts").mapInArrow(run, "part int, chunk bigint, tokens binary, counts binary")
+
+
+def counted(split: DataFrame, count: int) -> DataFrame:
+    """(part, tokens, counts): the distinct tokens of each part with their counts over all chunks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+
+        def merged(part: int) -> tuple[np.ndarray, np.ndarray]:
+            tokens, at = np.unique(np.concatenate([t for t, _ in held[part]]), return_inverse=True)
+            sums = np.zeros(len(tokens), np.int64)
+            np.add.at(sums, at, np.concatenate([c for _, c in held[part]]))
+            return tokens, sums
+
+        for batch in batches:
+            for row in range(batch.num_rows):
+                own = held.setdefault(batch.column("part")[row].as_py(), [])
+                own.append((np.frombuffer(batch.column("tokens")[row].as_py(), np.uint64), _unpacked(batch.column("counts")[row].as_py())))
+                if len(own) >= 64:
+                    own[:] = [merged(batch.column("part")[row].as_py())]
+        for part in held:
+            tokens, sums = merged(part)
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([tokens.tobytes()], pa.binary()), pa.array([_packed(sums)], pa.binary())],
+                                             names=["part", "tokens", "counts"])
+
+    return split.repartitionById(count, F.col("part")).mapInArrow(run, "part int, tokens binary, counts binary")
+
+
+def _arrays(r) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(bytes(r["tokens"]), np.uint64), _unpacked(bytes(r["counts"]))
+
+
+def _most(tables: DataFrame) -> list[tuple[int, int]]:
+    """The most frequent tokens and their counts, one more than have a class of their own; so many of each part come to the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                tokens, counts = _arrays(row)
+                order = np.lexsort((tokens, -counts))[:OWN_CLASSES + 1]
+                order = order[counts[order] > 0]
+                yield pa.RecordBatch.from_arrays([pa.array(tokens[order].view(np.int64)), pa.array(counts[order])], names=["token", "c"])
+
+    rows = tables.mapInArrow(run, "token bigint, c bigint").orderBy(F.desc("c"), "token").limit(OWN_CLASSES + 1).collect()
+    return [(r["token"] & ((1 << 64) - 1), r["c"]) for r in rows]
+
+
+def _classes(tokens: np.ndarray, counts: np.ndarray, most: list[tuple[int, int]]) -> np.ndarray:
+    """The class of each token: its own, or the band of its count. Tokens without a count are in the last one."""
+    largest = most[-1][1] if len(most) > OWN_CLASSES else 1
+    band = np.minimum(BANDS - 1, (np.log(np.maximum(counts, 1)) * (BANDS / math.log(largest + 1))).astype(np.int64))
+    out = OWN_CLASSES + BANDS - 1 - band
+    for number, (token, _) in enumerate(most[:OWN_CLASSES]):
+        at = int(np.searchsorted(tokens, np.uint64(token)))
+        if at < len(tokens) and tokens[at] == token:
+            out[at] = number
+    return out
+
+
+def vocabulary(tables: DataFrame, count: int) -> tuple[Vocabulary, list[tuple[int, int]], np.ndarray]:
+    """The figures, the most frequent tokens, and the first number of each class in each part (parts x classes)."""
+    most, n_classes = _most(tables), OWN_CLASSES + BANDS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                tokens, counts = _arrays(row)
+                of, seen = _classes(tokens, counts, most), counts > 0
+                sizes = np.bincount(of[seen], minlength=n_classes)
+                sums = np.zeros(n_classes, np.int64)
+                np.add.at(sums, of, counts)
+                yield pa.RecordBatch.from_arrays([pa.array([row["part"]], pa.int32()), pa.array([sizes], pa.list_(pa.int64())), pa.array([sums], pa.list_(pa.int64()))],
+                                                 names=["part", "sizes", "sums"])
+
+    sizes, mass = np.zeros((count, n_classes), np.int64), np.zeros(n_classes)
+    total = 0
+    for r in tables.mapInArrow(run, "part int, sizes array<bigint>, sums array<bigint>").collect():
+        sizes[r["part"]] = r["sizes"]
+        mass += np.array(r["sizes"]) + np.array(r["sums"])
+        total += sum(r["sums"])
     mass[-1] += 1  # the unknown token
+    begin = (np.cumsum(sizes.T) - sizes.T.ravel()).reshape(n_classes, count).T
     distinct = int(sizes.sum())
-    begin = (np.cumsum(sizes) - sizes.ravel()).reshape(sizes.shape)
-    starts = counted.sparkSession.createDataFrame(
-        [(r["class"], r["part"], int(begin[r["class"], r["part"]])) for r in found], "class int, part bigint, begin bigint")
-    within = F.row_number().over(Window.partitionBy("class", "part", F.col("c") > 0).orderBy("token")) - 1
-    words = placed.withColumn("at", within).join(F.broadcast(starts), ["class", "part"], "left").select(
-        "token", "c", F.when(F.col("c") > 0, F.col("begin") + F.col("at")).otherwise(F.lit(distinct)).alias("member"))
-    first = np.append(begin[:, 0], distinct + 1)
-    return words, Vocabulary(sum(r["n"] for r in found), distinct, mass, first)
+    return Vocabulary(total, distinct, mass, np.append(begin[0], distinct + 1)), most, begin
 
 
-def encoded(parts: DataFrame, words: DataFrame) -> DataFrame:
+def encoded(raw: DataFrame, split: DataFrame, tables: DataFrame, count: int, figures: Vocabulary, most: list[tuple[int, int]], begin: np.ndarray) -> DataFrame:
     """Chunks with number and count of each of their distinct tokens, in the order of `tokens`."""
-    pairs = parts.select("chunk", F.posexplode("tokens").alias("at", "token"))
-    known = pairs.join(words, "token").groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("at", "member", "c"))).alias("x"))
-    looked = known.select("chunk", F.transform("x", lambda x: x["member"]).alias("members"), F.transform("x", lambda x: x["c"]).alias("c"))
-    return parts.drop("counts").join(looked, "chunk")
+    starts = raw.sparkSession.sparkContext.broadcast(begin)
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = counts = members = np.zeros(0, np.int64)
+        for batch in batches:
+            rows = batch.to_pylist()
+            out = []
+            for row in rows:
+                if row["chunk"] is None:  # the part's table, before its pieces
+                    known, counts = _arrays(row)
+                    of, seen = _classes(known, counts, most), np.flatnonzero(counts > 0)
+                    members = np.full(len(known), figures.distinct)
+                    order = seen[np.argsort(of[seen], kind="stable")]
+                    ranked = of[order]
+                    members[order] = starts.value[row["part"]][ranked] + np.arange(len(order)) - np.searchsorted(ranked, ranked)
+                else:
+                    at = np.searchsorted(known, np.frombuffer(row["tokens"], np.uint64))
+                    out.append((row["chunk"], row["part"], _packed(members[at]), _packed(counts[at])))
+            if out:
+                columns = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)],
+                                                 names=["chunk", "part", "members", "c"])
+
+    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = None
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def out() -> pa.RecordBatch:
+            members, counts = (np.concatenate(x) for x in zip(*found, strict=True))
+            values = [chunk.column(name) for name in ("chunk", "docs", "lengths", "held", "tokens", "sequence")]
+            return pa.RecordBatch.from_arrays([*values, pa.array([_packed(members)], pa.binary()), pa.array([_packed(counts)], pa.binary())],
+                                              names=["chunk", "docs", "lengths", "held", "tokens", "sequence", "members", "c"])
+
+        for batch in batches:
+            for row in range(batch.num_rows):
+                if batch.column("part")[row].as_py() is None:  # the chunk, before what was looked up for it
+                    if found:
+                        yield out()
+                    chunk, found = batch.slice(row, 1), []
+                else:
+                    found.append((_unpacked(batch.column("members")[row].as_py()), _unpacked(batch.column("c")[row].as_py())))
+        if found:
+            yield out()
+
+    none = lambda *named: [F.lit(None).cast(kind).alias(name) for name, kind in named]
+    asked = split.select("part", "chunk", "tokens", *none(("counts", "binary"))).union(tables.select("part", *none(("chunk", "bigint")), "tokens", "counts"))
+    looked = asked.repartitionById(count, F.col("part")).sortWithinPartitions("part", F.col("chunk").asc_nulls_first()).mapInArrow(
+        look_up, "chunk bigint, part int, members binary, c binary")
+    own = raw.select("chunk", *none(("part", "int"), ("members", "binary"), ("c", "binary")), "docs", "lengths", "held", "tokens", "sequence")
+    answers = looked.select("chunk", "part", "members", "c", *none(
+        ("docs", "array<bigint>"), ("lengths", "array<int>"), ("held", "array<boolean>"), ("tokens", "binary"), ("sequence", "binary")))
+    return own.union(answers).repartition("chunk").sortWithinPartitions("chunk", F.col("part").asc_nulls_first()).mapInArrow(
+        assemble, "chunk bigint, docs array<bigint>, lengths array<int>, held array<boolean>, tokens binary, sequence binary, members binary, c binary")
 
 
 # ---- steps to a token
@@ -314,8 +437,8 @@ def updated(weights: np.ndarray, squares: np.ndarray, touched: np.ndarray, prior
 def _chunk_arrays(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Sequence, document lengths, held flags, token hashes, numbers and counts of a chunk."""
     as_array = lambda name: batch.column(name)[row].values.to_numpy(zero_copy_only=False)
-    return (_indices(batch.column("sequence")[row].as_py()), as_array("lengths").astype(np.int64), as_array("held").astype(bool),
-            as_array("tokens").view(np.uint64), as_array("members"), as_array("c"))
+    return (_unpacked(batch.column("sequence")[row].as_py()), as_array("lengths").astype(np.int64), as_array("held").astype(bool),
+            np.frombuffer(batch.column("tokens")[row].as_py(), np.uint64), _unpacked(batch.column("members")[row].as_py()), _unpacked(batch.column("c")[row].as_py()))
 
 
 def _slices(lengths: np.ndarray) -> Iterator[tuple[slice, slice]]:
@@ -426,9 +549,12 @@ def score_report(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     path = written(chunks(docs), "chunks")
     raw = spark.read.parquet(path)
-    pairs = raw.select(F.explode(F.arrays_zip("tokens", "counts")).alias("x"))
-    counted = stored(pairs.groupBy(F.col("x.tokens").alias("token")).agg(F.sum("x.counts").alias("c")), "token-counts")
-    words, figures = vocabulary(counted)
-    rows = stored(encoded(raw, words), "encoded-chunks")
+    # Parts of the vocabulary, so that each holds some 500,000 entries of chunks.
+    entries = raw.agg(F.sum(F.octet_length("tokens") / 8)).first()[0] or 0
+    count = max(PARTS, int(entries // PART_TOKENS))
+    split = pieces(raw, count)
+    tables = stored(counted(split, count), "token-counts")
+    figures, most, begin = vocabulary(tables, count)
+    rows = stored(encoded(raw, split, tables, count, figures, most, begin), "encoded-chunks")
     remove(spark, path)
     return scored(rows, figures, train(rows, figures))
