@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from tests.llm import common
@@ -65,3 +66,17 @@ def test_nothing_is_forgotten_wrongly(monkeypatch):
     for _ in range(20):
         text = common.sentences(rng, 15, 60)
         assert next(ours.of([text]))[0] == len(theirs.encode(text, add_special_tokens=False).ids)
+
+
+def test_ids_are_handed_on_by_small_slices(monkeypatch):
+    """One batch of many texts never has all its ids in memory, and no row is lost or moved."""
+    monkeypatch.setattr(bpe, "ENCODED_CHARS", 100)
+    ours = bpe.WordBpe(open(PATH, encoding="utf-8").read())
+    texts = [None, "", *(f"some words of text {i}" for i in range(50)), "x" * 500]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    out = list(bpe.encoded_slices(ours, batch, ["doc_id"], "digest"))
+    assert len(out) > 10 and all(b.num_rows < 8 for b in out)
+    rows = [r for b in out for r in b.to_pylist()]
+    assert [r["doc_id"] for r in rows] == list(range(len(texts)))
+    assert [r["ids"] for r in rows] == list(ours.encode_all(texts))
+    assert all(r["digest"] == hashlib.sha256(ours.decode(r["ids"]).encode()).hexdigest() for r in rows)

@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 REMEMBERED = 100_000
 #: Characters of texts whose words are looked up together.
 TEXT_CHARS = 4 << 20
+#: The same where ids are handed on, which take some four times as much: each slice is a batch of its own.
+ENCODED_CHARS = 512 << 10
 #: Words of up to so many bytes share a table of trees, of so many rows.
 LONGEST_ROW = 33
 ROWS = 4096
@@ -267,14 +269,14 @@ class Digests:
                    hashlib.sha256(" ".join(decoded).encode()).hexdigest())
 
 
-def _by_size(texts: pa.Array) -> Iterator[list[str | None]]:
+def _by_size(texts: pa.Array, most: int = TEXT_CHARS) -> Iterator[list[str | None]]:
     """The texts in lists of bounded size (or of one long text)."""
     held: list[str | None] = []
     size = 0
     for text in texts:
         held.append(text.as_py())
         size += len(held[-1] or "")
-        if size >= TEXT_CHARS:
+        if size >= most:
             yield held
             held, size = [], 0
     if held:
@@ -298,6 +300,19 @@ def _vocabulary(docs: DataFrame, path: str):
         return docs.sparkSession.sparkContext.broadcast(file.read())
 
 
+def encoded_slices(bpe: WordBpe, batch: pa.RecordBatch, kept: list[str], digest: str | None) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch with their ids (and the digest of the decoded text), by slices of bounded size."""
+    first = 0
+    for texts in _by_size(batch.column("text"), ENCODED_CHARS):
+        ids = list(bpe.encode_all(texts))
+        columns, names = [*(batch.column(c).slice(first, len(texts)) for c in kept), pa.array(ids, pa.list_(pa.int32()))], [*kept, "ids"]
+        if digest:
+            columns.append(pa.array([hashlib.sha256(bpe.decode(row).encode()).hexdigest() for row in ids], pa.string()))
+            names.append(digest)
+        yield pa.RecordBatch.from_arrays(columns, names=names)
+        first += len(texts)
+
+
 def encoded(docs: DataFrame, path: str, digest: str | None = None) -> DataFrame:
     """The rows of `docs` (without text) with `ids`, the token ids of the whole text, and under the name `digest`, if
     given, the SHA-256 of the text decoded from them."""
@@ -309,12 +324,7 @@ def encoded(docs: DataFrame, path: str, digest: str | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _digests(content.value).bpe
         for batch in batches:
-            ids = pa.array((ids for texts in _by_size(batch.column("text")) for ids in bpe.encode_all(texts)), pa.list_(pa.int32()))
-            columns, names = [*(batch.column(c) for c in kept), ids], [*kept, "ids"]
-            if digest:
-                columns.append(pa.array((hashlib.sha256(bpe.decode(row.as_py()).encode()).hexdigest() for row in ids), pa.string()))
-                names.append(digest)
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            yield from encoded_slices(bpe, batch, kept, digest)
 
     return docs.select(*kept, "text").mapInArrow(run, schema)
 
