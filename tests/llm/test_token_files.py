@@ -1,4 +1,5 @@
 import random
+import time
 import zlib
 
 import numpy as np
@@ -68,3 +69,16 @@ def test_random_text_against_the_library():
     for _ in range(2000):
         text = "".join(rng.choice(letters) for _ in range(rng.randrange(1, 25)))
         assert list(np.frombuffer(ours.encode(text), "<u4")) == made.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_words_that_never_repeat_cost_less_than_with_the_library():
+    """Much of a large corpus is words seen once, for which remembered words are no help."""
+    made, ours = Tokenizer.from_file(PATH), token_files.TextIds(open(PATH, encoding="utf-8").read())
+    rng = random.Random(6)
+    text = " ".join("".join(rng.choice("abcdefghij") for _ in range(9)) for _ in range(40000))
+    assert ours.numbers("warm up") == made.encode("warm up", add_special_tokens=False).ids
+    began = time.process_time()
+    found = ours.numbers(text)
+    between = time.process_time()
+    want = made.encode(text, add_special_tokens=False).ids
+    assert found == want and between - began < time.process_time() - between

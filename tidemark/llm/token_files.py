@@ -21,20 +21,18 @@ from __future__ import annotations
 
 import hashlib
 import re
-import struct
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from tidemark.llm.bpe import byte_characters
+from tidemark.llm.alignment import ByteVocabulary
 from tidemark.llm.store import new_path, stored
 
 END_ID = 0
@@ -43,14 +41,6 @@ WIDE_SHARE = 0.9
 SEGMENT_IDS = 1 << 16
 #: Documents of one file, by the characters they hold.
 FILE_CHARS = 32 << 20
-#: Distinct words a worker remembers (and as many older ones).
-REMEMBERED = 150_000
-
-# The split pattern of the byte-level vocabulary, and the same for texts below U+0100.
-PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
-LATIN = re.compile(
-    r" ?[A-Za-zªµºÀ-ÖØ-öø-ÿ]+|'s|'t|'re|'ve|'m|'ll|'d| ?[0-9²³¹¼½¾]+| ?[^\t-\r \x85\xa0A-Za-zªµºÀ-ÖØ-öø-ÿ0-9²³¹¼½¾]+"
-    r"|[\t-\r \x85\xa0]+(?![^\t-\r \x85\xa0])|[\t-\r \x85\xa0]+")
 
 BLOCK_HEAD = np.dtype([("low", "<u4"), ("width", "u1"), ("patches", "u1")])
 PATCH = np.dtype([("at", "u1"), ("high", "<u4")])
@@ -136,68 +126,27 @@ def unpack(content: bytes) -> np.ndarray:
 # ---- ids of a text
 
 
-def split_text(text: str) -> list[str]:
-    try:
-        text.encode("latin-1")
-    except UnicodeEncodeError:
-        return PATTERN.findall(text)
-    return LATIN.findall(text)
-
-
-class _Remembered(dict):
-    """Text -> its ids as little-endian bytes, made where not remembered.
-
-    Beyond a bound what is remembered becomes the old part, and what is asked for again moves over.
-    """
-
-    def __init__(self, make: Callable[[str], bytes], most: int):
-        super().__init__()
-        self.make, self.most = make, most
-        self.old: dict[str, bytes] = {}
-
-    def __missing__(self, text: str) -> bytes:
-        made = self.old.get(text)
-        if made is None:
-            made = self.make(text)
-        if len(self) >= self.most:
-            self.old = dict(self)
-            self.clear()
-        self[text] = made
-        return made
-
-
 class TextIds:
-    """Encodes with the library's model, piece by piece: the vocabulary's own split makes pieces that are merged alone.
-
-    Added tokens are found in the raw text first, as the library does.
+    """Encodes as the library does: added tokens are found in the raw text first, the text between them goes to the
+    byte-pair encoder of alignment, which has the ids of the same file.
     """
 
     def __init__(self, content: str):
-        self.tokenizer = Tokenizer.from_str(content)
-        self.characters = byte_characters()
-        self.pieces = _Remembered(self._of_piece, REMEMBERED // 2)
-        self.spaced = _Remembered(lambda word: self._of_text(" " + word), REMEMBERED)
-        self.added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.vocabulary = ByteVocabulary(content)
+        self.added = {t.content: i for i, t in Tokenizer.from_str(content).get_added_tokens_decoder().items()}
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
 
-    def _of_piece(self, piece: str) -> bytes:
-        ids = [t.id for t in self.tokenizer.model.tokenize("".join(map(self.characters.__getitem__, piece.encode())))]
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _of_text(self, text: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, split_text(text)))
+    def numbers(self, text: str | None) -> list[int]:
+        if not text:
+            return []
+        parts = self.special.split(text) if self.added else [text]
+        if len(parts) == 1:
+            return self.vocabulary.encode(parts)[0]
+        # Text and added tokens take turns.
+        return [i for n, part in enumerate(parts) if part for i in ([self.added[part]] if n % 2 else self.vocabulary.encode([part])[0])]
 
     def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        parts = self.special.split(text)
-        if len(parts) > 1:
-            return b"".join(self.encode(p) if i % 2 == 0 else struct.pack("<I", self.added[p]) for i, p in enumerate(parts))
-        if "  " in text:
-            return self._of_text(text)
-        # Where no two spaces meet, every space starts a piece, so the text is cut there and cut parts are remembered.
-        first, *others = text.split(" ")
-        return self._of_text(first) + b"".join(map(self.spaced.__getitem__, others))
+        return np.array(self.numbers(text), "<u4").tobytes()
 
 
 _LOADED: dict[str, TextIds] = {}
@@ -210,10 +159,11 @@ def _text_ids(content: str) -> TextIds:
     return _LOADED[key]
 
 
-def _narrow(ids: bytes) -> bytes:
+def _narrow(ids: list[int]) -> bytes:
     """For the shuffle: two bytes an id where all fit, else four, after a byte that says which."""
-    wide = np.frombuffer(ids, "<u4")
-    return b"\x04" + ids if wide.max(initial=0) > 0xFFFF else b"\x02" + wide.astype("<u2").tobytes()
+    if max(ids) > 0xFFFF:
+        return b"\x04" + np.array(ids, "<u4").tobytes()
+    return b"\x02" + np.array(ids, "<u2").tobytes()
 
 
 def _widened(content: bytes) -> np.ndarray:
@@ -264,9 +214,9 @@ def write_ids(docs: DataFrame, tokenizer_path: str, path: str) -> None:
         content = spark.sparkContext.broadcast(file.read())
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = _text_ids(content.value), np.array([END_ID], "<u4").tobytes()
+        encoder = _text_ids(content.value)
         for batch in batches:
-            ids = pa.array((_narrow(encoder.encode(t.as_py()) + end) for t in batch.column("text")), pa.binary())
+            ids = pa.array((_narrow([*encoder.numbers(t.as_py()), END_ID]) for t in batch.column("text")), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], names=["doc_id", "packed"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
