@@ -97,6 +97,43 @@ def test_a_star_of_many_copies_makes_few_pairs(spark):
     assert {r.component_id for r in found} == {0}
 
 
+def crowds(seed, groups=10, members=24):
+    """Groups of equally long texts that share three quarters of a base, and a few copies in between: many pairs meet, few are linked."""
+    rng = random.Random(seed)
+    texts = []
+    for g in range(groups):
+        base = [f"b{g}x{i}" for i in range(120)]
+        for m in range(members):
+            words = list(base)
+            at = rng.randrange(85)
+            words[at:at + 35] = [f"o{g}x{m}x{i}" for i in range(35)]
+            texts.append(" ".join(words))
+            if m % 8 == 0:
+                words[rng.randrange(120)] = "copy"
+                texts.append(" ".join(words))
+    rng.shuffle(texts)
+    return texts
+
+
+@pytest.mark.parametrize("few", [0, 10**9])
+def test_components_of_crowds(spark, monkeypatch, few):
+    monkeypatch.setattr(ngram_join, "FEW", few)
+    for texts in (crowds(few), near_copies(few, groups=8)):
+        rows = common.rows(texts)
+        found = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.component_report(spark.createDataFrame(rows, common.DOCS).repartition(3)).collect()}
+        assert found == expected([(r[0], r[1]) for r in rows], ngram_join.OP10)
+
+
+def test_crowds_make_few_pairs(spark, monkeypatch):
+    """Texts that share much but are not linked meet at shingles of their group; ordered by exact counts they do not."""
+    seen = []
+    monkeypatch.setattr(ngram_join, "remaining_pairs", lambda *a, f=ngram_join.remaining_pairs: seen.append(f(*a)) or seen[-1])
+    monkeypatch.setattr(ngram_join, "RANGE_SHINGLES", 2000)
+    rows = common.rows(crowds(1))
+    ngram_join.component_report(spark.createDataFrame(rows, common.DOCS)).collect()
+    assert sum(pairs.count() for pairs in seen) < len(rows)  # all pairs of the groups are 3510
+
+
 def test_one_of_each(spark):
     rows = common.rows(near_copies(5, groups=5))
     docs = spark.createDataFrame([*rows, (None, rows[0][1], *rows[0][2:])], common.DOCS)

@@ -11,8 +11,10 @@ first; it is cut into fragments, overlaps of a pair are counted fragment by frag
 4. Linking: each class is paired with one promising partner (the class least changed before a shared shingle, by votes
    of its shingles), which connects groups of copies by stars instead of all their pairs.
 5. Completing: all pairs that share a prefix shingle, may still reach the threshold by their sizes and places, and are
-   not yet in one component. Shingles at which no pair meets first are passed over. Nothing is left out: a pair not
-   tested here is connected already or cannot be linked.
+   not yet in one component. A pair is made where it meets first, as far as the shingles before tell. A set that meets
+   few others of about its size at a shingle is paired outright there. The sets that meet more are ordered anew among
+   themselves, by the exact number of these sets that hold a shingle, so that what a set has alone or with few comes
+   first; they are paired by their prefixes in that order. Nothing is left out: a pair not tested here is connected already or cannot be linked.
 6. A pair's overlap is counted in the first fragment, where most fail, then in the others, summed over fragments.
 
 * A null text, or one without words, has no shingles, links with nothing and is its own component.
@@ -25,6 +27,7 @@ first; it is cut into fragments, overlaps of a pair are counted fragment by frag
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -46,6 +49,10 @@ FILTER_BITS = 1 << 23
 #: Fragments of the global order behind the prefix: by leading hash bits, then common and very common shingles.
 HASH_FRAGMENTS = 8
 COMMON = 1000
+#: Holders of a shingle, of about a set's size and itself included, that are paired outright; sets that meet more are ordered anew.
+FEW = 16
+#: Shingles of a range of hashes that one task counts, about.
+RANGE_SHINGLES = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -59,6 +66,9 @@ class Threshold:
         """Shingles of a set of n of which a linked set must share one: all but the least overlap, and one."""
         return n + (-self.percent * n) // 100 + 1
 
+    def prefix_of(self, n: Column) -> Column:
+        return n + 1 + F.floor(-self.percent * n / F.lit(100)).cast("int")
+
     def linked(self, common: Column, n: Column, m: Column) -> Column:
         return 100 * common >= self.percent * (n + m - common)
 
@@ -169,25 +179,41 @@ def prefixes(docs: DataFrame, excess, threshold: Threshold) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, schema)
 
 
-def fragments(docs: DataFrame, wanted: DataFrame, excess, words: int) -> DataFrame:
-    """(doc, f1, fragment, shingles) of the documents in `wanted` (doc), and of a few others that the filter lets through."""
+def _sieve(wanted: DataFrame):
+    """A broadcast bit table that lets the documents in `wanted` (doc) through, and a few others."""
     bit = F.pmod(F.xxhash64("doc"), F.lit(FILTER_BITS))
     cells = wanted.select(bit.alias("b")).groupBy(F.expr("cast(b div 64 as int)").alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b % 64 as int))")).alias("bits"))
     table = np.zeros(FILTER_BITS // 64, np.int64)
     for r in cells.collect():  # at most FILTER_BITS / 64 rows
         table[r["cell"]] = r["bits"]
-    spark = docs.sparkSession
-    sieve = spark.sparkContext.broadcast(table)
+    return wanted.sparkSession.sparkContext.broadcast(table)
+
+
+def _marked(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, _bit): documents with an id and their places in a sieve."""
+    named = docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return named.withColumn("_bit", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)))
+
+
+def _let_through(batch: pa.RecordBatch, bits: np.ndarray) -> pa.RecordBatch:
+    at = batch.column("_bit").to_numpy(zero_copy_only=False)
+    return batch.take(pa.array(np.flatnonzero((bits[at // 64] >> (at % 64)) & 1)))
+
+
+def _chosen(parts: DataFrame, wanted: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows of the wanted documents whose text is the one that speaks for its document."""
+    return parts.join(wanted, "doc", "left_semi").join(sets.select("doc", "f1"), ["doc", "f1"], "left_semi")
+
+
+def fragments(docs: DataFrame, wanted: DataFrame, excess, words: int) -> DataFrame:
+    """(doc, f1, fragment, shingles) of the documents in `wanted` (doc), and of a few others that the filter lets through."""
+    sieve = _sieve(wanted)
     schema = "doc bigint, f1 bigint, fragment int, shingles array<bigint>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         over_table, bits = excess.value, sieve.value
         for batch in batches:
-            at = batch.column("_bit").to_numpy(zero_copy_only=False)
-            inside = np.flatnonzero((bits[at // 64] >> (at % 64)) & 1)
-            if not len(inside):
-                continue
-            chosen = batch.take(pa.array(inside))
+            chosen = _let_through(batch, bits)
             docs_of, prints, numbers, lists = [], [], [], []
             for row, found in _sets(chosen.column("text"), words):
                 over = over_table[_slot(found)]
@@ -202,8 +228,54 @@ def fragments(docs: DataFrame, wanted: DataFrame, excess, words: int) -> DataFra
             yield pa.RecordBatch.from_arrays([pa.array(docs_of, pa.int64()), pa.array(prints, pa.int64()), pa.array(numbers, pa.int32()), pa.array(lists, pa.list_(pa.int64()))],
                                              names=["doc", "f1", "fragment", "shingles"])
 
-    marked = docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return marked.withColumn("_bit", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))).mapInArrow(run, schema)
+    return _marked(docs).mapInArrow(run, schema)
+
+
+def _ranges(docs: DataFrame, wanted: DataFrame, excess, threshold: Threshold, count: int) -> DataFrame:
+    """(doc, f1, n, rare, part, shingles) of the documents in `wanted`, and of a few others that the filter lets through.
+
+    All `rare` shingles of a set without excess, by `count` ranges of their hashes; where they do not fill the prefix, the
+    next in the order as part -1.
+    """
+    sieve, width = _sieve(wanted), -(-(1 << 64) // count)
+    schema = "doc bigint, f1 bigint, n int, rare int, part int, shingles array<bigint>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, bits = excess.value, sieve.value
+        edges = np.array([width * p for p in range(1, count)], np.uint64)
+        for batch in batches:
+            chosen = _let_through(batch, bits)
+            rows, prints, n, rare, parts, lists = [], [], [], [], [], []
+            for row, found in _sets(chosen.column("text"), threshold.words):
+                ordered, over = _ordered(found, table)
+                own = int(np.frombuffer(hashlib.blake2b(found.tobytes(), digest_size=16).digest(), np.int64)[0])
+                front = int(np.count_nonzero(over == 0))
+                ends = np.searchsorted(ordered[:front], edges)
+                pieces = [*np.split(ordered[:front], ends), ordered[front:int(threshold.prefix(np.int64(len(found))))]]
+                for part, piece in zip([*range(count), -1], pieces, strict=True):
+                    if len(piece):
+                        rows.append(row)
+                        prints.append(own)
+                        n.append(len(found))
+                        rare.append(front)
+                        parts.append(part)
+                        lists.append(piece.view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [chosen.column("doc_id").take(pa.array(rows, pa.int64())), pa.array(prints, pa.int64()), pa.array(n, pa.int32()), pa.array(rare, pa.int32()),
+                 pa.array(parts, pa.int32()), pa.array(lists, pa.list_(pa.int64()))], names=["doc", "f1", "n", "rare", "part", "shingles"])
+
+    return _marked(docs).mapInArrow(run, schema)
+
+
+def _held_by_several(part: pa.Table) -> pa.Table:
+    """(doc, n, rare, shingle, holders) of the shingles of a range that two sets or more hold."""
+    lists = part.column("shingles").combine_chunks()
+    shingles = lists.flatten().to_numpy()
+    _, at, holders = np.unique(shingles, return_inverse=True, return_counts=True)
+    several = np.flatnonzero(holders[at] > 1)
+    row = pa.array(np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())[several])
+    return pa.Table.from_arrays([*(part.column(c).take(row) for c in ("doc", "n", "rare")), pa.array(shingles[several]), pa.array(holders[at][several].astype(np.int32))],
+                                names=["doc", "n", "rare", "shingle", "holders"])
 
 
 # ---- pairs
@@ -223,14 +295,14 @@ def _may_link(shared: DataFrame, threshold: Threshold) -> DataFrame:
 
 
 def first_meetings(shared: DataFrame) -> DataFrame:
-    """Without the shingles at which no pair of sets can meet first.
+    """Without the shingles at which no pair of sets can meet first, and with the shared shingle `before` of each set.
 
     If all holders of a shingle have the same shared shingle right before it, every pair that meets at the one has met
     at the other. A passage that many sets hold is left with few shingles.
     """
     before = shared.withColumn("before", F.lag("shingle").over(Window.partitionBy("doc").orderBy("place")))
     later = before.groupBy("shingle").agg(F.min("before").alias("x"), F.max("before").alias("y"), F.count("before").alias("n"), F.count("*").alias("m"))
-    return shared.join(later.where("x = y and n = m").select("shingle"), "shingle", "left_anti")
+    return before.join(later.where("x = y and n = m").select("shingle"), "shingle", "left_anti")
 
 
 def promising_pairs(shared: DataFrame) -> DataFrame:
@@ -244,14 +316,53 @@ def promising_pairs(shared: DataFrame) -> DataFrame:
     return pair.select(F.least("doc", "leader").alias("a"), F.greatest("doc", "leader").alias("b")).distinct()
 
 
-def remaining_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """(a, b) with a < b of all pairs that may be linked and lie in different components."""
-    named = shared.join(labels, "doc", "left").withColumn("c", F.coalesce("label", "doc")).drop("label")
+def meetings(shared: DataFrame, labels: DataFrame, threshold: Threshold) -> DataFrame:
+    """Rows of `shared` at whose shingle sets of different components (c) meet first, with the number `near` of its holders of about a set's size."""
+    named = first_meetings(shared).join(labels, "doc", "left").withColumn("c", F.coalesce("label", "doc")).drop("label")
     mixed = named.groupBy("shingle").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("shingle")
-    left = named.join(mixed, "shingle").select("shingle", F.col("doc").alias("a"), F.col("n").alias("n_a"), F.col("most").alias("most_a"), F.col("c").alias("c_a"))
-    right = left.select("shingle", F.col("a").alias("b"), F.col("n_a").alias("n_b"), F.col("most_a").alias("most_b"), F.col("c_a").alias("c_b"))
-    met = left.join(right, "shingle").where("a < b and c_a <> c_b and n_a <= most_b and n_b <= most_a")
-    return met.select("a", "b").distinct()
+    # Linked sets differ less in size than a band is wide.
+    met = named.join(mixed, "shingle").withColumn("band", F.floor(F.log("n") / math.log(101 / threshold.percent)).cast("int"))
+    sizes = met.groupBy("shingle", "band").agg(F.count("*").alias("own"))
+    around = sizes.select("shingle", "own", F.explode(F.expr("sequence(band - 1, band + 1)")).alias("band")).groupBy("shingle", "band").agg(F.sum("own").alias("near"))
+    return met.join(around, ["shingle", "band"]).drop("band")
+
+
+def met_pairs(met: DataFrame, few: int | None = None) -> DataFrame:
+    """(a, b) with a < b of all pairs that meet, may be linked and lie in different components; if given, where one of them meets `few`.
+
+    Two sets with the same shared shingle right before have met there.
+    """
+    side = lambda x: met.select("shingle", F.col("doc").alias(x), *(F.col(v).alias(f"{v}_{x}") for v in ("n", "most", "c", "before", "near")))
+    pairs = side("a").join(side("b"), "shingle").where(
+        "a < b and c_a <> c_b and n_a <= most_b and n_b <= most_a and (before_a is null or before_b is null or before_a <> before_b)"
+        + (f" and least(near_a, near_b) <= {few}" if few is not None else ""))
+    return pairs.select("a", "b").distinct()
+
+
+def reordered(wanted: DataFrame, sets: DataFrame, docs: DataFrame, excess, threshold: Threshold) -> DataFrame:
+    """What `shared_prefixes` gives, of the documents in `wanted` (doc) and in another order of all shingles.
+
+    Shingles without excess come first, by the number of the wanted sets that hold them, then by hash; the others follow
+    as before.
+    """
+    size = sets.join(wanted, "doc", "left_semi").agg(F.sum("n")).first()[0] or 0
+    ranges = _ranges(docs, wanted, excess, threshold, int(size // RANGE_SHINGLES) + 1)
+    parts = stored(_chosen(ranges, wanted, sets).dropDuplicates(["doc", "part"]), "set-ranges")
+    several = parts.where("part >= 0").groupBy("part").applyInArrow(_held_by_several, "doc bigint, n int, rare int, shingle bigint, holders int")
+    own = Window.partitionBy("doc")
+    rank = F.row_number().over(own.orderBy("holders", "shingle"))
+    front = several.select("shingle", "doc", "n", (F.col("rare") - F.count("*").over(own) + rank - 1).cast("int").alias("place"))
+    back = parts.where("part < 0").select("doc", "n", "rare", F.posexplode("shingles").alias("at", "shingle"))
+    both = front.union(back.select("shingle", "doc", "n", (F.col("rare") + F.col("at")).alias("place")))
+    return both.where(F.col("place") < threshold.prefix_of(F.col("n")))
+
+
+def remaining_pairs(shared: DataFrame, labels: DataFrame, sets: DataFrame, docs: DataFrame, excess, threshold: Threshold) -> DataFrame:
+    """(a, b) with a < b of pairs in different components, all that are linked among them."""
+    met = stored(meetings(shared, labels, threshold), "meetings")
+    crowd = stored(met.where(F.col("near") > FEW).select("doc").distinct(), "crowd")
+    again = stored(_may_link(reordered(crowd, sets, docs, excess, threshold), threshold), "reordered")
+    return met_pairs(met, FEW).union(met_pairs(meetings(again, labels, threshold))).distinct()
 
 
 def _sides(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -276,8 +387,7 @@ def links(pairs: DataFrame, sets: DataFrame, docs: DataFrame, excess, threshold:
     """The linked pairs (a, b): overlaps counted by fragment and summed."""
     likely = stored(past_first_fragment(pairs, sets, threshold), "likely-pairs")
     wanted = likely.select(F.col("a").alias("doc")).union(likely.select("b")).distinct()
-    print_of = sets.select("doc", "f1")
-    parts = fragments(docs, wanted, excess, threshold.words).join(wanted, "doc", "left_semi").join(print_of, ["doc", "f1"], "left_semi")
+    parts = _chosen(fragments(docs, wanted, excess, threshold.words), wanted, sets)
     parts = stored(parts.dropDuplicates(["doc", "fragment"]), "set-fragments")
     left = parts.select(F.col("doc").alias("a"), "fragment", F.col("shingles").alias("s_a"))
     right = parts.select(F.col("doc").alias("b"), "fragment", F.col("shingles").alias("s_b"))
@@ -328,7 +438,7 @@ def component_report(docs: DataFrame, threshold: Threshold = OP10) -> DataFrame:
     shared = stored(_may_link(shared_prefixes(sets), threshold), "shared-prefixes")
     linked = stored(links(promising_pairs(shared), sets, docs, excess, threshold), "links")
     labels = components(linked)
-    further = stored(links(remaining_pairs(first_meetings(shared), labels), sets, docs, excess, threshold), "further-links")
+    further = stored(links(remaining_pairs(shared, labels, sets, docs, excess, threshold), sets, docs, excess, threshold), "further-links")
     final = components(linked.union(further))
 
     of_class = classes.join(final.withColumnRenamed("doc", "rep"), "rep", "left").select("f1", "f2", F.coalesce("label", "rep").alias("component"))
