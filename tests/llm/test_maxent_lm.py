@@ -128,6 +128,14 @@ def test_update_agrees_with_a_plain_one():
     assert np.allclose(weights, want, atol=1e-4) and touched.sum() == 300
 
 
+def test_encoded_chunks_hold_no_token_hashes(spark, monkeypatch):
+    """Eight bytes for each distinct token of a chunk that would not compress, shuffled and stored once more."""
+    kept = {}
+    monkeypatch.setattr(maxent_lm, "stored", lambda df, name, f=maxent_lm.stored: kept.setdefault(name, f(df, name)))
+    maxent_lm.score_report(spark.createDataFrame([(i, f"a b w{i}") for i in range(20)], "doc_id bigint, text string"))
+    assert kept["encoded-chunks"].columns == ["chunk", "docs", "lengths", "held", "sequence", "members", "c"]
+
+
 def test_context_tells_tokens_of_one_class_apart(spark):
     """400 pairs of equally frequent words: the second is certain after the first, yet all share one class."""
     rng = random.Random(5)

@@ -8,7 +8,9 @@ the group; a token inside its class by the digits of its number there, each give
 the last token and the last two. One unknown token belongs to the class of the rarest, so the probabilities of all tokens
 sum to one.
 
-The texts are tokenised once into chunks of documents (a chunk's distinct tokens and the sequence of their numbers).
+The texts are tokenised once into chunks of documents (a chunk's distinct tokens and the sequence of their places).
+Features are hashed from the tokens' numbers in the vocabulary, so that a token found in held-out texts only is the
+unknown one as context too.
 Token counts come from the chunks' own counts, each distinct token once per chunk. Training is one pass over the learning
 part, in three rounds of a third of the chunks each: a task starts from the model so far, makes minibatch updates over its
 chunks, and hands on its changes, which are averaged row by row, weighted by how often each task saw the row.
@@ -264,7 +266,7 @@ def vocabulary(tables: DataFrame, count: int) -> tuple[Vocabulary, list[tuple[in
 
 
 def encoded(raw: DataFrame, split: DataFrame, tables: DataFrame, count: int, figures: Vocabulary, most: list[tuple[int, int]], begin: np.ndarray) -> DataFrame:
-    """Chunks with number and count of each of their distinct tokens, in the order of `tokens`."""
+    """Chunks with number and count of each of their distinct tokens in place of `tokens`, in the same order."""
     starts = raw.sparkSession.sparkContext.broadcast(begin)
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,9 +296,9 @@ def encoded(raw: DataFrame, split: DataFrame, tables: DataFrame, count: int, fig
 
         def out() -> pa.RecordBatch:
             members, counts = (np.concatenate(x) for x in zip(*found, strict=True))
-            values = [chunk.column(name) for name in ("chunk", "docs", "lengths", "held", "tokens", "sequence")]
+            values = [chunk.column(name) for name in ("chunk", "docs", "lengths", "held", "sequence")]
             return pa.RecordBatch.from_arrays([*values, pa.array([_packed(members)], pa.binary()), pa.array([_packed(counts)], pa.binary())],
-                                              names=["chunk", "docs", "lengths", "held", "tokens", "sequence", "members", "c"])
+                                              names=["chunk", "docs", "lengths", "held", "sequence", "members", "c"])
 
         for batch in batches:
             for row in range(batch.num_rows):
@@ -313,11 +315,11 @@ def encoded(raw: DataFrame, split: DataFrame, tables: DataFrame, count: int, fig
     asked = split.select("part", "chunk", "tokens", *none(("counts", "binary"))).union(tables.select("part", *none(("chunk", "bigint")), "tokens", "counts"))
     looked = asked.repartitionById(count, F.col("part")).sortWithinPartitions("part", F.col("chunk").asc_nulls_first()).mapInArrow(
         look_up, "chunk bigint, part int, members binary, c binary")
-    own = raw.select("chunk", *none(("part", "int"), ("members", "binary"), ("c", "binary")), "docs", "lengths", "held", "tokens", "sequence")
+    own = raw.select("chunk", *none(("part", "int"), ("members", "binary"), ("c", "binary")), "docs", "lengths", "held", "sequence")
     answers = looked.select("chunk", "part", "members", "c", *none(
-        ("docs", "array<bigint>"), ("lengths", "array<int>"), ("held", "array<boolean>"), ("tokens", "binary"), ("sequence", "binary")))
+        ("docs", "array<bigint>"), ("lengths", "array<int>"), ("held", "array<boolean>"), ("sequence", "binary")))
     return own.union(answers).repartition("chunk").sortWithinPartitions("chunk", F.col("part").asc_nulls_first()).mapInArrow(
-        assemble, "chunk bigint, docs array<bigint>, lengths array<int>, held array<boolean>, tokens binary, sequence binary, members binary, c binary")
+        assemble, "chunk bigint, docs array<bigint>, lengths array<int>, held array<boolean>, sequence binary, members binary, c binary")
 
 
 # ---- steps to a token
@@ -423,22 +425,20 @@ def updated(weights: np.ndarray, squares: np.ndarray, touched: np.ndarray, prior
     for f in range(buckets.shape[1]):
         ranked = np.sort((buckets[:, f].astype(np.uint64) << np.uint64(32)) | places)
         row = (ranked >> np.uint64(32)).astype(np.int64)
-        last = np.flatnonzero(np.append(row[1:] != row[:-1], True))
-        own, n = row[last], np.diff(last, prepend=-1)
-        # Sums of each bucket's rows, as differences of running totals.
-        running = np.cumsum(slope.take((ranked & np.uint64(0xFFFFFFFF)).astype(np.int64), axis=0), axis=0, dtype=np.float64).take(last, axis=0)
-        running[1:] -= running[:-1].copy()
-        change = (running / np.sqrt(n)[:, None]).astype(np.float32)
+        begin = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+        own, n = row[begin], np.diff(begin, append=len(row))
+        change = np.add.reduceat(slope.take((ranked & np.uint64(0xFFFFFFFF)).astype(np.int64), axis=0), begin, axis=0)
+        change /= np.sqrt(n).astype(np.float32)[:, None]
         squares[own] += np.einsum("ij,ij->i", change, change)
         weights[own] -= change * (np.float32(RATE) / np.sqrt(squares[own]))[:, None]
         touched[own] += n
 
 
-def _chunk_arrays(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Sequence, document lengths, held flags, token hashes, numbers and counts of a chunk."""
+def _chunk_arrays(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sequence, document lengths, held flags, token numbers and counts of a chunk."""
     as_array = lambda name: batch.column(name)[row].values.to_numpy(zero_copy_only=False)
     return (_unpacked(batch.column("sequence")[row].as_py()), as_array("lengths").astype(np.int64), as_array("held").astype(bool),
-            np.frombuffer(batch.column("tokens")[row].as_py(), np.uint64), _unpacked(batch.column("members")[row].as_py()), _unpacked(batch.column("c")[row].as_py()))
+            _unpacked(batch.column("members")[row].as_py()), _unpacked(batch.column("c")[row].as_py()))
 
 
 def _slices(lengths: np.ndarray) -> Iterator[tuple[slice, slice]]:
@@ -484,8 +484,8 @@ def train(rows: DataFrame, figures: Vocabulary) -> np.ndarray:
             squares, touched = np.full(BUCKETS, 0.1, np.float32), np.zeros(BUCKETS, np.float32)
             for batch in batches:
                 for row in range(batch.num_rows):
-                    sequence, lengths, held, tokens, members, _ = _chunk_arrays(batch, row)
-                    steps = list(ways.of(members))
+                    sequence, lengths, held, members, _ = _chunk_arrays(batch, row)
+                    tokens, steps = members.astype(np.uint64), list(ways.of(members))
                     for docs, places in _slices(lengths):
                         use = np.repeat(~held[docs], lengths[docs])
                         found = features(tokens[sequence[places]], _starts(lengths[docs]))[use]
@@ -525,7 +525,8 @@ def scored(rows: DataFrame, figures: Vocabulary, weights: np.ndarray) -> DataFra
         own_weights, ways = model.value, Steps(figures)
         for batch in batches:
             for row in range(batch.num_rows):
-                sequence, lengths, held, tokens, members, counts = _chunk_arrays(batch, row)
+                sequence, lengths, held, members, counts = _chunk_arrays(batch, row)
+                tokens = members.astype(np.uint64)
                 share, seen, steps = np.log10(counts + 1.0), (counts > 0).astype(np.int64), list(ways.of(members))
                 base, score, known = np.empty(len(lengths)), np.empty(len(lengths)), np.empty(len(lengths), np.int64)
                 for docs, places in _slices(lengths):
