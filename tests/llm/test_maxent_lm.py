@@ -2,6 +2,7 @@ import math
 import random
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -143,3 +144,42 @@ def test_context_tells_tokens_of_one_class_apart(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
     found = [r for r in maxent_lm.score_report(docs).collect() if r.held_out]
     assert sum(r.score for r in found) > 0.8 * sum(r.base_score for r in found)
+
+
+def test_only_rows_that_share_a_bucket_are_summed(monkeypatch):
+    """Most buckets of a batch have one row; summing them all took most of the time of training."""
+    summed = []
+
+    def reduceat(rows, *rest, **named):
+        summed.append(len(rows))
+        return np.add.reduceat(rows, *rest, **named)
+
+    rng = np.random.default_rng(2)
+    weights = rng.normal(size=(maxent_lm.BUCKETS, maxent_lm.CLASSES)).astype(np.float32)
+    classes, prior, shape = rng.integers(0, maxent_lm.CLASSES, 1000), np.zeros(maxent_lm.CLASSES, np.float32), maxent_lm.BUCKETS
+    alone, twice = rng.permutation(shape)[:1000, None], np.repeat(rng.permutation(shape)[:990], [11] + [1] * 989)[:, None]
+    monkeypatch.setattr(maxent_lm, "np", SimpleNamespace(**{**vars(np), "add": SimpleNamespace(reduceat=reduceat)}))
+    for buckets, rows in ((alone, []), (twice, [11])):
+        summed.clear()
+        squares, touched = np.full(shape, 0.1, np.float32), np.zeros(shape, np.float32)
+        before = weights.copy()
+        maxent_lm.updated(weights, squares, touched, prior, buckets, classes)
+        assert summed == rows and touched.sum() == 1000
+        assert set(np.flatnonzero((weights != before).any(axis=1))) == set(buckets[:, 0])
+
+
+def test_examples_agree_with_a_plain_hash_and_look_tokens_up_once_a_chunk():
+    figures = numbered([1] * 5 + [0, 40] + [3] * 20)
+    n = int(figures.first[-1])
+    steps = list(maxent_lm.Steps(figures).of(np.arange(n)))
+    rng = np.random.default_rng(3)
+    for _ in range(2):  # two slices of a chunk
+        own = rng.integers(0, n, 500)
+        found = maxent_lm.features(own.astype(np.uint64), np.array([0, 200]))
+        got = list(maxent_lm.examples(steps, n, own, found))
+        taken = [[(i, int(np.flatnonzero(s.taken == t)[0])) for i, t in enumerate(own) if t in s.taken] for s in steps]
+        for step, pairs, (places, buckets, branch, prior) in zip([s for s, p in zip(steps, taken, strict=True) if p], filter(None, taken), got, strict=True):
+            keys = [[(int(found[i, f]) + int(step.node[at])) * int(maxent_lm._FACTORS[0]) % 2 ** 64 >> 48 for f in step.features] for i, at in pairs]
+            assert buckets.tolist() == keys and places.tolist() == [i for i, _ in pairs]
+            assert branch.tolist() == [step.branch[at] for _, at in pairs] and prior.tolist() == [step.prior[at] for _, at in pairs]
+    assert all(s.row_of(n) is s.row_of(n) for s in steps)

@@ -26,7 +26,7 @@ import math
 import struct
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +46,7 @@ OWN_CLASSES, BANDS = 96, 32
 CLASSES = 16
 BUCKETS = 1 << 16
 ROUNDS = 3
+#: Rows of a minibatch; 2**16 at most.
 BATCH = 16384
 #: Tokens whose features are made at a time.
 SLICE = 1 << 16
@@ -334,6 +335,14 @@ class Step:
     branch: np.ndarray
     prior: np.ndarray
     features: np.ndarray
+    rows: dict[int, np.ndarray] = field(default_factory=dict)
+
+    def row_of(self, count: int) -> np.ndarray:
+        """For each of the given `count` tokens its place in `taken`, or -1; made once."""
+        if count not in self.rows:
+            self.rows[count] = np.full(count, -1, np.int64)
+            self.rows[count][self.taken] = np.arange(len(self.taken))
+        return self.rows[count]
 
 
 class Steps:
@@ -392,7 +401,7 @@ def features(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
         before.append(moved)
     one, two, three = before
     keys = [one * _FACTORS[0], two * _FACTORS[1], (one * _FACTORS[0] ^ (two * _FACTORS[2])) * _FACTORS[3], three * _FACTORS[2] + _FACTORS[0]]
-    return np.stack([textbytes.mixed(k) for k in keys], axis=1)
+    return np.stack([textbytes.mixed(k) for k in keys]).T
 
 
 def _starts(lengths: np.ndarray) -> np.ndarray:
@@ -413,25 +422,45 @@ def shares(weights: np.ndarray, prior: np.ndarray, buckets: np.ndarray) -> tuple
 def log_softmax(weights: np.ndarray, prior: np.ndarray, buckets: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Log probability of the given branch of each row."""
     found, total = shares(weights, prior, buckets)
-    return np.log(np.maximum(found[np.arange(len(classes)), classes], np.float32(1e-37)) / total)
+    own = found.take(np.arange(0, found.size, found.shape[1]) + classes)
+    return np.log(np.maximum(own, np.float32(1e-37)) / total)
+
+
+def bucket_sums(slope: np.ndarray, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets found and, for each, the sum of its rows over the root of their number.
+
+    Most buckets of a batch have one row, which is taken as it is; only the others are summed. Both numbers have 16 bits.
+    """
+    ranked = np.sort((buckets.astype(np.uint32) << np.uint32(16)) | np.arange(len(buckets), dtype=np.uint32))
+    row, order = (ranked >> np.uint32(16)).astype(np.int64), (ranked & np.uint32(0xFFFF)).astype(np.int64)
+    begins = np.ones(len(row) + 1, bool)
+    np.not_equal(row[1:], row[:-1], out=begins[1:-1])
+    alone = begins[:-1] & begins[1:]
+    once, several = np.flatnonzero(alone), np.flatnonzero(~alone)
+    first = np.flatnonzero(begins[several])
+    sums = np.empty((len(once) + len(first), slope.shape[1]), np.float32)
+    slope.take(order[once], axis=0, out=sums[:len(once)], mode="clip")
+    if len(first):
+        # Two columns as one complex number: the same sums in half the steps.
+        found = np.add.reduceat(slope.take(order[several], axis=0).view(np.complex64), first, axis=0).view(np.float32)
+        n = np.diff(first, append=len(several))
+        np.divide(found, np.sqrt(n).astype(np.float32)[:, None], out=sums[len(once):])
+    return row.take(np.concatenate([once, several[first]])), sums
 
 
 def updated(weights: np.ndarray, squares: np.ndarray, touched: np.ndarray, prior: np.ndarray, buckets: np.ndarray, classes: np.ndarray) -> None:
     """One minibatch step in place, each row of weights at its own rate."""
     slope, total = shares(weights, prior, buckets)
-    slope /= total[:, None]
-    slope[np.arange(len(classes)), classes] -= 1.0
-    places = np.arange(len(classes), dtype=np.uint64)
+    slope *= (1 / total)[:, None]
+    slope.reshape(-1)[np.arange(0, slope.size, slope.shape[1]) + classes] -= 1.0
     for f in range(buckets.shape[1]):
-        ranked = np.sort((buckets[:, f].astype(np.uint64) << np.uint64(32)) | places)
-        row = (ranked >> np.uint64(32)).astype(np.int64)
-        begin = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-        own, n = row[begin], np.diff(begin, append=len(row))
-        change = np.add.reduceat(slope.take((ranked & np.uint64(0xFFFFFFFF)).astype(np.int64), axis=0), begin, axis=0)
-        change /= np.sqrt(n).astype(np.float32)[:, None]
-        squares[own] += np.einsum("ij,ij->i", change, change)
-        weights[own] -= change * (np.float32(RATE) / np.sqrt(squares[own]))[:, None]
-        touched[own] += n
+        own, change = bucket_sums(slope, buckets[:, f])
+        square = squares.take(own) + np.einsum("ij,ij->i", change, change)
+        squares[own] = square
+        change *= (np.float32(RATE) / np.sqrt(square))[:, None]
+        np.subtract(weights.take(own, axis=0), change, out=change)
+        weights[own] = change
+    touched += np.bincount(buckets.ravel("K"), minlength=len(touched))
 
 
 def _chunk_arrays(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -456,16 +485,20 @@ def examples(steps: list[Step], count: int, own: np.ndarray, found: np.ndarray)
 
     `steps` are those of a chunk's `count` distinct tokens; `own` names one for each place, and `found` has its features.
     """
+    keys = found.T * _FACTORS[0]
     for step in steps:
-        row_of = np.full(count, -1, np.int64)
-        row_of[step.taken] = np.arange(len(step.taken))
-        rows = row_of[own]
+        rows = step.row_of(count).take(own)
         places = np.flatnonzero(rows >= 0)
+        rows = rows.take(places)
         for at in range(0, len(places), BATCH):
-            here = places[at:at + BATCH]
-            row = rows[here]
-            buckets = (((found[here[:, None], step.features] + step.node[row, None]) * _FACTORS[0]) >> _SHIFT).astype(np.int64)
-            yield here, buckets, step.branch[row], step.prior[row]
+            here, row = places[at:at + BATCH], rows[at:at + BATCH]
+            node = step.node.take(row) * _FACTORS[0]
+            buckets = np.empty((len(step.features), len(here)), np.uint64)
+            for f, own_buckets in zip(step.features, buckets, strict=True):
+                keys[f].take(here, out=own_buckets, mode="clip")
+            buckets += node
+            buckets >>= _SHIFT
+            yield here, buckets.view(np.int64).T, step.branch.take(row), step.prior.take(row)
 
 
 def train(rows: DataFrame, figures: Vocabulary) -> np.ndarray:
@@ -488,7 +521,7 @@ def train(rows: DataFrame, figures: Vocabulary) -> np.ndarray:
                     tokens, steps = members.astype(np.uint64), list(ways.of(members))
                     for docs, places in _slices(lengths):
                         use = np.repeat(~held[docs], lengths[docs])
-                        found = features(tokens[sequence[places]], _starts(lengths[docs]))[use]
+                        found = features(tokens[sequence[places]], _starts(lengths[docs])).T.take(np.flatnonzero(use), axis=1).T
                         for _, buckets, branch, prior in examples(steps, len(members), sequence[places][use], found):
                             updated(local, squares, touched, ways.priors.take(prior, axis=0), buckets, branch)
             if touched.any():
