@@ -158,7 +158,7 @@ def test_only_rows_that_share_a_bucket_are_summed(monkeypatch):
     weights = rng.normal(size=(maxent_lm.BUCKETS, maxent_lm.CLASSES)).astype(np.float32)
     classes, prior, shape = rng.integers(0, maxent_lm.CLASSES, 1000), np.zeros(maxent_lm.CLASSES, np.float32), maxent_lm.BUCKETS
     alone, twice = rng.permutation(shape)[:1000, None], np.repeat(rng.permutation(shape)[:990], [11] + [1] * 989)[:, None]
-    monkeypatch.setattr(maxent_lm, "np", SimpleNamespace(**{**vars(np), "add": SimpleNamespace(reduceat=reduceat)}))
+    monkeypatch.setattr(maxent_lm, "np", SimpleNamespace(**{**vars(np), "add": Adding(reduceat)}))
     for buckets, rows in ((alone, []), (twice, [11])):
         summed.clear()
         squares, touched = np.full(shape, 0.1, np.float32), np.zeros(shape, np.float32)
@@ -183,3 +183,33 @@ def test_examples_agree_with_a_plain_hash_and_look_tokens_up_once_a_chunk():
             assert buckets.tolist() == keys and places.tolist() == [i for i, _ in pairs]
             assert branch.tolist() == [step.branch[at] for _, at in pairs] and prior.tolist() == [step.prior[at] for _, at in pairs]
     assert all(s.row_of(n) is s.row_of(n) for s in steps)
+
+
+@pytest.mark.parametrize("runs", [[1], [2], [3], [1, 2, 3, 1, 1, 2, 2, 5, 1], [2, 2], [4, 1], [1, 3, 2], [7] * 300 + [2] * 500 + [1] * 900])
+def test_bucket_sums_agree_with_plain_ones(monkeypatch, runs):
+    summed = []
+
+    def reduceat(rows, *rest, **named):
+        summed.append(len(rows))
+        return np.add.reduceat(rows, *rest, **named)
+
+    rng = np.random.default_rng(4)
+    names = rng.permutation(maxent_lm.BUCKETS)[:len(runs)]
+    buckets = rng.permutation(np.repeat(names, runs))
+    slope = rng.normal(size=(len(buckets), maxent_lm.CLASSES)).astype(np.float32)
+    monkeypatch.setattr(maxent_lm, "np", SimpleNamespace(**{**vars(np), "add": Adding(reduceat)}))
+    own, sums = maxent_lm.bucket_sums(slope, buckets)
+    assert sorted(own) == sorted(names) and sum(summed) == sum(n for n in runs if n > 2)
+    for b, got in zip(own, sums, strict=True):
+        rows = slope[buckets == b]
+        assert np.allclose(got, rows.sum(axis=0) / len(rows) ** 0.5, atol=1e-5)
+
+
+class Adding:
+    """np.add with another reduceat."""
+
+    def __init__(self, reduceat):
+        self.reduceat = reduceat
+
+    def __call__(self, *args, **named):
+        return np.add(*args, **named)

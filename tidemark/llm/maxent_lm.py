@@ -340,7 +340,7 @@ class Step:
     def row_of(self, count: int) -> np.ndarray:
         """For each of the given `count` tokens its place in `taken`, or -1; made once."""
         if count not in self.rows:
-            self.rows[count] = np.full(count, -1, np.int64)
+            self.rows[count] = np.full(count, -1, np.int32)
             self.rows[count][self.taken] = np.arange(len(self.taken))
         return self.rows[count]
 
@@ -370,10 +370,10 @@ class Steps:
         node = lambda *keys: textbytes.mixed(sum((k.astype(np.uint64) * f for k, f in zip(keys, _FACTORS, strict=False)), np.uint64(1)))
         if self.several:
             zero = np.zeros(len(members), np.int64)
-            yield Step(np.arange(len(members)), node(zero), self.group[of], zero, OF_CLASS)
+            yield Step(np.arange(len(members)), node(zero), self.group[of].astype(np.uint8), zero.astype(np.uint8), OF_CLASS)
         at = np.flatnonzero(~self.single[of])
         group = self.group[of[at]]
-        yield Step(at, node(group + 1), self.place[of[at]], group + 1, OF_CLASS)
+        yield Step(at, node(group + 1), self.place[of[at]].astype(np.uint8), (group + 1).astype(np.uint8), OF_CLASS)
         width = 1
         while True:
             before = number % width
@@ -381,8 +381,8 @@ class Steps:
             at = np.flatnonzero(left > 1)
             if not len(at):
                 return
-            yield Step(at, node(of[at] + CLASSES + 1, np.full(len(at), width), before[at]), number[at] // width % CLASSES,
-                       1 + CLASSES + np.minimum(left[at], CLASSES), INSIDE)
+            yield Step(at, node(of[at] + CLASSES + 1, np.full(len(at), width), before[at]), (number[at] // width % CLASSES).astype(np.uint8),
+                       (1 + CLASSES + np.minimum(left[at], CLASSES)).astype(np.uint8), INSIDE)
             width *= CLASSES
 
 
@@ -429,23 +429,35 @@ def log_softmax(weights: np.ndarray, prior: np.ndarray, buckets: np.ndarray, cla
 def bucket_sums(slope: np.ndarray, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The buckets found and, for each, the sum of its rows over the root of their number.
 
-    Most buckets of a batch have one row, which is taken as it is; only the others are summed. Both numbers have 16 bits.
+    Most buckets of a batch have one row, which is taken as it is, and most others two; only longer ones need sums of
+    their own. Bucket and place have 16 bits each.
     """
     ranked = np.sort((buckets.astype(np.uint32) << np.uint32(16)) | np.arange(len(buckets), dtype=np.uint32))
-    row, order = (ranked >> np.uint32(16)).astype(np.int64), (ranked & np.uint32(0xFFFF)).astype(np.int64)
-    begins = np.ones(len(row) + 1, bool)
-    np.not_equal(row[1:], row[:-1], out=begins[1:-1])
-    alone = begins[:-1] & begins[1:]
-    once, several = np.flatnonzero(alone), np.flatnonzero(~alone)
-    first = np.flatnonzero(begins[several])
-    sums = np.empty((len(once) + len(first), slope.shape[1]), np.float32)
-    slope.take(order[once], axis=0, out=sums[:len(once)], mode="clip")
+    bucket, place = (ranked >> np.uint32(16)).astype(np.int64), (ranked & np.uint32(0xFFFF)).astype(np.int64)
+    edge = np.ones(len(ranked) + 1, bool)
+    np.not_equal(bucket[1:], bucket[:-1], out=edge[1:-1])
+    begins, ends = edge[:-1], edge[1:]
+    once, twice = begins & ends, begins[:-1] & ~ends[:-1] & ends[1:]
+    longer = ~once
+    longer[:-1] &= ~twice
+    longer[1:] &= ~twice
+    once, twice, longer = (np.flatnonzero(x) for x in (once, twice, longer))
+    first = np.flatnonzero(begins[longer])
+    sums = np.empty((len(once) + len(twice) + len(first), slope.shape[1]), np.float32)
+    of_once, of_twice, of_longer = np.split(sums, [len(once), len(once) + len(twice)])
+    slope.take(place[once], axis=0, out=of_once, mode="clip")
+    np.add(slope.take(place[twice], axis=0), slope.take(place[twice + 1], axis=0), out=of_twice)
+    of_twice *= np.float32(0.5 ** 0.5)
     if len(first):
         # Two columns as one complex number: the same sums in half the steps.
-        found = np.add.reduceat(slope.take(order[several], axis=0).view(np.complex64), first, axis=0).view(np.float32)
-        n = np.diff(first, append=len(several))
-        np.divide(found, np.sqrt(n).astype(np.float32)[:, None], out=sums[len(once):])
-    return row.take(np.concatenate([once, several[first]])), sums
+        found = np.add.reduceat(slope.take(place[longer], axis=0).view(np.complex64), first, axis=0).view(np.float32)
+        np.divide(found, np.sqrt(np.diff(first, append=len(longer))).astype(np.float32)[:, None], out=of_longer)
+    return bucket[np.concatenate([once, twice, longer[first]])], sums
+
+
+def whole_rows(table: np.ndarray) -> np.ndarray:
+    """A view with each row as one value, which is copied at once."""
+    return table.view(f"V{table.itemsize * table.shape[1]}")[:, 0]
 
 
 def updated(weights: np.ndarray, squares: np.ndarray, touched: np.ndarray, prior: np.ndarray, buckets: np.ndarray, classes: np.ndarray) -> None:
@@ -459,7 +471,7 @@ def updated(weights: np.ndarray, squares: np.ndarray, touched: np.ndarray, prior
         squares[own] = square
         change *= (np.float32(RATE) / np.sqrt(square))[:, None]
         np.subtract(weights.take(own, axis=0), change, out=change)
-        weights[own] = change
+        whole_rows(weights)[own] = whole_rows(change)
     touched += np.bincount(buckets.ravel("K"), minlength=len(touched))
 
 
@@ -489,7 +501,7 @@ def examples(steps: list[Step], count: int, own: np.ndarray, found: np.ndarray)
     for step in steps:
         rows = step.row_of(count).take(own)
         places = np.flatnonzero(rows >= 0)
-        rows = rows.take(places)
+        rows = rows.take(places).astype(np.int64)
         for at in range(0, len(places), BATCH):
             here, row = places[at:at + BATCH], rows[at:at + BATCH]
             node = step.node.take(row) * _FACTORS[0]
