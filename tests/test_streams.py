@@ -1,5 +1,6 @@
 """Streams over several micro-batches, with late, repeated and bad rows in every order."""
 
+import os
 import random
 import re
 
@@ -147,3 +148,18 @@ def test_history_is_read_by_touched_days(spark):
     assert rows == {"undated"} and months == {"none"}
     rows, months = read("old", claims.first().claim_id)
     assert "far" not in rows and len(rows) > 2 and "1970-06" in months and len(months) < 20
+
+
+def test_a_batch_is_scored_in_stored_steps_that_go_again(spark, monkeypatch):
+    """What is written last is a plan of its own, without the steps before it, and its tables are deleted."""
+    path, baselines, checkpoint = (work_path(spark, n) for n in ("silver", "baselines", "checkpoint"))
+    claims = silver_frame(spark, SF_DIR).where("claim_date < '2024-02-01'").cache()
+    anomaly.statistical_baselines(claims).write.parquet(baselines)
+    claims.withColumn(medallion.MONTH_COLUMN, F.date_format("claim_date", "yyyy-MM")).write.partitionBy(
+        medallion.MONTH_COLUMN).parquet(f"{path}/batch=0")
+    written = []
+    monkeypatch.setattr(medallion, "write_batch_once", lambda df, n, path: written.append(
+        (df.count(), df._jdf.queryExecution().executedPlan().toString().count("Exchange"))))
+    medallion.anomaly_stream(medallion.table_stream(spark, path, SILVER_CLAIM), path, baselines, "", checkpoint, as_of()).awaitTermination()
+    assert written == [(claims.count(), 0)]
+    assert not [f for f in os.listdir(spark.conf.get("spark.checkpoint.dir")) if f.startswith("kept-")]

@@ -76,3 +76,12 @@ def test_a_busy_key_enters_the_window_once_per_second(spark):
     out = sliding_stats(df, ["k"], "at", 3600, 3600, count="n", distinct=("people", "person"), entered=entered)
     assert entered[0].count() <= 7 * 600
     assert {(r.n, r.people) for r in out.collect()} == {(200_000, 200_000)}
+
+
+def test_entries_of_a_window_come_from_one_pass(spark):
+    """One exchange to combine seconds and one to total them, however many kinds of entries a second makes."""
+    df = spark.createDataFrame(_rows(1), "k string, t long, who string, amount double, id long")
+    for frame in (sliding_stats(df, ["k"], "t", 10, 0, count="n", sums={"total": "amount"}), sliding_stats(df, ["k"], "t", 7, 7, count="n"),
+                  sliding_extremes(df, ["k"], "t", 10, -1, {"n": ("count", None)}).select("n")):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(k") <= 3 and plan.count("Scan") == 1
