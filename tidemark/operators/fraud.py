@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ from tidemark.functions.timing import days_24h
 from tidemark.functions.windows import null_safe_join, numbered_rows, sliding_stats, with_previous
 from tidemark.operators.customers import age_on
 from tidemark.operators.silver import labels_of
-from tidemark.session import cut
+from tidemark.session import cut, stores
 
 DAY = 86400
 
@@ -55,11 +57,13 @@ def signal_amount(cases: DataFrame) -> DataFrame:
     return cases.withColumns({"amount": F.least(score, F.lit(1.0)), "_inflated": share > 0.8})
 
 
-def signal_frequency(cases: DataFrame, claims: DataFrame | None = None) -> DataFrame:
+def signal_frequency(cases: DataFrame, claims: DataFrame | None = None,
+                     store: Callable[[DataFrame], DataFrame] = lambda counts: counts) -> DataFrame:
     """Earlier claims of the holder within a year, and an earlier one of the same type within a week.
 
-    ``claims`` is the plain claims table the history is read from (``cases`` by default). Both counts
-    are block-wise look-backs, so a holder with a large share of all claims is no bottleneck.
+    ``claims`` is the plain claims table the history is read from (``cases`` by default) and has the keys of all cases.
+    Both counts are block-wise look-backs, so a holder with a large share of all claims is no bottleneck. They are put
+    together first, so the cases are joined once; ``store`` may store each of the two tables.
     """
     at = "_incident_s"
     clocked = cases.withColumn(at, F.unix_timestamp("incident_date"))
@@ -68,9 +72,9 @@ def signal_frequency(cases: DataFrame, claims: DataFrame | None = None) -> DataF
     yearly = sliding_stats(source, ["policyholder_id"], at, 365 * DAY, -1, count="_recent")
     weekly = sliding_stats(source, ["policyholder_id", "claim_type"], at, 6 * DAY, -1, count="_alike")
     first = source.groupBy("policyholder_id").agg(F.min(at).alias("_first"))
-    history = null_safe_join(yearly, first, ["policyholder_id"])
-    joined = null_safe_join(clocked, history, ["policyholder_id", at])
-    joined = null_safe_join(joined, weekly, ["policyholder_id", "claim_type", at])
+    history = store(null_safe_join(yearly, first, ["policyholder_id"]))
+    history = store(null_safe_join(weekly, history, ["policyholder_id", at]))
+    joined = null_safe_join(clocked, history, ["policyholder_id", "claim_type", at])
     recent = F.col("_recent")
     score = _step((recent > 5, 0.6), (recent > 3, 0.3), (recent > 2, 0.1)) + _step((F.col("_alike") > 0, 0.5))
     return joined.withColumns({
@@ -198,25 +202,26 @@ def fraud_score(claims: DataFrame, policies: DataFrame, holders: DataFrame, edge
     """The full analysis of every claim.
 
     The network signal needs other holders' scores, so scores are taken twice: once without it to
-    get mean scores per holder, then again with the network signal those means give. The signals and
-    the per-holder network table are stored in between, as both passes read them.
+    get mean scores per holder, then again with the network signal those means give. Every step that shuffles the
+    claims is stored before the next, so that the disk holds the shuffle files of one step and not of all.
     """
-    cases = case_file(claims, policies, blacklist_check(holders, blacklist), as_of).withColumn(
-        "blacklisted", F.coalesce("blacklisted", F.lit(False)))
-    signals = signal_frequency(cases, claims).transform(signal_timing).transform(signal_amount)
-    signals = signals.transform(signal_geographic).transform(signal_text)
-    own = (F.col("timing") * cfg.weight_timing + F.col("amount") * cfg.weight_amount
-           + F.when(F.col("has_history"), F.col("frequency") * cfg.weight_frequency).otherwise(0.0)
-           + F.col("geographic") * cfg.weight_geographic + F.col("text_analysis") * cfg.weight_text
-           + F.when(F.col("blacklisted"), cfg.blacklist_bonus).otherwise(0.0))
-    kept = [c for c in signals.columns if c not in _CASE_ONLY]
-    based = cut(number_claims(signals.withColumn("score_base", own).select(*kept, "score_base")))
-    facts = ["policyholder_id", "claim_number", "score_base", *HOLDER_RISK_COLUMNS]
-    means = mean_scores(signal_policyholder_risk(based.select(*facts), weight=cfg.weight_holder), "running_score")
-    network = signal_network(edges, means, cfg).select("policyholder_id", "network")
-    linked = based.join(network, "policyholder_id", "left")
-    linked = linked.withColumn("network", F.coalesce("network", F.lit(0.0))).withColumn(
-        "score_base", F.col("score_base") + F.col("network") * cfg.weight_network)
+    with stores() as store:
+        cases = case_file(signal_text(claims), policies, blacklist_check(holders, blacklist), as_of).withColumn(
+            "blacklisted", F.coalesce("blacklisted", F.lit(False)))
+        rowwise = cases.transform(signal_timing).transform(signal_amount).transform(signal_geographic)
+        rowwise = store(rowwise.drop(*_CASE_ONLY))
+        signals = store(signal_frequency(rowwise, claims, store), rowwise)
+        own = (F.col("timing") * cfg.weight_timing + F.col("amount") * cfg.weight_amount
+               + F.when(F.col("has_history"), F.col("frequency") * cfg.weight_frequency).otherwise(0.0)
+               + F.col("geographic") * cfg.weight_geographic + F.col("text_analysis") * cfg.weight_text
+               + F.when(F.col("blacklisted"), cfg.blacklist_bonus).otherwise(0.0))
+        based = store(number_claims(signals.withColumn("score_base", own)), signals)
+        facts = ["policyholder_id", "claim_number", "score_base", *HOLDER_RISK_COLUMNS]
+        means = mean_scores(signal_policyholder_risk(based.select(*facts), weight=cfg.weight_holder), "running_score")
+        network = store(signal_network(edges, means, cfg).select("policyholder_id", "network"))
+        linked = based.join(network, "policyholder_id", "left")
+        linked = cut(linked.withColumn("network", F.coalesce("network", F.lit(0.0))).withColumn(
+            "score_base", F.col("score_base") + F.col("network") * cfg.weight_network))
     second = signal_policyholder_risk(linked, weight=cfg.weight_holder)
     score, level = F.col("analysis_score"), F.col("risk_level")
     return (
