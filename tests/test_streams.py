@@ -163,3 +163,17 @@ def test_a_batch_is_scored_in_stored_steps_that_go_again(spark, monkeypatch):
     medallion.anomaly_stream(medallion.table_stream(spark, path, SILVER_CLAIM), path, baselines, "", checkpoint, as_of()).awaitTermination()
     assert written == [(claims.count(), 0)]
     assert not [f for f in os.listdir(spark.conf.get("spark.checkpoint.dir")) if f.startswith("kept-")]
+
+
+def test_routed_batches_are_not_kept_in_memory(spark, monkeypatch):
+    folder, table, checkpoint = (work_path(spark, n) for n in ("envelopes", "routed", "checkpoint"))
+    lines = spark.createDataFrame([('{"event_id": "%d", "event_type": "%s"}' % (n, "ab"[n % 2]),) for n in range(9)] + [("broken {",)], "value string")
+    lines.write.parquet(folder)
+    plans, write = [], medallion.write_batch_once
+    monkeypatch.setattr(medallion, "write_batch_once", lambda df, n, path: (
+        plans.append(df._jdf.queryExecution().executedPlan().toString()), write(df, n, path)))
+    handlers = {"a": lambda rows: rows.select("event_id"), "*": lambda rows: rows.select("event_id")}
+    medallion.routed_stream(medallion.table_stream(spark, folder, lines.schema), handlers, table, checkpoint).awaitTermination()
+    assert [sorted(int(r.event_id) for r in spark.read.parquet(f"{table}/{k}").collect()) for k in ("a", "all")] == [[0, 2, 4, 6, 8], [*range(9)]]
+    assert len(plans) == 2 and not any("InMemoryTableScan" in plan for plan in plans)
+    assert not [f for f in os.listdir(spark.conf.get("spark.checkpoint.dir")) if f.startswith("kept-")]

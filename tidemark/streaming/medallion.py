@@ -61,13 +61,15 @@ def routed_stream(envelopes: DataFrame, handlers: dict[str, Callable[[DataFrame]
                   trigger: str | None = None, name: str | None = None) -> StreamingQuery:
     """Each micro-batch of envelope lines to the handlers of its event types (``*``: all readable ones).
 
-    The rows a handler returns go to the folder of its event type.
+    The rows a handler returns go to the folder of its event type. The batch is stored while the handlers read it, as the
+    executors have no memory to keep its lines in.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        with held(batch):
+        with stores() as store:
+            lines = store(batch)
             for kind, handler in handlers.items():
                 folder = "all" if kind == "*" else kind
-                write_batch_once(handler(bronze.route(batch, kind)), batch_id, f"{path}/{folder}")
+                write_batch_once(handler(bronze.route(lines, kind)), batch_id, f"{path}/{folder}")
 
     return write_stream_batches(envelopes, write, checkpoint, trigger=trigger, name=name)
 
